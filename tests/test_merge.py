@@ -1,0 +1,172 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowtide import (
+    ConcurrencyMismatch, ConfigurationError, Counts, DuplicateKeysError, TableSpec, insert, merge, update, delete,
+)
+from rowtide.operators.chain import Chain
+from tests.conftest import BOOKS, by_isbn
+
+STRATEGIES = pytest.mark.parametrize("strategy", ["full", "split"])
+
+
+def upsert(books, source, strategy):
+    return merge(books, source, BOOKS).match_on("isbn").sequence("n").strategy(strategy)
+
+
+@STRATEGIES
+def test_known_and_unknown_keys(books, sent, strategy):
+    source = sent(("M0001", "changed", 11), ("M0003", "new", 3))
+    result = upsert(books("M", 2), source, strategy).plan()
+    assert result.check() == Counts(1, 1, 0, 2)
+    assert by_isbn(result.snapshot, "title", "price", "id", "shelf", "row_version") == {
+        "M0001": ("changed", Decimal(11), 1, "M0001/1", 3),
+        "M0002": ("Title 2", Decimal(2), 2, "M0002/1", 2),
+        "M0003": ("new", Decimal(3), 4, "M0003/1", 3),
+    }
+
+
+@STRATEGIES
+def test_nothing_matches(books, sent, strategy):
+    result = upsert(books(), sent(("A", "a", 1), ("B", "b", 2)), strategy).plan()
+    assert result.check() == Counts(2, 0, 0, 2)
+    assert by_isbn(result.snapshot, "id") == {"A": 1, "B": 2}
+
+
+@STRATEGIES
+def test_restricted_update_columns(books, sent, strategy):
+    result = upsert(books("U", 1), sent(("U0001", "t", 99)), strategy).update_columns("title").plan()
+    assert by_isbn(result.snapshot, "title", "price") == {"U0001": ("t", Decimal(1))}
+
+
+@STRATEGIES
+def test_mirror(books, sent, strategy, spark, tmp_path):
+    source = sent(("M0001", "t", 1), ("M0004", "new", 4))
+    operation = upsert(books("M", 3), source, strategy).delete_unmatched()
+    assert operation.save(str(tmp_path / "next")) == Counts(1, 1, 2, 4)
+    assert sorted(by_isbn(spark.read.parquet(str(tmp_path / "next")), "id")) == ["M0001", "M0004"]
+
+
+@STRATEGIES
+def test_deleted_rows_return_nothing_to_the_source(books, sent, strategy):
+    source = sent(("M0001", "t", 1), ("M0004", "new", 4))
+    result = upsert(books("M", 2), source, strategy).delete_unmatched().output_generated().ordinal("n").plan()
+    changes = {r.isbn: r for r in result.changes.collect()}
+    assert changes["M0002"].action == "DELETE"
+    assert changes["M0002"]["__bulk_index"] is None and changes["M0002"].id is None
+    assert by_isbn(result.write_back(), "id") == {"M0001": 1, "M0004": 4}
+
+
+@STRATEGIES
+def test_generated_values_come_back_for_inserts_and_updates(books, sent, strategy):
+    source = sent(("M0001", "t", 1), ("N", "new", 4))
+    result = upsert(books("M", 1), source, strategy).output_generated().plan()
+    assert by_isbn(result.write_back(), "id", "row_version") == {"M0001": (1, 2), "N": (3, 2)}
+
+
+@STRATEGIES
+def test_last_duplicate_wins(books, sent, strategy):
+    result = upsert(books(), sent(("DUP", "first", 1), ("DUP", "last", 2)), strategy).plan()
+    assert result.check() == Counts(1, 0, 0, 1)
+    assert by_isbn(result.snapshot, "title") == {"DUP": "last"}
+
+
+def test_without_a_sequence_the_last_row_read_wins(books, sent):
+    source = sent(("DUP", "first", 1), ("DUP", "last", 2)).coalesce(1).drop("n")
+    result = merge(books(), source, BOOKS).match_on("isbn").plan()
+    assert by_isbn(result.snapshot, "title") == {"DUP": "last"}
+
+
+@STRATEGIES
+def test_duplicates_can_be_rejected(books, sent, strategy, tmp_path):
+    operation = upsert(books(), sent(("DUP", "a", 1), ("DUP", "b", 2)), strategy).on_duplicates("reject")
+    with pytest.raises(DuplicateKeysError):
+        operation.save(str(tmp_path / "next"))
+    assert not list(tmp_path.glob("next/*.parquet"))
+    with pytest.raises(ConfigurationError):
+        operation.on_duplicates("first")
+
+
+@STRATEGIES
+def test_a_stale_row_is_left_alone(books, strategy):
+    source = books("S", 2).withColumns({
+        "title": F.lit("stale"), "row_version": F.when(F.col("id") == 2, 2).otherwise(0).cast("long"),
+    })
+    operation = merge(books("S", 2), source, BOOKS).sequence("id").strategy(strategy).delete_unmatched()
+    result = operation.plan()
+    assert result.check() == Counts(0, 1, 0, 1)
+    assert by_isbn(result.snapshot, "title") == {"S0001": "Title 1", "S0002": "stale"}
+    with pytest.raises(ConcurrencyMismatch) as caught:
+        operation.fail_on_mismatch().check()
+    assert (caught.value.expected, caught.value.actual) == (2, 1)
+
+
+@STRATEGIES
+def test_deletes_do_not_count_as_applied(books, sent, strategy):
+    operation = upsert(books("Z", 3), sent(("Z0001", "t", 1)), strategy).delete_unmatched().fail_on_mismatch()
+    assert operation.check() == Counts(0, 1, 2, 3)
+
+
+@STRATEGIES
+def test_insert_columns(books, sent, strategy):
+    operation = upsert(books(), sent(("I", "t", 1, 42)), strategy).insert_columns("isbn", "title", "price")
+    assert by_isbn(operation.plan().snapshot, "edition") == {"I": 1}
+
+
+@STRATEGIES
+def test_without_update_columns_matched_rows_stay(books, sent, strategy):
+    operation = upsert(books("M", 1), sent(("M0001", "x", 9), ("N", "new", 1)), strategy).update_columns()
+    assert operation.check() == Counts(1, 0, 0, 1)
+    assert by_isbn(operation.plan().snapshot, "title") == {"M0001": "Title 1", "N": "new"}
+
+
+@STRATEGIES
+def test_a_text_key_supplied_by_the_source(spark, strategy):
+    items = spark.createDataFrame([("g1", "s", True)], "id string, sku string, active boolean")
+    spec = TableSpec.from_schema("item", items.schema, schema="shop")
+    source = spark.createDataFrame([("g1", "s2", False, 1), ("g2", "t", True, 2)], "id string, sku string, active boolean, n int")
+    result = merge(items, source, spec).sequence("n").strategy(strategy).plan()
+    assert {tuple(r) for r in result.snapshot.collect()} == {("g1", "s2", False), ("g2", "t", True)}
+
+
+@STRATEGIES
+def test_an_empty_source_deletes_nothing(books, sent, strategy):
+    operation = upsert(books("M", 2), sent(("A", "a", 1)).limit(0), strategy).delete_unmatched()
+    assert operation.check() == Counts()
+    assert operation.plan().snapshot.count() == 2
+
+
+@STRATEGIES
+def test_merging_twice_changes_nothing_more(books, sent, strategy):
+    source = sent(("M0001", "changed", 11), ("M0003", "new", 3))
+    spec = TableSpec("books", keys=("isbn",))
+    once = merge(books("M", 2), source, spec).sequence("n").strategy(strategy).plan().snapshot
+    twice = merge(once, source, spec).sequence("n").strategy(strategy).plan().snapshot
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+
+
+def test_merge_without_keys_is_rejected(books, spark):
+    with pytest.raises(ConfigurationError, match="requires match keys"):
+        merge(books(), spark.createDataFrame([("X",)], "isbn string"), TableSpec("books")).plan()
+    with pytest.raises(ConfigurationError):
+        merge(books(), books(), BOOKS).strategy("sideways")
+
+
+def test_chain_applies_as_a_unit(books, sent, spark, tmp_path):
+    chain = Chain(books())
+    chain.then(insert(None, sent(("U1", "one", 1), ("U2", "two", 2)), BOOKS).sequence("n"))
+    chain.then(lambda done: update(None, sent(("U1", "changed", 1)), BOOKS).match_on("isbn")).freeze()
+    chain.then(delete(None, sent(("U2", "", 1)), BOOKS).match_on("isbn"))
+    assert chain.save(str(tmp_path / "next")) == [Counts(2, 0, 0, 2), Counts(0, 1, 0, 1), Counts(0, 0, 1, 1)]
+    assert by_isbn(spark.read.parquet(str(tmp_path / "next")), "title") == {"U1": "changed"}
+
+
+def test_chain_writes_nothing_when_a_step_fails(books, sent, tmp_path):
+    chain = Chain(books("M", 1))
+    chain.then(insert(None, sent(("A", "a", 1)), BOOKS).sequence("n"))
+    chain.then(update(None, sent(("MISSING", "x", 1)), BOOKS).match_on("isbn").fail_on_mismatch())
+    with pytest.raises(ConcurrencyMismatch):
+        chain.save(str(tmp_path / "next"))
+    assert not (tmp_path / "next").exists()
