@@ -36,8 +36,7 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:

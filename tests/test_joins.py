@@ -1,0 +1,170 @@
+"""Key joins against brute force, with hot keys split."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowtide import TableSpec, delete, merge, update
+from rowtide.operators.constraints import unique_violations
+from rowtide.plans import joins
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def eager_splitting(monkeypatch, no_broadcast):
+    """Split hot keys of any size, and never take the broadcast way out."""
+    monkeypatch.setattr(joins, "SMALLEST_HOT_KEY", 0)
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (0,))
+    monkeypatch.setattr(joins.join_on_keys, "__defaults__", (0,))
+
+
+def skewed(spark, rows=900, seed=3):
+    """A third of the rows hold key 7, a third hold null, the rest spread; identical copies included."""
+    dice = random.Random(seed)
+    keys = [7] * (rows // 3) + [None] * (rows // 3) + [dice.randrange(40) for _ in range(rows // 3)]
+    data = [(key, "same" if key == 7 else f"p{n}") for n, key in enumerate(keys)]
+    return data, spark.createDataFrame(data, "k int, payload string").repartition(6)
+
+
+def lookup(spark, keys):
+    data = {key: f"s{key}" for key in keys}
+    return data, spark.createDataFrame(list(data.items()), "rk int, value string")
+
+
+def multiset(rows):
+    return sorted(map(repr, rows))
+
+
+def test_hot_keys_are_few_and_cover_the_skew(spark, no_broadcast):
+    _, left = skewed(spark)
+    found = {r["__hot_k"]: r["__fan"] for r in joins.hot_keys(left, ["k"], floor=0).collect()}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(found) == {7, None}
+    assert all(fan >= 2 for fan in found.values())
+    assert sum(found.values()) <= 2 * partitions
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_split_join_equals_brute_force(spark, no_broadcast, how):
+    rows, left = skewed(spark)
+    table, right = lookup(spark, [7, 3, 5, 99])
+    got = joins.join_on_keys(left, right, [("k", "rk")], how, left_is_unique=False, floor=0)
+    if how == "left":
+        expected = [(k, p, k if k in table else None, table.get(k)) for k, p in rows]
+    elif how == "left_semi":
+        expected = [(k, p) for k, p in rows if k in table]
+    else:
+        expected = [(k, p) for k, p in rows if k not in table]
+    assert multiset(tuple(r) for r in got.collect()) == multiset(expected)
+    assert set(got.columns) == set(left.columns) | (set(right.columns) if how == "left" else set())
+
+
+def test_a_hot_key_reaches_several_tasks(spark, no_broadcast):
+    _, left = skewed(spark)
+    _, right = lookup(spark, [7])
+    joined = joins.join_on_keys(left, right, [("k", "rk")], "left", left_is_unique=False, floor=0)
+    spread = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(spread) > 1
+
+
+@pytest.mark.parametrize("target_is_unique", [True, False])
+@pytest.mark.parametrize("broadcastable", [True, False])
+def test_missing_rows(spark, target_is_unique, broadcastable, tmp_path):
+    held = list(range(10)) if target_is_unique else [1, 1, 1, 2, 3, 3]
+    spark.createDataFrame([(k,) for k in held], "k int").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 50, 50, 60, None])], "s int, i int").write.parquet(
+        str(tmp_path / "s")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before if broadcastable else "-1")
+    try:
+        target, source = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+        missing = joins.missing_from(source, target, [("s", "k")], False, target_is_unique)
+        assert sorted(r.i for r in missing.collect()) == [2, 3, 4, 5]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _state(rows):
+    return multiset(tuple(r) for r in rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_operations_on_skewed_natural_keys_equal_brute_force(spark, eager_splitting, seed):
+    dice = random.Random(seed)
+    rows = [(n, "hot" if n % 3 else f"k{dice.randrange(12)}", dice.randrange(100), dice.randrange(3)) for n in range(120)]
+    feed = [(f"k{dice.randrange(16)}" if n % 4 else "hot", 1000 + n, dice.randrange(3), n) for n in range(40)]
+    target = spark.createDataFrame(rows, "id int, name string, v int, ver int").repartition(5)
+    source = spark.createDataFrame(feed, "name string, v int, ver int, seq int").repartition(3)
+    spec = TableSpec("t", keys=("id",), token="ver")
+
+    last = {}
+    for name, v, ver, seq in feed:
+        if name not in last or seq > last[name][2]:
+            last[name] = (v, ver, seq)
+    last_by_token = {}
+    for name, v, ver, seq in feed:
+        if (name, ver) not in last_by_token or seq > last_by_token[name, ver][1]:
+            last_by_token[name, ver] = (v, seq)
+
+    changed = update(target, source, spec).match_on("name").sequence("seq").plan()
+    expected = [(i, n, last_by_token.get((n, ver), (v,))[0], ver) for i, n, v, ver in rows]
+    assert _state(changed.snapshot.collect()) == _state(expected)
+
+    kept = delete(target, source, spec).match_on("name").plan()
+    assert _state(kept.snapshot.collect()) == _state(r for r in rows if (r[1], r[3]) not in last_by_token)
+    assert kept.check().deleted == sum((r[1], r[3]) in last_by_token for r in rows)
+
+    merged = merge(target, source, spec).match_on("name").sequence("seq").plan()
+    names = {r[1] for r in rows}
+    expected = [
+        (i, n, last[n][0] if n in last and last[n][1] == ver else v, ver) for i, n, v, ver in rows
+    ] + [(None, n, v, ver) for n, (v, ver, _) in last.items() if n not in names]
+    assert _state(merged.snapshot.collect()) == _state(expected)
+    stale = {n for n, (_, ver, _) in last.items() if n in names and not any(r[1] == n and r[3] == ver for r in rows)}
+    assert {r.name for r in merged.stale.collect()} == stale
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("mirror", [False, True])
+def test_both_merge_strategies_agree(spark, seed, mirror):
+    dice = random.Random(seed)
+    target = spark.createDataFrame([(k, dice.randrange(9), k % 3) for k in range(0, 90, 2)], "k int, v int, ver int")
+    feed = [(dice.randrange(120), dice.randrange(9), dice.randrange(3), n) for n in range(80)]
+    source = spark.createDataFrame(feed, "k int, v int, ver int, seq int")
+    spec = TableSpec("t", keys=("k",), token="ver")
+    operation = merge(target, source, spec).sequence("seq").ordinal("seq").output("v")
+    operation = operation.delete_unmatched() if mirror else operation
+    full, split = operation.strategy("full").plan(), operation.strategy("split").plan()
+    assert _state(full.snapshot.collect()) == _state(split.snapshot.collect())
+    assert _state(full.changes.collect()) == _state(split.changes.collect())
+    assert full.check() == split.check()
+
+
+@pytest.mark.parametrize("broadcastable", [True, False])
+def test_unique_violations_on_hot_values_and_nulls(spark, broadcastable, tmp_path):
+    spark.createDataFrame([("a",)] * 50 + [("b",), (None,), ("c",), ("c",)], "u string").write.parquet(str(tmp_path / "all"))
+    spark.createDataFrame([("a",)] * 30 + [(None,), ("b",)], "u string").write.parquet(str(tmp_path / "new"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before if broadcastable else "-1")
+    try:
+        stored, new = spark.read.parquet(str(tmp_path / "all")), spark.read.parquet(str(tmp_path / "new"))
+        found = unique_violations(stored.unionByName(new), new, ["u"])
+        assert {tuple(r) for r in found.collect()} == {("a", 80), ("b", 2), (None, 2)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
