@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rowtide import TableSpec
 
+# Schemas read from the files once; a further read of the table then starts no job.
+_SCHEMAS: dict[str, StructType] = {}
+
 ORDERS = TableSpec("orders", keys=("o_orderkey",), token="ver")
 PARTS = TableSpec("part", keys=("p_partkey",), identity="p_partkey")
 CUSTOMERS = TableSpec("customer", keys=("c_custkey",), unique=(("c_name",),))
@@ -42,7 +46,10 @@ WITH ord_t AS (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def on_file(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from rowtide.operators.identity import generated_id, next_value
 from rowtide.operators.staging import FOLDED, HIT, default_value, sent
-from rowtide.plans.joins import equal, fits_broadcast, join_on_keys, missing_from
+from rowtide.plans.joins import equal, fits_broadcast, is_large, join_on_keys, missing_from
 from rowtide.plans.roles import ACTION, ORDINAL, Roles
 from rowtide.spec import TableSpec
 
@@ -81,16 +81,17 @@ def absent(
     )
 
 
-def stale(subject: Subject, staged: DataFrame) -> DataFrame:
+def stale(subject: Subject, staged: DataFrame, staged_is_unique: bool) -> DataFrame:
     """Staged rows whose key the target holds, but never with the token they carry."""
     roles = subject.roles
-    by_token = roles.match + roles.check
-    current = subject.target.select(*subject.keys(by_token))
-    known = subject.target.select(*subject.keys(roles.match))
-    if not roles.target_is_unique:
-        current, known = current.distinct(), known.distinct()
-    met = staged.join(known, equal(known, staged, subject.pairs(roles.match)), "left_semi")
-    return met.join(current, equal(current, met, subject.pairs(by_token)), "left_anti")
+
+    def narrowed(rows: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+        held = subject.target.select(*subject.keys(names))
+        pairs = [(theirs, mine) for mine, theirs in subject.pairs(names)]
+        return join_on_keys(rows, held if roles.target_is_unique else held.distinct(), pairs, how, staged_is_unique)
+
+    met = narrowed(staged, roles.match, "left_semi")
+    return narrowed(met, roles.match + roles.check, "left_anti")
 
 
 def updated(subject: Subject, staged: DataFrame) -> DataFrame:
@@ -118,10 +119,7 @@ def merged_in_one_join(subject: Subject, staged: DataFrame, delete_rest: Column
     """
     target = subject.target.withColumn(_LIVE, F.lit(True))
     source = staged.withColumn(HIT, F.lit(True))
-    met = F.lit(True)
-    for mine, theirs in subject.pairs(subject.roles.match):
-        met = met & (target[mine] == source[theirs])
-    joined = target.join(source, met, "full_outer")
+    joined = target.join(source, equal(target, source, subject.pairs(subject.roles.match)), "full_outer")
     is_new = F.col(HIT) & F.col(_LIVE).isNull()
     action = _first_of([(is_new, INSERTED), *_branches_of_existing(subject, F.col(_LIVE), delete_rest)])
     return _after_change(subject, joined.withColumn(ACTION, action), may_insert=True)
@@ -139,10 +137,12 @@ def merged_existing(subject: Subject, staged: DataFrame, delete_rest: Column | N
 def one_join_suffices(subject: Subject, staged: DataFrame) -> bool:
     """Whether a merge should use the full outer join.
 
-    A small source is broadcast to the target in the two-part plan, which then never shuffles the
-    target. A target with repeated match keys needs joins that can split them.
+    A target with repeated match keys needs joins that can split them. And a large target is not
+    shuffled for the sake of a small source, which the two-part plan broadcasts to it.
     """
-    return subject.roles.target_is_unique and not fits_broadcast(staged)
+    if not subject.roles.target_is_unique:
+        return False
+    return not (is_large(subject.target) and fits_broadcast(staged))
 
 
 def _by_key_and_token(subject: Subject, staged: DataFrame, how: str) -> DataFrame:

@@ -216,7 +216,7 @@ class Operation:
         """How to find the staged rows that met no target row, or one with another token."""
         found = {"find_unmatched": lambda: _target_names(classify.absent(subject, staged, unique))}
         if subject.roles.check:
-            found["find_stale"] = lambda: _target_names(classify.stale(subject, staged))
+            found["find_stale"] = lambda: _target_names(classify.stale(subject, staged, unique))
         return found
 
     def _outcome(self, subject: Subject, source: DataFrame) -> ChangeResult:

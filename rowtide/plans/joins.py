@@ -8,6 +8,8 @@ Spark decides as it does for any join, or it is bounded by construction (``hot_k
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ SALT = "__salt"
 PIECE = "__piece"
 HOT = "__hot_"
 
+# Below this size a shuffle is cheaper than the further stages that would avoid it.
+LARGE = 256 * 1024 * 1024
+
 # A key is only worth splitting when it is large in absolute terms too.
 SMALLEST_HOT_KEY = 1_000_000
 
@@ -35,17 +40,19 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimate is not None and estimate <= _broadcast_limit(df.sparkSession)
 
 
+def is_large(df: DataFrame) -> bool:
+    """Whether shuffling ``df`` costs more than reading its keys a second time."""
+    estimate = estimated_bytes(df)
+    return estimate is None or estimate > LARGE
+
+
 def _broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """The conjunction of column equalities between the two sides."""
-    condition = F.lit(True)
-    for position, (mine, theirs) in enumerate(pairs):
-        same = left[mine] == right[theirs]
-        condition = same if position == 0 else condition & same
-    return condition
+    return reduce(and_, (left[mine] == right[theirs] for mine, theirs in pairs))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY) -> DataFrame:
@@ -94,23 +101,24 @@ def join_on_keys(
 def _spread_left(left: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     # The input partition number spreads even identical copies, and a retried task sees the same.
     numbered = left.withColumn("__part", F.spark_partition_id())
-    found = F.lit(True)
-    for name in keys:
-        found = found & numbered[name].eqNullSafe(hot[f"{HOT}{name}"])
+    found = _same_hot_key(numbered, hot, [(name, name) for name in keys])
     piece = F.pmod(F.col("__part"), F.coalesce(F.col(FAN), F.lit(1))).alias(PIECE)
     return numbered.join(F.broadcast(hot), found, "left").select(*left.columns, piece)
 
 
 def _repeat_right(right: DataFrame, pairs: Sequence[tuple[str, str]], hot: DataFrame) -> DataFrame:
-    found = F.lit(True)
-    for mine, theirs in pairs:
-        found = found & (right[theirs] == hot[f"{HOT}{mine}"])
+    found = _same_hot_key(right, hot, [(theirs, mine) for mine, theirs in pairs])
     pieces = F.sequence(F.lit(0), F.coalesce(F.col(FAN), F.lit(1)) - 1)
     return right.join(F.broadcast(hot), found, "left").select(
         *right.columns, F.explode(pieces).alias(SALT)
     )
 
 
+def _same_hot_key(side: DataFrame, hot: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    # Null-safe on both sides: null keys need spreading too, and Spark then broadcasts ``hot`` once.
+    return reduce(and_, (side[own].eqNullSafe(hot[f"{HOT}{name}"]) for own, name in pairs))
+
+
 def missing_from(
     source: DataFrame,
     target: DataFrame,
@@ -128,7 +136,7 @@ def missing_from(
     theirs = [name for _, name in pairs]
     keys = target.select(*theirs)
     wanted = (asked or source).select(*(F.col(mine).alias(f"__want_{i}") for i, (mine, _) in enumerate(pairs)))
-    if fits_broadcast(wanted):
+    if fits_broadcast(wanted) and not fits_broadcast(keys):
         met = equal(keys, wanted, [(name, f"__want_{i}") for i, name in enumerate(theirs)])
         present = keys.join(wanted, met, "left_semi").distinct()
         # No more rows than the small source has keys.
