@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 
@@ -52,7 +53,11 @@ DUPLICATE_MARK = "[duplicate match key]"
 CONSTRAINT_MARK = "[constraint]"
 
 
-def translated(error: PySparkException) -> ChangeError:
+# A job in which several stages fail at once surfaces as the second kind.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
+
+def translated(error: Exception) -> ChangeError:
     """The package error that stands for a failed Spark job."""
     text = str(error)
     if DUPLICATE_MARK in text:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
-from rowtide.errors import translated
+from rowtide.errors import SPARK_ERRORS, translated
 from rowtide.operators.operation import Operation
 from rowtide.operators.outcome import ChangeResult, Counts
 from rowtide.session import frozen
-from rowtide.sources.tables import Layout, write_snapshot
+from rowtide.sources.tables import Layout, point_to, qualified, write_snapshot
+from rowtide.spec import TableSpec
 
 
 class Chain:
@@ -51,6 +51,12 @@ class Chain:
         counts = self.check()
         try:
             write_snapshot(self._table, path, layout or Layout())
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             raise translated(error) from error
         return counts
+
+    def commit(self, spec: TableSpec, path: str, table: str | None = None, schema: str | None = None) -> list[Counts]:
+        """Save to a new folder, then let the catalog table point there: all steps take effect at once."""
+        counts = self.save(path)
+        point_to(self._table.sparkSession, qualified(spec, table, schema), path)
+        return counts

@@ -182,18 +182,17 @@ def _after_change(subject: Subject, joined: DataFrame, may_insert: bool) -> Data
     is_update, is_insert = F.col(ACTION) == UPDATED, F.col(ACTION) == INSERTED
     values = []
     for name in subject.columns:
-        value = F.col(name)
+        before = F.col(name)
         if name == spec.row_version:
             changes = is_update | is_insert if may_insert else is_update
-            value = F.when(changes, _next_version(subject)).otherwise(value)
-        else:
-            branches = F
-            if name in roles.update:
-                branches = branches.when(is_update, F.col(sent(name)))
-            if may_insert:
-                branches = branches.when(is_insert, _new_value(subject, name, joined))
-            value = value if branches is F else branches.otherwise(value)
-        values.append(value.alias(name))
+            values.append(F.when(changes, _next_version(subject)).otherwise(before).alias(name))
+            continue
+        branches = F
+        if name in roles.update:
+            branches = branches.when(is_update, F.col(sent(name)))
+        if may_insert:
+            branches = branches.when(is_insert, _new_value(subject, name, joined))
+        values.append(before if branches is F else branches.otherwise(before).alias(name))
     return _with_computed(subject, joined.select(*values, ACTION, _ordinal(joined)))
 
 

@@ -24,7 +24,7 @@ from rowtide.operators.identity import with_ordinal
 from rowtide.operators.outcome import ChangeResult, Counts, Guards, enriched_source
 from rowtide.operators.staging import FOLDED, SEQUENCE, renamed, sent, stage
 from rowtide.plans.roles import ACTION, DELETE, INSERT, MERGE, ORDINAL, UPDATE, Choices, Roles, distinct, resolve_roles
-from rowtide.sources.tables import Layout, read_table
+from rowtide.sources.tables import Layout, point_to, qualified, read_table
 from rowtide.spec import TableSpec
 
 
@@ -43,6 +43,7 @@ class Operation:
     ordinal_column: str | None = None
     sequence_column: str | None = None
     sequence_is_distinct: bool = False
+    number_in_place: bool = False
     null_keys: str = "reject"
     collation: str | None = None
     null_defaults: bool = False
@@ -82,6 +83,14 @@ class Operation:
         """
         return replace(self, sequence_column=column, sequence_is_distinct=distinct_per_key)
 
+    def number_as_read(self) -> Self:
+        """Number the source rows by their place in the input instead of freezing them first.
+
+        The numbers have gaps wide enough to need a long id, and are only stable for a source that
+        reads the same every time, such as a folder of files; in return nothing is written first.
+        """
+        return replace(self, number_in_place=True)
+
     def ignore_null_keys(self) -> Self:
         """Let source rows with a null match key match nothing. By default they stop the job."""
         return replace(self, null_keys="ignore")
@@ -123,6 +132,18 @@ class Operation:
             layout = replace(layout, sort_by=self._roles_again(result))
         return result.save(path, layout, self.on_progress)
 
+    def commit(self, path: str) -> Counts:
+        """Write the next snapshot of a catalog table to a new folder and let the table point there.
+
+        Readers see the old snapshot until the last step, which touches the catalog only.
+        """
+        counts = self.save(path)
+        point_to(self.source.sparkSession, self._table(), path)
+        return counts
+
+    def _table(self) -> str:
+        return qualified(self.spec, self.table_name, self.schema_name)
+
     def on(self, target: DataFrame) -> Self:
         """The same operation on another target."""
         return replace(self, target=target)
@@ -167,7 +188,11 @@ class Operation:
             return source
         if self.ordinal_column is not None:
             return source.withColumn(ORDINAL, F.col(self._called(self.ordinal_column)).cast("long"))
-        return with_ordinal(source, self._sequence()) if needs_ordinal else source
+        if not needs_ordinal:
+            return source
+        if self.number_in_place:
+            return source.withColumn(ORDINAL, F.monotonically_increasing_id())
+        return with_ordinal(source, self._sequence())
 
     def _called(self, name: str) -> str:
         return self.mapping.get(name, name)
@@ -205,7 +230,9 @@ class Operation:
         if ORDINAL in source.columns and self._wants_output():
             sole = not roles.match or roles.target_is_unique
             own = _with_source_names(source, self.mapping)
-            more["enriched"] = lambda made: enriched_source(own, made, roles.output, self.mapping, sole)
+            more["enriched"] = lambda made: enriched_source(
+                own, made, roles.output, self.mapping, self.spec.enums, sole
+            )
         return ChangeResult(
             kind=self.kind, rows=rows, changes=changes, staged=staged,
             table_columns=tuple(n for n in rows.columns if n not in (ACTION, ORDINAL)),
@@ -280,6 +307,10 @@ class Insert(_Returning):
         """Add the new rows to an existing folder instead of writing a snapshot."""
         return self.plan().append_to(path, replace(self.layout, sort_by=()))
 
+    def append(self) -> Counts:
+        """Add the new rows to the catalog table instead of writing a snapshot."""
+        return self.plan().append_to_table(self._table())
+
     def _outcome(self, subject: Subject, source: DataFrame) -> ChangeResult:
         roles = subject.roles
         generates = roles.identity is not None and roles.identity not in roles.insert

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import NamedTuple
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-
-from rowtide.errors import ConcurrencyMismatch, ConfigurationError, ConstraintError, NotMatched, translated
+from pyspark.sql import types as T
+
+from rowtide.errors import (
+    SPARK_ERRORS,
+    ConcurrencyMismatch,
+    ConfigurationError,
+    ConstraintError,
+    NotMatched,
+    translated,
+)
+from rowtide.functions.enums import enum_label
 from rowtide.operators.classify import DELETED, INSERTED, UPDATED
 from rowtide.operators.constraints import unique_violations
 from rowtide.plans.roles import ACTION, MERGE, ORDINAL
@@ -100,7 +108,7 @@ class ChangeResult:
         try:
             counts = self._guarded()
             self._require_unique()
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             raise translated(error) from error
         return counts
 
@@ -127,7 +135,7 @@ class ChangeResult:
                 observed = replace(self, rows=self.rows.observe(seen, *_tallies()))
                 write_snapshot(observed.snapshot, path, layout)
                 counts = Counts(**seen.get)
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             raise translated(error) from error
         if progress is not None:
             progress(counts.total_affected)
@@ -135,14 +143,20 @@ class ChangeResult:
 
     def append_to(self, path: str, layout: Layout | None = None) -> Counts:
         """Add the new rows to an existing folder without rewriting it. Inserts only."""
+        return self._append(lambda rows: write_rows(rows, path, layout or Layout(), mode="append"))
+
+    def append_to_table(self, name: str) -> Counts:
+        """Add the new rows to a catalog table without rewriting it. Inserts only."""
+        return self._append(lambda rows: rows.write.insertInto(name))
+
+    def _append(self, write: Callable[[DataFrame], None]) -> Counts:
         if self.new_rows is None:
             raise ConfigurationError(f"{self.kind} changes existing rows and cannot be appended")
         try:
             self._require_unique()
             seen = Observation()
-            rows = self.new_rows.observe(seen, *_tallies()).select(*self.table_columns)
-            write_rows(rows, path, layout or Layout(), mode="append")
-        except PySparkException as error:
+            write(self.new_rows.observe(seen, *_tallies()).select(*self.table_columns))
+        except SPARK_ERRORS as error:
             raise translated(error) from error
         return Counts(**seen.get)
 
@@ -176,7 +190,7 @@ class ChangeResult:
                 raise ConstraintError(f"{values} occurs {found['copies']} times")
 
 
-def merge_outputs(changes: DataFrame, output, one_change_per_source_row: bool) -> DataFrame:
+def _answers(changes: DataFrame, output: Sequence[str], one_change_per_source_row: bool) -> DataFrame:
     """One row of output values per source row that changed something.
 
     A source row may change many target rows; it then gets the largest of their value tuples, which
@@ -192,18 +206,30 @@ def merge_outputs(changes: DataFrame, output, one_change_per_source_row: bool) -
 
 
 def enriched_source(
-    source: DataFrame, changes: DataFrame, output, mapping: Mapping[str, str], one_change_per_source_row: bool
+    source: DataFrame,
+    changes: DataFrame,
+    output: Sequence[str],
+    mapping: Mapping[str, str],
+    enums: Mapping[str, Mapping[str, int]],
+    one_change_per_source_row: bool,
 ) -> DataFrame:
-    """``source`` with ``output`` values where a change happened; other rows stay as they are."""
-    values = merge_outputs(changes, output, one_change_per_source_row)
+    """``source`` with ``output`` values where a change happened; other rows stay as they are.
+
+    An enum column that the source holds as labels gets labels back.
+    """
+    values = _answers(changes, output, one_change_per_source_row)
     values = values.withColumn("__applied", F.lit(True))
     joined = source.join(values, F.col(ORDINAL) == F.col("__of"), "left")
     called = {theirs: mine for mine, theirs in mapping.items()}
     filled: dict[str, Column] = {}
     for name in output:
         own = called.get(name, name)
-        before = F.col(own) if own in source.columns else F.lit(None)
-        filled[own] = F.when(F.col("__applied"), F.col(f"__out_{name}")).otherwise(before)
+        after, before = F.col(f"__out_{name}"), F.lit(None)
+        if own in source.columns:
+            before = F.col(own)
+            if name in enums and isinstance(source.schema[own].dataType, T.StringType):
+                after = enum_label(after, enums[name])
+        filled[own] = F.when(F.col("__applied"), after).otherwise(before)
     columns = [filled.pop(name).alias(name) if name in filled else F.col(name) for name in source.columns]
     return joined.select(*columns, *(value.alias(name) for name, value in filled.items()))
 

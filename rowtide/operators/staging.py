@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.errors import CONSTRAINT_MARK, ConfigurationError
-from rowtide.functions.types import cast_to
+from rowtide.functions.enums import enum_code
 from rowtide.plans.roles import ORDINAL
 from rowtide.spec import TableSpec
 
@@ -55,8 +55,13 @@ def stage(
     they cost no pass of their own, and a job that meets a violation commits no file.
     """
     values = []
+    given = source.schema
     for name in columns:
-        value = cast_to(F.col(name), target_schema[name].dataType)
+        value = F.col(name)
+        if _is_label(name, given, target_schema, spec):
+            value = enum_code(value, spec.enums[name])
+        if given[name].dataType != target_schema[name].dataType:
+            value = value.cast(target_schema[name].dataType)
         if nulls_take_defaults and name in spec.defaults:
             value = F.coalesce(value, default_value(spec, name, target_schema))
         if name in match and null_keys == "reject":
@@ -73,6 +78,12 @@ def stage(
     return source.select(*values)
 
 
+def _is_label(name: str, given: T.StructType, target_schema: T.StructType, spec: TableSpec) -> bool:
+    """Whether the source holds labels where the table stores enum codes."""
+    stored = target_schema[name].dataType
+    return name in spec.enums and isinstance(given[name].dataType, T.StringType) and stored != given[name].dataType
+
+
 def default_value(spec: TableSpec, name: str, target_schema: T.StructType) -> Column:
     """What the table stores in a column that an insert leaves out."""
     data_type = target_schema[name].dataType

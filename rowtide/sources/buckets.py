@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.errors import ConfigurationError, translated
+from rowtide.errors import SPARK_ERRORS, ConfigurationError, translated
 from rowtide.operators.operation import Delete, Insert, Merge, Operation, Update
 from rowtide.operators.outcome import Counts
 
@@ -66,7 +66,7 @@ class BucketedTable:
             try:
                 counts = result.check()
                 self._in_buckets(result.snapshot).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-            except PySparkException as error:
+            except SPARK_ERRORS as error:
                 raise translated(error) from error
         self._replace(spark, staging, touched)
         return counts or Counts()

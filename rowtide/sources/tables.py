@@ -32,15 +32,27 @@ class Layout:
             raise ConfigurationError("the batch size must be positive")
 
 
+def qualified(spec: TableSpec, table: str | None = None, schema: str | None = None) -> str:
+    """The catalog name of the spec's table, or of the one that takes its place."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in (schema or spec.schema, table or spec.name))
+
+
 def read_table(spark: SparkSession, spec: TableSpec, table: str | None = None, schema: str | None = None) -> DataFrame:
     """The spec's table from the catalog, or the one that takes its place."""
-    name = f"`{schema or spec.schema}`.`{table or spec.name}`"
+    name = qualified(spec, table, schema)
     try:
         return spark.table(name)
     except AnalysisException as error:
         raise ExecutionError(f"cannot read {name}: {error}") from error
 
 
+def point_to(spark: SparkSession, table: str, path: str) -> None:
+    """Let a catalog table read from ``path`` from now on."""
+    location = path.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
 def sorted_by_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` in contiguous key ranges, sorted within each.
 

@@ -102,10 +102,6 @@ class TableSpec:
         """Columns that are never written from a source."""
         return frozenset({self.row_version} - {None} | set(self.computed))
 
-    @property
-    def qualified_name(self) -> str:
-        return f"`{self.schema}`.`{self.name}`"
-
     def identifies(self, columns: Iterable[str]) -> bool:
         """Whether equal values in ``columns`` can occur in one row of the table only."""
         given = set(columns)

@@ -36,7 +36,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
 

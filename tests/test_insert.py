@@ -197,3 +197,30 @@ def test_a_snapshot_never_overwrites_a_folder(spark, books, sent, tmp_path):
 def test_layout_checks_its_batch_size():
     with pytest.raises(ConfigurationError):
         Layout(rows_per_file=-1)
+
+
+def test_labels_are_coded_on_the_way_in_and_come_back_as_labels(spark):
+    widgets = spark.createDataFrame([(1, "old", 0)], "widget_id int, name string, status int")
+    spec = TableSpec("widgets", keys=("widget_id",), identity="widget_id", enums={"status": {"new": 0, "active": 1}})
+    source = spark.createDataFrame([("w", "active", 0)], "name string, status string, n long")
+    result = insert(widgets, source, spec).ordinal("n").output("status", "widget_id").plan()
+    assert {tuple(r) for r in result.snapshot.collect()} == {(1, "old", 0), (2, "w", 1)}
+    back = result.write_back().first()
+    assert (back.name, back.status, back.widget_id) == ("w", "active", 2)
+
+
+def test_rows_numbered_as_read_get_distinct_ids(spark):
+    table = spark.createDataFrame([(7, "old")], "id long, v string")
+    source = spark.range(0, 10, 1, 3).selectExpr("concat('s', id) AS v")
+    result = insert(table, source, TableSpec("t", keys=("id",), identity="id")).number_as_read().plan()
+    ids = [r.id for r in result.new_rows.collect()]
+    assert len(set(ids)) == 10 and min(ids) == 8
+
+
+def test_append_to_a_catalog_table(spark, sent):
+    spark.sql("DROP TABLE IF EXISTS shelf")
+    spark.sql("CREATE TABLE shelf (isbn STRING, title STRING, edition INT) USING parquet")
+    spec = TableSpec("shelf", keys=("isbn",))
+    assert insert(None, sent(("A", "a", 1)), spec).append().inserted == 1
+    assert insert(None, sent(("A", "x", 1), ("B", "b", 2)), spec).if_missing().append().inserted == 1
+    assert by_isbn(spark.table("shelf"), "title") == {"A": "a", "B": "b"}

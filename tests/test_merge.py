@@ -170,3 +170,24 @@ def test_chain_writes_nothing_when_a_step_fails(books, sent, tmp_path):
     with pytest.raises(ConcurrencyMismatch):
         chain.save(str(tmp_path / "next"))
     assert not (tmp_path / "next").exists()
+
+
+@STRATEGIES
+def test_null_keys_can_be_let_through(books, sent, strategy):
+    spec = TableSpec("books", keys=("id",))
+    source = sent(("M0001", "x", 1), ("", "none", 2)).withColumn("isbn", F.nullif("isbn", F.lit("")))
+    operation = merge(books("M", 1), source, spec).match_on("isbn").sequence("n").strategy(strategy)
+    assert operation.ignore_null_keys().check() == Counts(1, 1, 0, 2)
+
+
+def test_commit_switches_a_catalog_table(books, sent, spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS kept_books")
+    books("M", 2).write.saveAsTable("kept_books")
+    spec = TableSpec("kept_books", keys=("isbn",))
+    first = merge(None, sent(("M0001", "changed", 1)), spec).sequence("n")
+    assert first.commit(str(tmp_path / "v1")) == Counts(0, 1, 0, 1)
+    assert by_isbn(spark.table("kept_books"), "title") == {"M0001": "changed", "M0002": "Title 2"}
+    chain = Chain(spark.table("kept_books"))
+    chain.then(delete(None, sent(("M0002", "", 1)), spec))
+    chain.commit(spec, str(tmp_path / "v2"))
+    assert by_isbn(spark.table("kept_books"), "title") == {"M0001": "changed"}

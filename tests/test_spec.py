@@ -3,6 +3,7 @@ from pyspark.sql import types as T
 
 from rowtide import ConfigurationError, TableSpec, column
 from rowtide.functions.types import length_limit, spark_type
+from rowtide.sources.tables import qualified
 from tests.conftest import BOOK_FIELDS, BOOKS
 
 
@@ -28,7 +29,8 @@ def test_conventional_text_key_is_no_identity():
     spec = TableSpec.from_schema("item", T.StructType([column("id", T.StringType())]), schema="shop")
     assert spec.keys == ("id",)
     assert spec.identity is None
-    assert spec.qualified_name == "`shop`.`item`"
+    assert qualified(spec) == "`shop`.`item`"
+    assert qualified(spec, "Old `Items`", "archive") == "`archive`.`Old ``Items```"
 
 
 def test_marked_key_replaces_the_convention_and_keys_keep_their_order():
