@@ -31,13 +31,15 @@ class Subject:
     """The table side of an operation.
 
     ``folded`` names text match columns that are compared under a collation; both sides then carry
-    a comparison column next to the stored one.
+    a comparison column next to the stored one. ``elsewhere`` holds the rows of the table that
+    ``target`` leaves out.
     """
 
     target: DataFrame
     spec: TableSpec
     roles: Roles
     folded: frozenset[str] = frozenset()
+    elsewhere: DataFrame | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -47,6 +49,11 @@ class Subject:
     def columns(self) -> list[str]:
         return [name for name in self.target.columns if not name.startswith(FOLDED)]
 
+    def values_of(self, name: str) -> DataFrame:
+        """One column of the whole table."""
+        values = self.target.select(name)
+        return values if self.elsewhere is None else values.union(self.elsewhere.select(name))
+
     def keys(self, names: Iterable[str]) -> list[str]:
         """The target columns that are compared for ``names``."""
         return [FOLDED + name if name in self.folded else name for name in names]
@@ -204,13 +211,13 @@ def _new_value(subject: Subject, name: str, staged: DataFrame) -> Column:
     if name in roles.insert:
         return F.col(sent(name))
     if name == roles.identity:
-        return generated_id(subject.target, name, data_type)
+        return generated_id(subject.values_of(name), name, data_type)
     return default_value(spec, name, subject.schema)
 
 
 def _next_version(subject: Subject) -> Column:
     name = subject.spec.row_version
-    return next_value(subject.target, name).cast(subject.schema[name].dataType)
+    return next_value(subject.values_of(name), name).cast(subject.schema[name].dataType)
 
 
 def _with_computed(subject: Subject, frame: DataFrame) -> DataFrame:

@@ -51,6 +51,8 @@ class Operation:
     mirror: bool = False
     joins: str = "auto"
     layout: Layout = Layout()
+    sort_columns: tuple[str, ...] | None = None
+    elsewhere: DataFrame | None = None
     on_progress: Callable[[int], None] | None = None
 
     kind = ""
@@ -104,8 +106,8 @@ class Operation:
         return replace(self, layout=replace(self.layout, rows_per_file=rows))
 
     def ordered(self, *columns: str) -> Self:
-        """Write the snapshot sorted by these columns, by default the match columns."""
-        return replace(self, layout=replace(self.layout, sort_by=columns or ("*",)))
+        """Write the snapshot in ranges of these columns, by default of the match columns."""
+        return replace(self, sort_columns=columns)
 
     def progress(self, callback: Callable[[int], None]) -> Self:
         """Call back with the number of rows written."""
@@ -128,8 +130,8 @@ class Operation:
         """Write the next snapshot to a new folder and return the counters."""
         result = self.plan()
         layout = self.layout
-        if layout.sort_by == ("*",):
-            layout = replace(layout, sort_by=self._roles_again(result))
+        if self.sort_columns is not None:
+            layout = replace(layout, sort_by=self.sort_columns or result.match or self.spec.keys)
         return result.save(path, layout, self.on_progress)
 
     def commit(self, path: str) -> Counts:
@@ -144,13 +146,13 @@ class Operation:
     def _table(self) -> str:
         return qualified(self.spec, self.table_name, self.schema_name)
 
-    def on(self, target: DataFrame) -> Self:
-        """The same operation on another target."""
-        return replace(self, target=target)
+    def on(self, target: DataFrame, elsewhere: DataFrame | None = None) -> Self:
+        """The same operation on another target.
 
-    def _roles_again(self, result: ChangeResult) -> tuple[str, ...]:
-        sortable = tuple(n for n in result.changes.columns if n in (self.choices.match or self.spec.keys))
-        return sortable or self.spec.keys
+        A target may be the part of a table that the source can reach. ``elsewhere`` then holds the
+        other rows; they are only consulted for generated ids and unique keys.
+        """
+        return replace(self, target=target, elsewhere=elsewhere)
 
     def _target(self) -> DataFrame:
         if self.target is not None:
@@ -171,10 +173,11 @@ class Operation:
 
     def _subject(self, target: DataFrame, roles: Roles) -> Subject:
         if self.collation is None:
-            return Subject(target, self.spec, roles)
+            return Subject(target, self.spec, roles, elsewhere=self.elsewhere)
         folded = frozenset(n for n in roles.match if isinstance(target.schema[n].dataType, T.StringType))
         comparable = {FOLDED + n: F.collate(F.col(n), self.collation) for n in folded}
-        return Subject(target.withColumns(comparable) if comparable else target, self.spec, roles, folded)
+        compared = target.withColumns(comparable) if comparable else target
+        return Subject(compared, self.spec, roles, folded, self.elsewhere)
 
     def _choose(self, **changes) -> Self:
         return replace(self, choices=replace(self.choices, **changes))
@@ -218,7 +221,14 @@ class Operation:
         return keep_last(staged, subject.sent_keys(keys), sequence, known_distinct)
 
     def _result(
-        self, subject: Subject, source: DataFrame, staged: DataFrame, rows: DataFrame, changed: DataFrame, **more
+        self,
+        subject: Subject,
+        source: DataFrame,
+        staged: DataFrame,
+        rows: DataFrame,
+        changed: DataFrame,
+        at_risk: tuple[tuple[str, ...], ...] = (),
+        **more,
     ) -> ChangeResult:
         roles = subject.roles
         keyed = distinct(roles.match + roles.output)
@@ -236,7 +246,8 @@ class Operation:
         return ChangeResult(
             kind=self.kind, rows=rows, changes=changes, staged=staged,
             table_columns=tuple(n for n in rows.columns if n not in (ACTION, ORDINAL)),
-            output=roles.output, guards=self.guards, **more,
+            match=roles.match, guards=self.guards, elsewhere=self.elsewhere,
+            at_risk={group: _new_values(staged, group) for group in at_risk}, **more,
         )
 
     def _unapplied(self, subject: Subject, staged: DataFrame, unique: bool) -> dict[str, Callable[[], DataFrame]]:
@@ -478,6 +489,13 @@ def _target_names(staged: DataFrame) -> DataFrame:
     return staged.select(*(F.col(n).alias(n.removeprefix(sent(""))) for n in own))
 
 
+def _new_values(staged: DataFrame, group: tuple[str, ...]) -> DataFrame | None:
+    """The values a unique group can newly take, where all of them come from the source."""
+    if not {sent(name) for name in group} <= set(staged.columns):
+        return None
+    return staged.select(*(F.col(sent(name)).alias(name) for name in group))
+
+
 def _with_source_names(source: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return source.withColumnsRenamed({theirs: mine for mine, theirs in mapping.items()})
 

@@ -61,12 +61,13 @@ class ChangeResult:
     changes: DataFrame
     staged: DataFrame
     table_columns: tuple[str, ...]
-    output: tuple[str, ...]
+    match: tuple[str, ...] = ()
     guards: Guards = field(default_factory=Guards)
     new_rows: DataFrame | None = None
     removed_rows: DataFrame | None = None
     may_delete: bool = False
-    at_risk: tuple[tuple[str, ...], ...] = ()
+    at_risk: Mapping[tuple[str, ...], DataFrame | None] = field(default_factory=dict)
+    elsewhere: DataFrame | None = None
     enriched: Callable[[DataFrame], DataFrame] | None = None
     find_unmatched: Callable[[], DataFrame] | None = None
     find_stale: Callable[[], DataFrame] | None = None
@@ -182,9 +183,13 @@ class ChangeResult:
         return counts
 
     def _require_unique(self) -> None:
-        changed = self.rows.where(F.col(ACTION).isin(INSERTED, UPDATED))
-        for group in self.at_risk:
-            found = unique_violations(self.snapshot, changed, group).first()
+        whole = self.snapshot
+        if self.elsewhere is not None:
+            whole = whole.unionByName(self.elsewhere)
+        for group, new_values in self.at_risk.items():
+            if new_values is None:
+                new_values = self.rows.where(F.col(ACTION).isin(INSERTED, UPDATED))
+            found = unique_violations(whole, new_values, group).first()
             if found is not None:
                 values = ", ".join(f"{name}={found[name]}" for name in group)
                 raise ConstraintError(f"{values} occurs {found['copies']} times")

@@ -61,8 +61,9 @@ class BucketedTable:
             return Counts()
         counts = None
         if not _complete(spark, staging):
-            target = self._stored(spark).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-            result = operation.on(target).plan()
+            stored, reached = self._stored(spark), F.col(BUCKET).isin(touched)
+            target, elsewhere = (stored.where(which).drop(BUCKET) for which in (reached, ~reached))
+            result = operation.on(target, elsewhere).plan()
             try:
                 counts = result.check()
                 self._in_buckets(result.snapshot).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
@@ -107,7 +108,7 @@ class BucketedTable:
         writer.partitionBy(BUCKET).parquet(self.path)
         filled = {row[BUCKET] for row in rows.select(BUCKET).distinct().collect()}
         for emptied in sorted(set(touched) - filled):
-            _remove(spark, f"{self.path.rstrip('/')}/{BUCKET}={emptied}")
+            remove_folder(spark, f"{self.path.rstrip('/')}/{BUCKET}={emptied}")
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -115,6 +116,7 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.operation import Operation
-from rowtide.sources.buckets import BucketedTable
+from rowtide.sources.buckets import BucketedTable, remove_folder
 
 
 def apply_stream(
@@ -35,6 +35,8 @@ def apply_stream(
         batch.persist()
         try:
             table.apply(operation(batch), f"{staging.rstrip('/')}/batch={batch_id}")
+            # The batch before this one is committed and will not be delivered again.
+            remove_folder(batch.sparkSession, f"{staging.rstrip('/')}/batch={batch_id - 1}")
             if progress is not None:
                 seen += batch.count()
                 progress(seen)

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from rowtide import ConfigurationError, Counts, DuplicateKeysError, TableSpec, delete, insert, merge, update
+from rowtide import ConfigurationError, ConstraintError, Counts, DuplicateKeysError, TableSpec, delete, insert, merge, update
 from rowtide.sources.buckets import BucketedTable
 from rowtide.streaming.upsert import apply_stream
 
@@ -101,3 +101,20 @@ def test_stream_of_changes_in_several_batches(spark, tmp_path):
     spark.createDataFrame([(3, "f", 6)], fields).coalesce(1).write.parquet(str(tmp_path / "in" / "2"))
     run()
     assert contents(table, spark) == {1: "c", 2: "d", 3: "f"}
+
+
+def test_generated_ids_and_unique_keys_look_beyond_the_touched_buckets(spark, tmp_path):
+    fields = T.StructType([
+        T.StructField("k", T.LongType()), T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+    ])
+    made = BucketedTable(str(tmp_path / "t"), fields, ("k",), buckets=16)
+    made.create(spark.createDataFrame([(n, n, f"n{n}") for n in range(20)], fields))
+    spec = TableSpec("t", keys=("k",), identity="id", unique=(("name",),))
+    fresh = spark.createDataFrame([(100, "fresh", 0)], "k long, name string, n long")
+    made.apply(insert(None, fresh, spec).if_missing().ordinal("n"), str(tmp_path / "s1"))
+    assert {r.id for r in made.read(spark).where("k = 100").collect()} == {20}
+    for name in ("n3", "n7", "n11"):
+        taken = spark.createDataFrame([(200, name, 0)], "k long, name string, n long")
+        with pytest.raises(ConstraintError, match=name):
+            made.apply(insert(None, taken, spec).if_missing().ordinal("n"), str(tmp_path / f"s-{name}"))
+    assert made.read(spark).count() == 21
