@@ -14,6 +14,7 @@ from rowtide.functions.enums import decode_enums, encode_enums
 from rowtide.functions.types import spark_type
 from rowtide.operators import constraints, duplicates
 from rowtide.operators.chain import Chain
+from rowtide.operators.identity import with_ordinal
 from rowtide.session import fresh_folder
 from rowtide.sources.buckets import BucketedTable
 from rowtide.sources.tables import sorted_by_keys
@@ -74,6 +75,14 @@ def insert_if_missing_output(spark: SparkSession, sf: str) -> DataFrame:
     return added.ordinal("seq").output("o_orderkey").plan().changes.select("o_orderkey", "action")
 
 
+def insert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed rows of pending orders lose their key; they match nothing and are added."""
+    keyed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    source = fx.feed(spark, sf).withColumn("o_orderkey", keyed)
+    added = insert(fx.on_file(spark, sf), source, TableSpec("orders")).if_missing("o_orderkey")
+    return added.ignore_null_keys().plan().snapshot
+
+
 def insert_identity(spark: SparkSession, sf: str) -> DataFrame:
     parts = fx.table(spark, sf, "part")
     return insert(parts, fx.reissued_parts(spark, sf), fx.PARTS).sequence("origin").plan().snapshot
@@ -121,6 +130,14 @@ def update_output(spark: SparkSession, sf: str) -> DataFrame:
     return changed.output("o_totalprice", "o_orderpriority").plan().changes
 
 
+def collated_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers found by name whatever its case."""
+    overdrawn = fx.table(spark, sf, "customer").where(F.col("c_acctbal") < 0)
+    source = overdrawn.select(F.upper("c_name").alias("c_name"), F.lit("OVERDRAWN").alias("c_mktsegment"))
+    changed = update(fx.table(spark, sf, "customer"), source, fx.CUSTOMERS).match_on("c_name")
+    return changed.update_columns("c_mktsegment").collate_keys("UTF8_LCASE").plan().snapshot
+
+
 # Delete
 
 def delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,6 +200,12 @@ def merge_dedup_last(spark: SparkSession, sf: str) -> DataFrame:
     return merge(fx.on_file(spark, sf), source, fx.ORDERS).sequence("seq").check_token(False).plan().snapshot
 
 
+def merge_insert_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """A merge on a name that many parts share; new names get new ids."""
+    source = with_ordinal(fx.renamed_parts(spark, sf), "origin")
+    return merge(fx.table(spark, sf, "part"), source, fx.PARTS).match_on("p_name").plan().snapshot
+
+
 def merge_empty_source(spark: SparkSession, sf: str) -> DataFrame:
     cancelled = fx.feed(spark, sf).where(F.col("o_orderstatus") == "CANCELLED")  # no order is
     emptied = merge(fx.on_file(spark, sf), cancelled, fx.ORDERS).sequence("seq")
@@ -247,6 +270,16 @@ def ordered_key_layout(spark: SparkSession, sf: str) -> DataFrame:
     return sorted_by_keys(_merge(spark, sf).check_token(False).plan().snapshot, ["o_orderkey"])
 
 
+def bucketed_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The upsert on a stored table in buckets, of which only those the feed reaches are rewritten."""
+    on_file = fx.on_file(spark, sf)
+    folder = fresh_folder(spark, "bucketed-merge")
+    stored = BucketedTable(f"{folder}/table", on_file.schema, ("o_orderkey",), buckets=8)
+    stored.create(on_file)
+    stored.apply(_merge(spark, sf).check_token(False), f"{folder}/staging")
+    return stored.read(spark)
+
+
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     """The events upserted by user through a stream; the last event of a user stays."""
     fields = fx.table(spark, sf, "events").select("user_id", "event_id", "event_type", "value").schema
@@ -270,12 +303,14 @@ QUERIES = {
     query.__name__: query
     for query in (
         bulk_append, append_subset_defaults, append_null_defaults, typed_append, enum_codes, computed_column,
-        insert_if_missing, insert_if_missing_output, insert_identity, insert_output, insert_keep_identity,
+        insert_if_missing, insert_if_missing_output, insert_null_keys, insert_identity, insert_output, insert_keep_identity,
         update_by_key, update_subset, update_natural_key, mapped_update, update_token_checked, update_output,
+        collated_update,
         delete_by_key, delete_slim_source, delete_rows_removed, delete_token_checked,
         merge_upsert, merge_mirror, merge_actions, merge_counts, merge_token_checked, merge_insert_columns,
-        merge_insert_only, merge_dedup_last, merge_empty_source, merge_output, write_back, row_version_bump,
+        merge_insert_only, merge_dedup_last, merge_insert_identity, merge_empty_source,
+        merge_output, write_back, row_version_bump,
         dedup_last, duplicate_keys, unique_violations, constraint_rejects, stale_rows, unmatched_source,
-        op_chain, ordered_key_layout, stream_merge,
+        op_chain, ordered_key_layout, bucketed_merge, stream_merge,
     )
 }

@@ -41,6 +41,11 @@ WITH ord_t AS (
   SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position, p_partkey AS origin, p_name, p_brand,
          p_type, p_size, p_retailprice
   FROM part WHERE p_type = 'PROMO'
+), part_m AS (
+  SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position, p_partkey AS origin,
+         CASE WHEN p_brand = 'Brand#1' THEN p_name ELSE p_name || ' by ' || p_brand END AS p_name,
+         'NEW' AS p_brand, p_type, p_size, p_retailprice
+  FROM part
 )
 """
 
@@ -87,6 +92,14 @@ def reissued_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumnRenamed("p_partkey", "origin")
 
 
+def renamed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a feed that names it with its brand, save those of the first brand."""
+    branded = F.concat_ws(" by ", "p_name", "p_brand")
+    named = F.when(F.col("p_brand") == "Brand#1", F.col("p_name")).otherwise(branded)
+    parts = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "origin")
+    return parts.withColumns({"p_name": named, "p_brand": F.lit("NEW")})
+
+
 def _since_1999(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= _day("1999-01-01"))
 

@@ -61,6 +61,11 @@ FROM (SELECT {_ALL} FROM ord_t UNION ALL SELECT {_ALL} FROM ord_new) both_parts"
 FROM ({_after_update(_MATCHED)}) updated""",
     "insert_if_missing": f"SELECT {_ALL} FROM ord_t UNION ALL {_NEW_ROWS}",
     "insert_if_missing_output": f"SELECT o_orderkey, 'INSERT' AS action FROM ({_NEW_ROWS}) added",
+    "insert_null_keys": f"""SELECT {_ALL} FROM ord_t UNION ALL
+SELECT {_ALL} FROM (
+  SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    o_orderpriority, ver FROM ord_s) s
+WHERE NOT EXISTS (SELECT 1 FROM ord_t t WHERE t.o_orderkey = s.o_orderkey)""",
     "insert_identity": f"""SELECT p_partkey, {_PART_COLUMNS} FROM part UNION ALL
 SELECT (SELECT max(p_partkey) FROM part) + 1 + position, {_PART_COLUMNS} FROM part_new""",
     "insert_output": """SELECT position AS __bulk_index, 'INSERT' AS action,
@@ -79,6 +84,10 @@ FROM part p LEFT JOIN part_s s ON p.p_name = s.p_name""",
     "update_token_checked": _after_update(_MATCHED_WITH_TOKEN),
     "update_output": """SELECT s.seq AS __bulk_index, 'UPDATE' AS action, t.o_orderkey, s.o_totalprice, s.o_orderpriority
 FROM ord_t t JOIN ord_s s ON t.o_orderkey = s.o_orderkey AND t.ver = s.ver""",
+    "collated_update": """SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
+  CASE WHEN d.c_name IS NOT NULL THEN 'OVERDRAWN' ELSE c.c_mktsegment END AS c_mktsegment
+FROM customer c LEFT JOIN (SELECT upper(c_name) AS c_name FROM customer WHERE c_acctbal < 0) d
+ON lower(c.c_name) = lower(d.c_name)""",
     "delete_by_key": f"""SELECT {_ALL} FROM ord_t t
 WHERE NOT EXISTS (SELECT 1 FROM ord_s s WHERE s.o_orderkey = t.o_orderkey)""",
     "delete_slim_source": """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer c
@@ -102,6 +111,16 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'NONE', ver FROM ({_N
         "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM ord_d) d"
         " WHERE rn = 1)"
     ),
+    "merge_insert_identity": f""", part_last AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY position DESC) AS rn FROM part_m) ranked WHERE rn = 1)
+SELECT p.p_partkey, p.p_name,
+  CASE WHEN s.p_name IS NOT NULL THEN s.p_brand ELSE p.p_brand END AS p_brand,
+  CASE WHEN s.p_name IS NOT NULL THEN s.p_type ELSE p.p_type END AS p_type,
+  CASE WHEN s.p_name IS NOT NULL THEN s.p_size ELSE p.p_size END AS p_size,
+  CASE WHEN s.p_name IS NOT NULL THEN s.p_retailprice ELSE p.p_retailprice END AS p_retailprice
+FROM part p LEFT JOIN part_last s ON p.p_name = s.p_name
+UNION ALL SELECT (SELECT max(p_partkey) FROM part) + 1 + position, {_PART_COLUMNS} FROM part_last s
+WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_name = s.p_name)""",
     "merge_empty_source": f"SELECT {_ALL} FROM ord_t",
     "merge_output": """SELECT s.seq AS __bulk_index, CASE WHEN t.o_orderkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action,
   s.o_orderkey, s.o_totalprice, s.o_orderpriority
@@ -129,6 +148,7 @@ WHERE t.ver <> s.ver""",
 {_after_update("ord_all t LEFT JOIN ord_s s ON t.o_orderkey = s.o_orderkey")}
 WHERE NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_orderkey = t.o_orderkey)""",
     "ordered_key_layout": _UPSERTED,
+    "bucketed_merge": _UPSERTED,
     "stream_merge": """SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) ranked WHERE rn = 1""",
 }
