@@ -134,6 +134,11 @@ class Operation:
             layout = replace(layout, sort_by=self.sort_columns or result.match or self.spec.keys)
         return result.save(path, layout, self.on_progress)
 
+    def save_table(self, name: str, buckets: int) -> Counts:
+        """Write the next snapshot as a new catalog table in hash buckets of the match columns, which
+        later operations on those columns join without shuffling it."""
+        return self.plan().save_table(name, buckets, self.layout)
+
     def commit(self, path: str) -> Counts:
         """Write the next snapshot of a catalog table to a new folder and let the table point there.
 

@@ -22,7 +22,7 @@ from rowtide.functions.enums import enum_label
 from rowtide.operators.classify import DELETED, INSERTED, UPDATED
 from rowtide.operators.constraints import unique_violations
 from rowtide.plans.roles import ACTION, MERGE, ORDINAL
-from rowtide.sources.tables import Layout, write_rows, write_snapshot
+from rowtide.sources.tables import Layout, write_rows, write_snapshot, write_table
 
 
 class Counts(NamedTuple):
@@ -142,6 +142,18 @@ class ChangeResult:
             progress(counts.total_affected)
         return counts
 
+    def save_table(self, name: str, buckets: int, layout: Layout | None = None) -> Counts:
+        """Write the snapshot as a new catalog table in hash buckets of the match columns."""
+        if not self.match:
+            raise ConfigurationError(f"{self.kind} has no match columns to bucket by")
+        try:
+            self._require_unique()
+            counts = self._guarded()
+            write_table(self.snapshot, name, self.match, buckets, layout or Layout())
+        except SPARK_ERRORS as error:
+            raise translated(error) from error
+        return counts
+
     def append_to(self, path: str, layout: Layout | None = None) -> Counts:
         """Add the new rows to an existing folder without rewriting it. Inserts only."""
         return self._append(lambda rows: write_rows(rows, path, layout or Layout(), mode="append"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from catalog.changes import QUERIES
-from rowtide import merge
+from rowtide import insert, merge
 from rowtide.plans import joins
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,3 +64,32 @@ def test_the_hot_key_list_is_broadcast_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in plan
+
+
+def test_a_bucketed_table_is_joined_where_it_lies(spark):
+    for name in ("bucketed_one", "bucketed_two"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first = insert(fx.on_file(spark, SF_DIR), fx.first_time(spark, SF_DIR), fx.ORDERS).if_missing()
+        assert first.save_table("bucketed_one", buckets=4).inserted > 0
+        second = merge(spark.table("bucketed_one"), fx.feed(spark, SF_DIR), fx.ORDERS).sequence("seq", True)
+        plan = plan_of(second.check_token(False).plan().snapshot)
+        # The source's shuffle is the only one.
+        assert plan.count("Exchange hashpartitioning") == 1 and "FullOuter" in plan
+        assert second.save_table("bucketed_two", buckets=4).updated > 0
+        assert spark.table("bucketed_two").count() == fx.table(spark, SF_DIR, "orders").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_chain_on_one_key_keeps_its_partitioning(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["op_chain"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The table once, and the source of the update and of the delete.
+    assert plan.count("Exchange hashpartitioning") <= 4
