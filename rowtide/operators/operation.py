@@ -114,8 +114,11 @@ class Operation:
         return replace(self, on_progress=callback)
 
     def plan(self) -> ChangeResult:
-        """Check the description against both schemas and derive the outcome. Starts no job, unless
-        rows have to be numbered and the source has no column to number them by."""
+        """Check the description against both schemas and derive the outcome.
+
+        Starts a job in two cases only: to number source rows that have no number of their own, and
+        to look for hot keys where a large source meets a target whose match key may repeat.
+        """
         target = self._target()
         self.spec.check_against(target.schema)
         source = renamed(self.source, self.mapping)

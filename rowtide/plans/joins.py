@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.session import frozen
+
 FAN = "__fan"
 SALT = "__salt"
 PIECE = "__piece"
@@ -25,6 +27,12 @@ LARGE = 256 * 1024 * 1024
 # A key is only worth splitting when it is large in absolute terms too.
 SMALLEST_HOT_KEY = 1_000_000
 
+# Sampled rows of a key that fills one shuffle partition, bytes of a stored key, and the share of
+# rows to sample when the size is anyone's guess.
+SAMPLE_PER_SHARE = 1000
+KEY_BYTES = 16
+SMALLEST_SAMPLE = 0.001
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df``, or ``None`` where it is not available."""
@@ -55,22 +63,35 @@ def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
     return reduce(and_, (left[mine] == right[theirs] for mine, theirs in pairs))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY) -> DataFrame | None:
     """Keys that hold more than one shuffle partition's share of ``df``, and into how many pieces
-    to split each.
+    to split each; ``None`` if there are none.
 
-    With P shuffle partitions and N rows a key qualifies above N / P rows, so fewer than P keys can
-    qualify whatever the data looks like, and their pieces add up to less than 2 P. The counts are
-    combined before the shuffle, so a hot key costs one row per map task.
+    With P shuffle partitions fewer than P keys can hold more than 1 / P of the rows, whatever the
+    data looks like, and their pieces add up to less than 2 P. A sample of the key columns that
+    gives such a key about a thousand rows is enough to find them. The list is frozen, so that both
+    sides of a join see the same one.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    share = F.col("__rows") * F.lit(partitions) / total
-    return counted.where((F.col("__rows") > floor) & (share > 1)).select(
-        *(F.col(name).alias(f"{HOT}{name}") for name in keys),
-        F.ceil(share).cast("int").alias(FAN),
+    key_columns = df.select(*keys)
+    fraction = _sample_fraction(key_columns, partitions)
+    seen = Observation()
+    sample = key_columns.sample(fraction, seed=1).observe(seen, F.count(F.lit(1)).alias("rows"))
+    least = max(floor * fraction, SAMPLE_PER_SHARE / 2 if fraction < 1 else 0)
+    counted = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    large = frozen(counted.where(F.col("__rows") > least))
+    share = F.col("__rows") * F.lit(partitions / max(seen.get["rows"], 1))
+    hot = large.where(share > 1).select(
+        *(F.col(name).alias(f"{HOT}{name}") for name in keys), F.ceil(share).cast("int").alias(FAN)
     )
+    return None if hot.isEmpty() else hot
+
+
+def _sample_fraction(key_columns: DataFrame, partitions: int) -> float:
+    estimate = estimated_bytes(key_columns)
+    if not estimate:
+        return 1.0
+    return min(1.0, max(SMALLEST_SAMPLE, SAMPLE_PER_SHARE * partitions * KEY_BYTES / estimate))
 
 
 def join_on_keys(
@@ -84,14 +105,13 @@ def join_on_keys(
     """``left`` joined to ``right``, which holds each key once.
 
     A small right side is broadcast by Spark, and unique keys cannot be skewed. Otherwise the hot
-    keys of the left side are spread over several partitions and their few right-hand rows are
-    repeated to meet them.
+    keys of the left side are looked for, which starts a job; if there are any, they are spread over
+    several partitions and their few right-hand rows are repeated to meet them.
     """
-    if left_is_unique or fits_broadcast(right):
-        return left.join(right, equal(left, right, pairs), how)
-
     left_keys = [mine for mine, _ in pairs]
-    hot = hot_keys(left, left_keys, floor)
+    hot = None if left_is_unique or fits_broadcast(right) else hot_keys(left, left_keys, floor)
+    if hot is None:
+        return left.join(right, equal(left, right, pairs), how)
     spread = _spread_left(left, left_keys, hot)
     repeated = _repeat_right(right, pairs, hot)
     met = equal(spread, repeated, pairs) & (spread[PIECE] == repeated[SALT])
@@ -115,7 +135,7 @@ def _repeat_right(right: DataFrame, pairs: Sequence[tuple[str, str]], hot: DataF
 
 
 def _same_hot_key(side: DataFrame, hot: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    # Null-safe on both sides: null keys need spreading too, and Spark then broadcasts ``hot`` once.
+    # Null-safe: null keys need spreading too.
     return reduce(and_, (side[own].eqNullSafe(hot[f"{HOT}{name}"]) for own, name in pairs))
 
 

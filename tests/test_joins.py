@@ -13,7 +13,8 @@ from rowtide.plans import joins
 
 
 @pytest.fixture
-def no_broadcast(spark):
+def no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SMALLEST_SAMPLE", 1.0)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
@@ -23,7 +24,6 @@ def no_broadcast(spark):
 @pytest.fixture
 def eager_splitting(monkeypatch, no_broadcast):
     """Split hot keys of any size, and never take the broadcast way out."""
-    monkeypatch.setattr(joins, "SMALLEST_HOT_KEY", 0)
     monkeypatch.setattr(joins.hot_keys, "__defaults__", (0,))
     monkeypatch.setattr(joins.join_on_keys, "__defaults__", (0,))
 
@@ -54,6 +54,16 @@ def test_hot_keys_are_few_and_cover_the_skew(spark, no_broadcast):
     assert sum(found.values()) <= 2 * partitions
 
 
+def test_a_sample_finds_the_hot_keys_of_a_large_side(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "SMALLEST_SAMPLE", 0.001)
+    left = spark.range(400_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    assert joins._sample_fraction(left.select("k"), 4) < 0.05
+    found = joins.hot_keys(left, ["k"], floor=100_000).collect()
+    assert [(r["__hot_k"], r["__fan"]) for r in found] == [(-1, 2)]
+    assert joins.hot_keys(left.where("k >= 0"), ["k"], floor=100_000) is None
+    assert joins.hot_keys(left, ["k"]) is None
+
+
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
 def test_split_join_equals_brute_force(spark, no_broadcast, how):
     rows, left = skewed(spark)
@@ -73,7 +83,6 @@ def test_a_hot_key_reaches_several_tasks(spark, no_broadcast):
     _, left = skewed(spark)
     _, right = lookup(spark, [7])
     joined = joins.join_on_keys(left, right, [("k", "rk")], "left", left_is_unique=False, floor=0)
-    spread = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         spread = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from catalog.changes import QUERIES
@@ -52,20 +51,6 @@ def test_two_shuffled_sides_meet_in_one_join(spark):
     assert "FullOuter" in plan and "Broadcast" not in plan
 
 
-def test_the_hot_key_list_is_broadcast_once(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        left = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-        right = spark.range(3).select(F.col("id").alias("rk"))
-        plan = plan_of(joins.join_on_keys(left, right, [("k", "rk")], "left", left_is_unique=False, floor=0))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "ReusedExchange" in plan
-
-
 def test_a_bucketed_table_is_joined_where_it_lies(spark):
     for name in ("bucketed_one", "bucketed_two"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
