@@ -288,7 +288,7 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     latest = BucketedTable(f"{folder}/table", T.StructType(fields.fields), ("user_id",), buckets=8)
     stream = (
         spark.readStream.schema(fx.table(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet").parquet(sf)
+        .parquet(f"{sf}/events.parquet*")  # as a pattern it may name a file or a folder
         .select("user_id", "event_id", "event_type", "value")
     )
     started = apply_stream(

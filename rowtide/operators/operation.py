@@ -140,7 +140,10 @@ class Operation:
     def save_table(self, name: str, buckets: int) -> Counts:
         """Write the next snapshot as a new catalog table in hash buckets of the match columns, which
         later operations on those columns join without shuffling it."""
-        return self.plan().save_table(name, buckets, self.layout)
+        result = self.plan()
+        if not self.spec.identifies(result.match):
+            raise ConfigurationError("a table is bucketed by a unique key, so that no bucket outgrows the others")
+        return result.save_table(name, buckets, self.layout)
 
     def commit(self, path: str) -> Counts:
         """Write the next snapshot of a catalog table to a new folder and let the table point there.

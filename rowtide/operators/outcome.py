@@ -22,6 +22,7 @@ from rowtide.functions.enums import enum_label
 from rowtide.operators.classify import DELETED, INSERTED, UPDATED
 from rowtide.operators.constraints import unique_violations
 from rowtide.plans.roles import ACTION, MERGE, ORDINAL
+from rowtide.session import observed
 from rowtide.sources.tables import Layout, write_rows, write_snapshot, write_table
 
 
@@ -133,9 +134,9 @@ class ChangeResult:
                 write_snapshot(self.snapshot, path, layout)
             else:
                 seen = Observation()
-                observed = replace(self, rows=self.rows.observe(seen, *_tallies()))
-                write_snapshot(observed.snapshot, path, layout)
-                counts = Counts(**seen.get)
+                watched = replace(self, rows=self.rows.observe(seen, *_tallies()))
+                write_snapshot(watched.snapshot, path, layout)
+                counts = Counts(**observed(seen))
         except SPARK_ERRORS as error:
             raise translated(error) from error
         if progress is not None:
@@ -144,8 +145,6 @@ class ChangeResult:
 
     def save_table(self, name: str, buckets: int, layout: Layout | None = None) -> Counts:
         """Write the snapshot as a new catalog table in hash buckets of the match columns."""
-        if not self.match:
-            raise ConfigurationError(f"{self.kind} has no match columns to bucket by")
         try:
             self._require_unique()
             counts = self._guarded()
@@ -171,7 +170,7 @@ class ChangeResult:
             write(self.new_rows.observe(seen, *_tallies()).select(*self.table_columns))
         except SPARK_ERRORS as error:
             raise translated(error) from error
-        return Counts(**seen.get)
+        return Counts(**observed(seen))
 
     def _counted(self) -> Counts:
         return Counts(*self.counts.first())

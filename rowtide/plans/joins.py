@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.session import frozen
+from rowtide.session import frozen, observed
 
 FAN = "__fan"
 SALT = "__salt"
@@ -80,7 +80,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY)
     least = max(floor * fraction, SAMPLE_PER_SHARE / 2 if fraction < 1 else 0)
     counted = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     large = frozen(counted.where(F.col("__rows") > least))
-    share = F.col("__rows") * F.lit(partitions / max(seen.get["rows"], 1))
+    share = F.col("__rows") * F.lit(partitions / max(observed(seen).get("rows", 0), 1))
     hot = large.where(share > 1).select(
         *(F.col(name).alias(f"{HOT}{name}") for name in keys), F.ceil(share).cast("int").alias(FAN)
     )

@@ -1,11 +1,12 @@
-"""Where intermediate results are frozen."""
+"""Freezing intermediate results, and reading what was observed on the way."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from rowtide.errors import ConfigurationError
 
@@ -42,3 +43,11 @@ def frozen(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """The values an observation took; none if the optimizer knew that no row would pass it."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}

@@ -76,7 +76,9 @@ class BucketedTable:
         typed = T.StructType(list(self.schema) + [T.StructField(BUCKET, T.IntegerType())])
         try:
             return spark.read.schema(typed).parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return spark.createDataFrame([], typed)
 
     def _in_buckets(self, rows: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ class BucketedTable:
         """The buckets of the source's keys: at most ``buckets`` numbers."""
         mapping = {theirs: mine for mine, theirs in operation.mapping.items()}
         if isinstance(operation, Merge) and operation.mirror:
-            return list(range(self.buckets))
+            return [] if operation.source.isEmpty() else list(range(self.buckets))
         found = operation.source.select(self.bucket_of(mapping).alias(BUCKET)).distinct()
         return sorted(row[BUCKET] for row in found.where(F.col(BUCKET).isNotNull()).collect())
 

@@ -118,3 +118,10 @@ def test_generated_ids_and_unique_keys_look_beyond_the_touched_buckets(spark, tm
         with pytest.raises(ConstraintError, match=name):
             made.apply(insert(None, taken, spec).if_missing().ordinal("n"), str(tmp_path / f"s-{name}"))
     assert made.read(spark).count() == 21
+
+
+def test_an_empty_mirror_touches_nothing(spark, table, tmp_path):
+    before = files(table)
+    nothing = spark.createDataFrame([], "k long, v string, n long")
+    assert table.apply(merge(None, nothing, SPEC).sequence("n").delete_unmatched(), str(tmp_path / "s1")) == Counts()
+    assert files(table) == before

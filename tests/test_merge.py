@@ -191,3 +191,21 @@ def test_commit_switches_a_catalog_table(books, sent, spark, tmp_path):
     chain.then(delete(None, sent(("M0002", "", 1)), spec))
     chain.commit(spec, str(tmp_path / "v2"))
     assert by_isbn(spark.table("kept_books"), "title") == {"M0001": "changed"}
+
+
+def test_an_empty_table_and_an_empty_source_can_be_written(spark, tmp_path):
+    for name in ("t", "s"):
+        spark.createDataFrame([], "k long, v string").write.parquet(str(tmp_path / name))
+    target, source = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    spec = TableSpec("t", keys=("k",))
+    assert merge(target, source, spec).sequence("v").save(str(tmp_path / "next")) == Counts()
+    empty = target.where("false")
+    assert merge(empty, source.where("false"), spec).sequence("v").save(str(tmp_path / "next2")) == Counts()
+    assert insert(empty, source.where("false"), spec).append_to(str(tmp_path / "t")) == Counts()
+
+
+def test_only_a_unique_key_makes_buckets(books, sent):
+    with pytest.raises(ConfigurationError, match="unique key"):
+        insert(books(), sent(("A", "a", 1)), BOOKS).ordinal("n").save_table("never_written", buckets=4)
+    with pytest.raises(ConfigurationError, match="unique key"):
+        update(books(), sent(("A", "a", 1)), BOOKS).match_on("title").update_columns("price").save_table("x", 4)
