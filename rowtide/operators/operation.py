@@ -242,12 +242,15 @@ class Operation:
         **more,
     ) -> ChangeResult:
         roles = subject.roles
-        keyed = distinct(roles.match + roles.output)
-        after = F.when(F.col(ACTION) != DELETED, F.lit(True))
-        shown = [
-            F.when(after, F.col(n)).alias(n) if self.mirror and n not in roles.match else F.col(n) for n in keyed
-        ]
-        changes = changed.where(F.col(ACTION).isNotNull()).select(ORDINAL, ACTION, *shown)
+
+        def to_changes(frame: DataFrame) -> DataFrame:
+            after = F.when(F.col(ACTION) != DELETED, F.lit(True))
+            shown = [
+                F.when(after, F.col(n)).alias(n) if self.mirror and n not in roles.match else F.col(n)
+                for n in distinct(roles.match + roles.output)
+            ]
+            return frame.where(F.col(ACTION).isNotNull()).select(ORDINAL, ACTION, *shown)
+
         if ORDINAL in source.columns and self._wants_output():
             sole = not roles.match or roles.target_is_unique
             own = _with_source_names(source, self.mapping)
@@ -255,7 +258,7 @@ class Operation:
                 own, made, roles.output, self.mapping, self.spec.enums, sole
             )
         return ChangeResult(
-            kind=self.kind, rows=rows, changes=changes, staged=staged,
+            kind=self.kind, rows=rows, changed=changed, changes_of=to_changes, staged=staged,
             table_columns=tuple(n for n in rows.columns if n not in (ACTION, ORDINAL)),
             match=roles.match, guards=self.guards, elsewhere=self.elsewhere,
             at_risk={group: _new_values(staged, group) for group in at_risk}, **more,

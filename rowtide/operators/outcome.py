@@ -22,7 +22,7 @@ from rowtide.functions.enums import enum_label
 from rowtide.operators.classify import DELETED, INSERTED, UPDATED
 from rowtide.operators.constraints import unique_violations
 from rowtide.plans.roles import ACTION, MERGE, ORDINAL
-from rowtide.session import observed
+from rowtide.session import frozen, observed
 from rowtide.sources.tables import Layout, write_rows, write_snapshot, write_table
 
 
@@ -53,13 +53,14 @@ class ChangeResult:
     """The outcome of one operation. All frames are lazy.
 
     ``rows`` holds every row after the change with its ``action``; it is what a snapshot is written
-    from. ``changes`` holds one row per changed table row: ordinal of the source row, action, match
-    columns and output columns. ``new_rows`` is set where the operation only adds rows.
+    from. ``changed`` holds at least the changed ones. ``new_rows`` is set where the operation only
+    adds rows, ``removed_rows`` where it only removes some.
     """
 
     kind: str
     rows: DataFrame
-    changes: DataFrame
+    changed: DataFrame
+    changes_of: Callable[[DataFrame], DataFrame]
     staged: DataFrame
     table_columns: tuple[str, ...]
     match: tuple[str, ...] = ()
@@ -79,6 +80,11 @@ class ChangeResult:
         kept = self.rows.where(~F.col(ACTION).eqNullSafe(DELETED)) if self.may_delete else self.rows
         return kept.select(*self.table_columns)
 
+    @property
+    def changes(self) -> DataFrame:
+        """One row per changed table row: ordinal of the source row, action, match and output columns."""
+        return self.changes_of(self.changed)
+
     @property
     def counts(self) -> DataFrame:
         """One row of counters, read from the change set's ``action`` column alone."""
@@ -99,6 +105,15 @@ class ChangeResult:
             raise ConfigurationError(f"{self.kind} does not compare its source rows this way")
         return find()
 
+    def freeze(self) -> ChangeResult:
+        """The same outcome, computed once and kept on shared storage.
+
+        Snapshot and change set otherwise run the join each; freezing pays where both are wanted, or
+        where the source would not read the same twice.
+        """
+        rows = frozen(self.rows)
+        return replace(self, rows=rows, changed=rows if self.changed is self.rows else frozen(self.changed))
+
     def write_back(self) -> DataFrame:
         """The source rows with the output columns filled from the rows they changed."""
         if self.enriched is None:

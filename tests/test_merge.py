@@ -180,6 +180,19 @@ def test_null_keys_can_be_let_through(books, sent, strategy):
     assert operation.ignore_null_keys().check() == Counts(1, 1, 0, 2)
 
 
+@STRATEGIES
+def test_a_frozen_outcome_is_the_same_outcome(books, sent, strategy):
+    source = sent(("M0001", "changed", 11), ("M0003", "new", 3))
+    result = upsert(books("M", 2), source, strategy).delete_unmatched().output_generated().plan()
+    kept = result.freeze()
+    for lazy, stored in ((result.snapshot, kept.snapshot), (result.changes, kept.changes)):
+        assert sorted(map(str, lazy.collect())) == sorted(map(str, stored.collect()))
+    assert kept.check() == result.check() == Counts(1, 1, 1, 3)
+    assert by_isbn(kept.write_back(), "id") == by_isbn(result.write_back(), "id")
+    gone = delete(books("M", 2), sent(("M0001", "", 1)), BOOKS).match_on("isbn").plan().freeze()
+    assert gone.check().deleted == 1 and gone.snapshot.count() == 1
+
+
 def test_commit_switches_a_catalog_table(books, sent, spark, tmp_path):
     spark.sql("DROP TABLE IF EXISTS kept_books")
     books("M", 2).write.saveAsTable("kept_books")
