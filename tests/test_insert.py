@@ -7,6 +7,7 @@ from rowtide import (
     ConfigurationError, ConstraintError, Counts, DuplicateKeysError, ExecutionError, TableSpec, insert,
 )
 from rowtide.functions.enums import decode_enums, encode_enums
+from rowtide.plans import joins
 from rowtide.sources.tables import Layout
 from tests.conftest import BOOKS, by_isbn
 
@@ -224,3 +225,17 @@ def test_append_to_a_catalog_table(spark, sent):
     assert insert(None, sent(("A", "a", 1)), spec).append().inserted == 1
     assert insert(None, sent(("A", "x", 1), ("B", "b", 2)), spec).if_missing().append().inserted == 1
     assert by_isbn(spark.table("shelf"), "title") == {"A": "a", "B": "b"}
+
+
+@pytest.mark.parametrize("sampled", [0.001, 1.0])
+def test_null_keys_are_named_even_when_met_while_planning(books, sent, monkeypatch, sampled):
+    monkeypatch.setattr(joins, "SMALLEST_SAMPLE", sampled)
+    source = sent(("A", "a", 1)).withColumn("isbn", F.lit(None).cast("string"))
+    with pytest.raises(ConstraintError, match="null match key"):
+        insert(books("M", 2), source, TableSpec("books")).if_missing("isbn").check()
+
+
+def test_a_default_that_is_no_expression_is_reported(books, sent):
+    spec = TableSpec("books", keys=("id",), identity="id", defaults={"edition": "no_such_column + 1"})
+    with pytest.raises(ExecutionError, match="no_such_column"):
+        insert(books(), sent(("A", "a", 1)), spec).columns("isbn", "title", "price").ordinal("n").plan()
