@@ -109,6 +109,13 @@ def updated(subject: Subject, staged: DataFrame) -> DataFrame:
     return _after_change(subject, joined.withColumn(ACTION, action), may_insert=False)
 
 
+def deleted(subject: Subject, staged: DataFrame) -> DataFrame:
+    """The target with the action ``DELETE`` on every row that meets a staged row."""
+    joined = _left_joined(subject, staged, subject.roles.match + subject.roles.check)
+    action = F.when(F.col(HIT), F.lit(DELETED)).alias(ACTION)
+    return joined.select(*subject.columns, action, F.lit(None).cast("long").alias(ORDINAL))
+
+
 def removed(subject: Subject, staged: DataFrame) -> DataFrame:
     """Target rows that meet a staged row."""
     return _by_key_and_token(subject, staged, "left_semi")

@@ -409,12 +409,10 @@ class Delete(_Keyed):
             keys = sent_rows = keep_single(sent_rows, subject.sent_keys(roles.match))
         else:
             keys = sent_rows.select(*compared).distinct()
-        gone = classify.removed(subject, keys)
-        no_action = F.lit(None).cast("string").alias(ACTION), F.lit(None).cast("long").alias(ORDINAL)
-        rows = classify.remaining(subject, keys).select("*", *no_action)
-        changed = gone.select("*", F.lit(DELETED).alias(ACTION), no_action[1])
+        rows = classify.deleted(subject, keys)
         return self._result(
-            subject, source, sent_rows, rows, changed, removed_rows=gone,
+            subject, source, sent_rows, rows, rows, may_delete=True,
+            kept_rows=classify.remaining(subject, keys), removed_rows=classify.removed(subject, keys),
             **self._unapplied(subject, sent_rows, roles.source_must_be_unique),
         )
 

@@ -54,7 +54,7 @@ class ChangeResult:
 
     ``rows`` holds every row after the change with its ``action``; it is what a snapshot is written
     from. ``changed`` holds at least the changed ones. ``new_rows`` is set where the operation only
-    adds rows, ``removed_rows`` where it only removes some.
+    adds rows; ``kept_rows`` and ``removed_rows`` where it only removes some.
     """
 
     kind: str
@@ -66,6 +66,7 @@ class ChangeResult:
     match: tuple[str, ...] = ()
     guards: Guards = field(default_factory=Guards)
     new_rows: DataFrame | None = None
+    kept_rows: DataFrame | None = None
     removed_rows: DataFrame | None = None
     may_delete: bool = False
     at_risk: Mapping[tuple[str, ...], DataFrame | None] = field(default_factory=dict)
@@ -77,7 +78,9 @@ class ChangeResult:
     @property
     def snapshot(self) -> DataFrame:
         """The whole table after the operation."""
-        kept = self.rows.where(~F.col(ACTION).eqNullSafe(DELETED)) if self.may_delete else self.rows
+        kept = self.kept_rows
+        if kept is None:
+            kept = self.rows.where(~F.col(ACTION).eqNullSafe(DELETED)) if self.may_delete else self.rows
         return kept.select(*self.table_columns)
 
     @property
@@ -112,7 +115,8 @@ class ChangeResult:
         where the source would not read the same twice.
         """
         rows = frozen(self.rows)
-        return replace(self, rows=rows, changed=rows if self.changed is self.rows else frozen(self.changed))
+        changed = rows if self.changed is self.rows else frozen(self.changed)
+        return replace(self, rows=rows, changed=changed, kept_rows=None)
 
     def write_back(self) -> DataFrame:
         """The source rows with the output columns filled from the rows they changed."""
@@ -137,19 +141,18 @@ class ChangeResult:
     ) -> Counts:
         """Write the snapshot to a new folder; guards and unique keys are checked before.
 
-        Where the written rows carry every action and no shuffle follows, the counters are taken as
-        the rows pass by: only the successful attempt of a final task counts. Otherwise a job of
-        their own reads the columns they need.
+        Where no shuffle follows, the counters are taken as the rows pass by: only the successful
+        attempt of a final task counts. Otherwise a job of their own reads the columns they need.
         """
         layout = layout or Layout()
         try:
             self._require_unique()
-            if self.guards.active or layout.sort_by or self.removed_rows is not None:
+            if self.guards.active or layout.sort_by:
                 counts = self._guarded()
                 write_snapshot(self.snapshot, path, layout)
             else:
                 seen = Observation()
-                watched = replace(self, rows=self.rows.observe(seen, *_tallies()))
+                watched = replace(self, rows=self.rows.observe(seen, *_tallies()), kept_rows=None)
                 write_snapshot(watched.snapshot, path, layout)
                 counts = Counts(**observed(seen))
         except SPARK_ERRORS as error:
