@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from catalog.changes import QUERIES
+from catalog.oracle import ORACLE_SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = sorted(name.removesuffix(".parquet") for name in os.listdir(SF_DIR) if name.endswith(".parquet"))
@@ -23,14 +25,15 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, oracle, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
-    expected = oracle.execute(entry_points.oracle_sql()[name])
+    expected = oracle.execute(ORACLE_SQL[name])
     names = [d[0] for d in expected.description]
     assert sorted(names) == columns
     places = [names.index(c) for c in columns]
