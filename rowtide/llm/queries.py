@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, forest, language, mixing, packing, topk
+from rowtide.llm import chat, forest, language, mixing, packing, topk, toxicity
 from rowtide.llm.common import id_hash
 
 
@@ -24,6 +24,17 @@ def packed(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels of four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    fold = id_hash("doc_id", 5)
+    network = toxicity.learned(docs.where(fold != 0), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, network).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "windows", "worst",
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of the packed documents, its ids as their crc32."""
     return packed(table(spark, sf_dir, "documents")).select(
@@ -70,6 +81,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op4_nearest": op4_nearest,
     "op5_language": op5_language,
