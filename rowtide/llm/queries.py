@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, forest, language, mixing, packing, topk, toxicity
+from rowtide.llm import chat, forest, language, licenses, mixing, packing, topk, toxicity
 from rowtide.llm.common import id_hash
 
 
@@ -70,6 +70,12 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted(rows.unionByName(added)))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that lines of the documents name."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.trained(docs))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, each repeated as its source's target weight asks."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest": op4_nearest,
     "op5_language": op5_language,
     "op6_chat": op6_chat,
+    "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
