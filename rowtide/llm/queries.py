@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, forest, language, licenses, mixing, packing, topk, toxicity
+from rowtide.llm import chat, forest, jaccard, language, licenses, mixing, packing, topk, toxicity
 from rowtide.llm.common import id_hash
 
 
@@ -42,6 +42,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-copy component of every document."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors found for every 100th one."""
     return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
@@ -89,6 +94,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
+    "op3_jaccard": op3_jaccard,
     "op4_nearest": op4_nearest,
     "op5_language": op5_language,
     "op6_chat": op6_chat,
@@ -97,7 +103,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_topk": op10_topk,
 }
 
+#: Components by shared shingles; ``{docs}`` has doc_id and text.
+JACCARD_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM {docs}
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM split
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS n_both
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs WHERE 100 * n_both >= 75 * (na + nb - n_both)
+), reached AS (
+  SELECT doc_id AS id, doc_id AS to_id FROM sets
+  UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.to_id = l.a
+), components AS (
+  SELECT id, min(to_id) AS component_id FROM reached GROUP BY id
+)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard": JACCARD_SQL.format(docs="documents") + """
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN components ON doc_id = id
+""",
     "op6_chat": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
