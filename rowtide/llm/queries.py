@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, forest, jaccard, language, licenses, mixing, packing, topk, toxicity
+from rowtide.llm import chat, forest, jaccard, language, licenses, mixing, packing, repeats, topk, toxicity
 from rowtide.llm.common import id_hash
 
 
@@ -75,6 +75,16 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted(rows.unionByName(added)))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without runs of 50 bytes that earlier documents have."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licences that lines of the documents name."""
     docs = table(spark, sf_dir, "documents")
@@ -98,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest": op4_nearest,
     "op5_language": op5_language,
     "op6_chat": op6_chat,
+    "op7_repeats": op7_repeats,
     "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
