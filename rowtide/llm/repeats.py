@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.components import salt, salts
@@ -226,42 +227,58 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     return whole.union(parts.select("doc_id", "key", F.lit(False), "parts"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False
+) -> DataFrame:
     """``docs`` without the bytes that runs of 50 bytes of documents with smaller ids cover.
 
     ``doc_id, kept binary`` (the remaining bytes), ``n_bytes long, spans array<struct<start long, end long>>`` (the
-    maximal removed runs), a row per row of ``docs``. A run that starts in a document with a smaller id goes
-    wherever it stands in a later one; runs are judged on the input, overlaps count, and none crosses
-    documents. Repeats within one document stay. Equal texts are told by 128 bits of hashes and their length.
+    maximal removed runs) and the columns of ``carry``, a row per row of ``docs``. A run that starts in a
+    document with a smaller id goes wherever it stands in a later one; runs are judged on the input,
+    overlaps count, and none crosses documents. Repeats within one document stay. Equal texts are told by
+    128 bits of hashes and their length. With ``as_text``, ``kept`` is a string, without the characters of
+    which a byte went, and null for a null text.
 
     A null text is empty. A row without id loses nothing and takes nothing from others. Rows that repeat an id
     take nothing from each other. An empty table gives no rows. Other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    columns = [F.col(f"`{c}`").alias(f"carried_{n}") for n, c in enumerate(carry)]
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *columns)
     rows = rows.withColumn("key", text_key(1))
     named = rows.where(F.col("doc_id").isNotNull())
-    cuts = removed_spans(named).withColumnRenamed("key", "_key").withColumnRenamed("doc_id", "_id")
-    joined = named.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
-    nameless = rows.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("boolean").alias("whole"), F.lit(None).cast("array<binary>").alias("parts"))
+    cuts = removed_spans(named.select("doc_id", "key", "text")).withColumnRenamed("key", "_key").withColumnRenamed("doc_id", "_id")
+    joined = named.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left").drop("_id", "_key", "key")
+    nameless = rows.where(F.col("doc_id").isNull()).drop("key").withColumns(
+        {"whole": F.lit(None).cast("boolean"), "parts": F.lit(None).cast("array<binary>")}
+    )
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    carried = [f"carried_{n}" for n in range(len(carry))]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, sizes, spans = [], [], []
-            for text, whole, parts in zip(*(batch[c].to_pylist() for c in ("text", "whole", "parts")), strict=True):
-                data = bytes_of(text)
-                ranges = [(0, len(data))] if whole else united(parts or ())
-                kept.append(b"".join(data[a:b] for a, b in zip([0, *(e for _, e in ranges)], [*(s for s, _ in ranges), len(data)], strict=True)))
-                sizes.append(len(data))
-                spans.append([{"start": a, "end": b} for a, b in ranges])
-            yield pa.record_batch({
-                "doc_id": batch["doc_id"], "kept": pa.array(kept, pa.binary()), "n_bytes": pa.array(sizes, pa.int64()),
-                "spans": pa.array(spans, pa.list_(span)),
-            })
-
-    return joined.select("doc_id", "text", "whole", "parts").union(nameless).mapInArrow(
-        cut, "doc_id long, kept binary, n_bytes long, spans array<struct<start: long, end: long>>"
-    )
+        for big in batches:
+            for at in range(0, big.num_rows, 1024):
+                batch = big.slice(at, 1024)
+                kept, sizes, spans = [], [], []
+                for text, whole, parts in zip(*(batch[c].to_pylist() for c in ("text", "whole", "parts")), strict=True):
+                    data = bytes_of(text)
+                    ranges = [(0, len(data))] if whole else united(parts or ())
+                    left = b"".join(data[a:b] for a, b in zip([0, *(e for _, e in ranges)], [*(s for s, _ in ranges), len(data)], strict=True))
+                    kept.append(left if not as_text else left.decode("utf-8", "ignore") if text is not None else None)
+                    sizes.append(len(data))
+                    spans.append([{"start": a, "end": b} for a, b in ranges])
+                yield pa.record_batch({
+                    "doc_id": batch["doc_id"], "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
+                    "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, pa.list_(span)),
+                    **{c: batch[c] for c in carried},
+                })
+
+    out = joined.unionByName(nameless).mapInArrow(cut, T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
+        T.StructField("n_bytes", T.LongType()),
+        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        *(T.StructField(c, rows.schema[c].dataType) for c in carried),
+    ]))
+    return out.select("doc_id", "kept", "n_bytes", "spans", *(F.col(c).alias(name) for c, name in zip(carried, carry, strict=True)))
 
 
 def united(parts: list[bytes]) -> list[tuple[int, int]]:

@@ -328,6 +328,27 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int
     return trained([r["text"] for r in rows], [r["toxic"] for r in rows], seed=seed)
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            yield batch.slice(at, 512)
+
+
+def judged(network: Network, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, number of windows and first word of the highest one (-1: none) of each text."""
+    words, ids, starts = numbered(texts)
+    owner, first, last = windows_of(starts)
+    count = np.bincount(owner, minlength=len(texts))
+    best, worst = np.full(len(texts), network.prior), np.full(len(texts), -1)
+    if len(owner):
+        found = network.scores(network.gates_of(network.inputs(Features.of(words))), ids, first, last)
+        begins = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
+        best[owner[begins]] = np.maximum.reduceat(found, begins)
+        top = np.lexsort((-first, found, owner))[np.r_[begins[1:], len(owner)] - 1]
+        worst[owner[top]] = first[top] - starts[owner[top]]
+    return best, count, worst
+
+
 def score(docs: DataFrame, network: Network) -> DataFrame:
     """``doc_id, score double, windows long, worst long`` of each document of ``docs (doc_id, text)``.
 
@@ -338,27 +359,23 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for at in range(0, big.num_rows, 512):
-                yield scored(big.slice(at, 512))
-
-    def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, ids, starts = numbered(batch["text"].to_pylist())
-        owner, first, last = windows_of(starts)
-        count = np.bincount(owner, minlength=batch.num_rows)
-        best = np.full(batch.num_rows, network.prior)
-        worst = np.full(batch.num_rows, -1)
-        if len(owner):
-            found = network.scores(network.gates_of(network.inputs(Features.of(words))), ids, first, last)
-            begins = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
-            best[owner[begins]] = np.maximum.reduceat(found, begins)
-            top = np.lexsort((-first, found, owner))[np.r_[begins[1:], len(owner)] - 1]
-            worst[owner[top]] = first[top] - starts[owner[top]]
-        return pa.record_batch({
-            "doc_id": batch["doc_id"], "score": pa.array(best, pa.float64()), "windows": pa.array(count, pa.int64()),
-            "worst": pa.array(worst, pa.int64(), mask=worst < 0),
-        })
+        for batch in parts(batches):
+            best, count, worst = judged(network, batch["text"].to_pylist())
+            yield pa.record_batch({
+                "doc_id": batch["doc_id"], "score": pa.array(best, pa.float64()), "windows": pa.array(count, pa.int64()),
+                "worst": pa.array(worst, pa.int64(), mask=worst < 0),
+            })
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double, windows long, worst long"
     )
+
+
+def kept(docs: DataFrame, network: Network, below: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores below a bar; cases as in ``score``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            yield batch.filter(pa.array(judged(network, batch["text"].to_pylist())[0] < below))
+
+    return docs.mapInArrow(run, docs.schema)
