@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.session import frozen
 
-#: Pieces over which the rows of one value are spread in a join.
+#: Pieces over which the rows of one value are spread.
 SALTS = 8
 
 
@@ -19,24 +23,41 @@ def salts() -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one partition as ``(id, smallest id it reaches here)``."""
+    up: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        top = i
+        while (above := up.setdefault(top, top)) != top:
+            top = above
+        while up[i] != top:
+            up[i], i = top, up[i]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    pairs = np.array([(i, root(i)) for i in up if up[i] != i], np.int64).reshape(-1, 2)
+    yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` (the smallest id reached) of every id in ``links (a long, b long)``.
 
-    Each round gives an id the smallest label next to it and then the label of that label, so labels
-    travel twice as far in every round. Rounds stop when none changes. Nothing is collected, and the
-    joins spread the rows of an id that many others link to.
+    In each round an id meets all ids it is linked to, spread over a few partitions where these are many;
+    each partition replaces its links by links to the smallest ids they reach. Rounds stop when every id
+    has one link and that leads to an id that has none. Nothing is collected.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct().toDF("id", "other")
-    both = frozen(both.select("id", "other", salt("id")))
-    labels = frozen(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("label")))
+    links = links.select("a", "b").where("a <> b").distinct()
     while True:
-        nodes = labels.select(F.col("id").alias("other"), F.col("label").alias("near"), salts())
-        near = both.join(nodes, ["other", "salt"]).groupBy("id").agg(F.min("near").alias("near"))
-        hooked = labels.join(near, "id").select("id", F.least("label", "near").alias("hook"), F.col("label").alias("was"))
-        used = hooked.select("hook").distinct()
-        onward = hooked.select(F.col("id").alias("hook"), F.col("hook").alias("onward")).join(used, "hook").select("*", salts())
-        step = hooked.select("*", salt("id")).join(onward, ["hook", "salt"])
-        step = frozen(step.select("id", F.least("hook", "onward").alias("label"), "was"))
-        labels = step.select("id", "label")
-        if step.where("label <> was").isEmpty():
-            return labels.toDF("id", "component")
+        both = links.union(links.select("b", "a")).repartition("a", salt("b"))
+        links = frozen(both.mapInArrow(contracted, "a long, b long").distinct())
+        ends = links.select(F.col("a").alias("id"), F.lit(1).alias("leaves"), F.lit(0).alias("enters")).union(
+            links.select("b", F.lit(0), F.lit(1))
+        )
+        seen = ends.groupBy("id").agg(F.sum("leaves").alias("leaves"), F.max("enters").alias("enters"))
+        if seen.where("leaves > 1 or (leaves > 0 and enters > 0)").isEmpty():
+            return links.union(links.select("b", "b").distinct()).toDF("id", "component")
