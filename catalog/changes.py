@@ -66,6 +66,28 @@ def computed_column(spark: SparkSession, sf: str) -> DataFrame:
     return update(stored, fx.feed(spark, sf), spec).check_token(False).plan().snapshot
 
 
+def computed_on_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """A computed column that is stored out of date, and one that is not stored."""
+    spec = replace(fx.ORDERS, computed={"half_price": "o_totalprice * 0.5D", "paid": "o_totalprice + 1"})
+    outdated = fx.on_file(spark, sf).withColumn("half_price", F.lit(0.0))
+    return insert(outdated, fx.first_time(spark, sf), spec).plan().snapshot
+
+
+def computed_on_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The same under a merge that only inserts."""
+    spec = replace(fx.ORDERS, computed={"half_price": "o_totalprice * 0.5D", "paid": "o_totalprice + 1"})
+    outdated = fx.on_file(spark, sf).withColumn("half_price", F.lit(0.0))
+    return merge(outdated, fx.first_time(spark, sf), spec).update_columns().plan().snapshot
+
+
+def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Pending orders of the feed lose their key; each is a row of its own."""
+    keyed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    source = fx.feed(spark, sf).withColumn("o_orderkey", keyed)
+    merged = merge(fx.on_file(spark, sf), source, TableSpec("orders")).match_on("o_orderkey").sequence("seq")
+    return merged.ignore_null_keys().plan().snapshot
+
+
 def insert_if_missing(spark: SparkSession, sf: str) -> DataFrame:
     return insert(fx.on_file(spark, sf), fx.feed(spark, sf), fx.ORDERS).if_missing().plan().snapshot
 
@@ -131,9 +153,9 @@ def update_output(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collated_update(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers found by name whatever its case."""
-    overdrawn = fx.table(spark, sf, "customer").where(F.col("c_acctbal") < 0)
-    source = overdrawn.select(F.upper("c_name").alias("c_name"), F.lit("OVERDRAWN").alias("c_mktsegment"))
+    """Every customer, found by name whatever its case."""
+    standing = F.when(F.col("c_acctbal") < 0, "OVERDRAWN").otherwise("IN CREDIT").alias("c_mktsegment")
+    source = fx.table(spark, sf, "customer").select(F.upper("c_name").alias("c_name"), standing)
     changed = update(fx.table(spark, sf, "customer"), source, fx.CUSTOMERS).match_on("c_name")
     return changed.update_columns("c_mktsegment").collate_keys("UTF8_LCASE").plan().snapshot
 
@@ -303,6 +325,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         bulk_append, append_subset_defaults, append_null_defaults, typed_append, enum_codes, computed_column,
+        computed_on_insert, computed_on_merge, merge_null_keys,
         insert_if_missing, insert_if_missing_output, insert_null_keys, insert_identity, insert_output, insert_keep_identity,
         update_by_key, update_subset, update_natural_key, mapped_update, update_token_checked, update_output,
         collated_update,

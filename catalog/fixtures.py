@@ -36,11 +36,11 @@ WITH ord_t AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 2, 'LAST', o_custkey % 3, o_orderkey + 1000000000
   FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' AND o_orderpriority = '1-URGENT'
 ), part_s AS (
-  SELECT p_name, min(p_partkey) AS seq, 'NK' AS p_brand FROM part WHERE p_size = 1 GROUP BY p_name
+  SELECT p_name, min(p_partkey) AS seq, 'NK' AS p_brand FROM part GROUP BY p_name
 ), part_new AS (
   SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position, p_partkey AS origin, p_name, p_brand,
          p_type, p_size, p_retailprice
-  FROM part WHERE p_type = 'PROMO'
+  FROM part
 ), part_m AS (
   SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS position, p_partkey AS origin,
          CASE WHEN p_brand = 'Brand#1' THEN p_name ELSE p_name || ' by ' || p_brand END AS p_name,
@@ -81,15 +81,13 @@ def feed_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rebranding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A new brand for the names of the smallest parts; a name belongs to many parts."""
-    smallest = table(spark, sf_dir, "part").where(F.col("p_size") == 1)
-    return smallest.groupBy("p_name").agg(F.min("p_partkey").alias("seq"), F.lit("NK").alias("p_brand"))
+    """A new brand for every part name; a name belongs to many parts."""
+    return table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("seq"), F.lit("NK").alias("p_brand"))
 
 
 def reissued_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promotional parts to be added again under new ids, in the order of the old ones."""
-    parts = table(spark, sf_dir, "part").where(F.col("p_type") == "PROMO")
-    return parts.withColumnRenamed("p_partkey", "origin")
+    """Every part, to be added again under a new id, in the order of the old ones."""
+    return table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "origin")
 
 
 def renamed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

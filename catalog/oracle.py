@@ -43,6 +43,9 @@ _PART_COLUMNS = "p_name, p_brand, p_type, p_size, p_retailprice"
 _LINE_ORDER = """l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
   l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC"""
 
+_COMPUTED = f"""SELECT {_ALL}, CAST(o_totalprice * 0.5 AS DOUBLE) AS half_price, o_totalprice + 1 AS paid
+FROM (SELECT {_ALL} FROM ord_t UNION ALL SELECT {_ALL} FROM ord_new) both_parts"""
+
 _BODIES = {
     "bulk_append": f"SELECT {_ALL} FROM ord_t UNION ALL SELECT {_ALL} FROM ord_new",
     "append_subset_defaults": f"""SELECT {_ALL} FROM ord_t UNION ALL
@@ -59,6 +62,14 @@ FROM (SELECT {_ALL} FROM ord_t UNION ALL SELECT {_ALL} FROM ord_new) both_parts"
 FROM (SELECT {_ALL} FROM ord_t UNION ALL SELECT {_ALL} FROM ord_new) both_parts""",
     "computed_column": f"""SELECT {_ALL}, CAST(o_totalprice * 0.5 AS DOUBLE) AS half_price
 FROM ({_after_update(_MATCHED)}) updated""",
+    "computed_on_insert": _COMPUTED,
+    "computed_on_merge": _COMPUTED,
+    "merge_null_keys": f"""SELECT * FROM (
+  SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+    o_orderpriority, ver FROM ord_s) s
+UNION ALL
+SELECT {_ALL} FROM ord_t t
+WHERE NOT EXISTS (SELECT 1 FROM ord_s s WHERE s.o_orderstatus <> 'P' AND s.o_orderkey = t.o_orderkey)""",
     "insert_if_missing": f"SELECT {_ALL} FROM ord_t UNION ALL {_NEW_ROWS}",
     "insert_if_missing_output": f"SELECT o_orderkey, 'INSERT' AS action FROM ({_NEW_ROWS}) added",
     "insert_null_keys": f"""SELECT {_ALL} FROM ord_t UNION ALL
@@ -85,8 +96,8 @@ FROM part p LEFT JOIN part_s s ON p.p_name = s.p_name""",
     "update_output": """SELECT s.seq AS __bulk_index, 'UPDATE' AS action, t.o_orderkey, s.o_totalprice, s.o_orderpriority
 FROM ord_t t JOIN ord_s s ON t.o_orderkey = s.o_orderkey AND t.ver = s.ver""",
     "collated_update": """SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
-  CASE WHEN d.c_name IS NOT NULL THEN 'OVERDRAWN' ELSE c.c_mktsegment END AS c_mktsegment
-FROM customer c LEFT JOIN (SELECT upper(c_name) AS c_name FROM customer WHERE c_acctbal < 0) d
+  CASE WHEN d.c_acctbal < 0 THEN 'OVERDRAWN' ELSE 'IN CREDIT' END AS c_mktsegment
+FROM customer c JOIN (SELECT upper(c_name) AS c_name, c_acctbal FROM customer) d
 ON lower(c.c_name) = lower(d.c_name)""",
     "delete_by_key": f"""SELECT {_ALL} FROM ord_t t
 WHERE NOT EXISTS (SELECT 1 FROM ord_s s WHERE s.o_orderkey = t.o_orderkey)""",

@@ -10,7 +10,7 @@ from rowtide.errors import SPARK_ERRORS, translated
 from rowtide.operators.operation import Operation
 from rowtide.operators.outcome import ChangeResult, Counts
 from rowtide.session import frozen
-from rowtide.sources.tables import Layout, point_to, qualified, write_snapshot
+from rowtide.sources.tables import Layout, point_to, qualified, require_movable, write_snapshot
 from rowtide.spec import TableSpec
 
 
@@ -57,6 +57,7 @@ class Chain:
 
     def commit(self, spec: TableSpec, path: str, table: str | None = None, schema: str | None = None) -> list[Counts]:
         """Save to a new folder, then let the catalog table point there: all steps take effect at once."""
+        require_movable(self._table.sparkSession, qualified(spec, table, schema))
         counts = self.save(path)
         point_to(self._table.sparkSession, qualified(spec, table, schema), path)
         return counts

@@ -68,7 +68,7 @@ class Subject:
 
 def untouched(subject: Subject) -> DataFrame:
     """The target as it is."""
-    return subject.target.select(*subject.columns, *_no_change())
+    return _with_computed(subject, subject.target.select(*subject.columns, *_no_change()))
 
 
 def appended(subject: Subject, staged: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def deleted(subject: Subject, staged: DataFrame) -> DataFrame:
     """The target with the action ``DELETE`` on every row that meets a staged row."""
     joined = _left_joined(subject, staged, subject.roles.match + subject.roles.check)
     action = F.when(F.col(HIT), F.lit(DELETED)).alias(ACTION)
-    return joined.select(*subject.columns, action, F.lit(None).cast("long").alias(ORDINAL))
+    return _with_computed(subject, joined.select(*subject.columns, action, F.lit(None).cast("long").alias(ORDINAL)))
 
 
 def removed(subject: Subject, staged: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def _by_key_and_token(subject: Subject, staged: DataFrame, how: str) -> DataFram
     roles = subject.roles
     pairs = subject.pairs(roles.match + roles.check)
     met = join_on_keys(subject.target, staged, pairs, how, roles.target_is_unique)
-    return met.select(*subject.columns)
+    return _with_computed(subject, met.select(*subject.columns))
 
 
 def _left_joined(subject: Subject, staged: DataFrame, names) -> DataFrame:
@@ -228,6 +228,7 @@ def _next_version(subject: Subject) -> Column:
 
 
 def _with_computed(subject: Subject, frame: DataFrame) -> DataFrame:
+    """``frame`` with every computed column evaluated on every row, whether the table stores it or not."""
     computed = {name: F.expr(text) for name, text in subject.spec.computed.items()}
     if not computed:
         return frame

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.errors import SPARK_ERRORS, ConfigurationError, translated
+from rowtide.errors import CONSTRAINT_MARK, SPARK_ERRORS, ConfigurationError, translated
 from rowtide.operators import classify
 from rowtide.operators.classify import DELETED, Subject
 from rowtide.operators.duplicates import KEEP_LAST, REJECT, keep_last, keep_single
@@ -24,7 +24,7 @@ from rowtide.operators.identity import with_ordinal
 from rowtide.operators.outcome import ChangeResult, Counts, Guards, enriched_source
 from rowtide.operators.staging import FOLDED, SEQUENCE, renamed, sent, stage
 from rowtide.plans.roles import ACTION, DELETE, INSERT, MERGE, ORDINAL, UPDATE, Choices, Roles, distinct, resolve_roles
-from rowtide.sources.tables import Layout, point_to, qualified, read_table
+from rowtide.sources.tables import Layout, point_to, qualified, read_table, require_movable
 from rowtide.spec import TableSpec
 
 
@@ -153,6 +153,7 @@ class Operation:
 
         Readers see the old snapshot until the last step, which touches the catalog only.
         """
+        require_movable(self.source.sparkSession, self._table())
         counts = self.save(path)
         point_to(self.source.sparkSession, self._table(), path)
         return counts
@@ -191,6 +192,9 @@ class Operation:
         folded = frozenset(n for n in roles.match if isinstance(target.schema[n].dataType, T.StringType))
         comparable = {FOLDED + n: F.collate(F.col(n), self.collation) for n in folded}
         compared = target.withColumns(comparable) if comparable else target
+        if folded:
+            # Values that differ in the table may be equal under the collation.
+            roles = replace(roles, target_is_unique=False)
         return Subject(compared, self.spec, roles, folded, self.elsewhere)
 
     def _choose(self, **changes) -> Self:
@@ -204,7 +208,11 @@ class Operation:
         if ORDINAL in source.columns:
             return source
         if self.ordinal_column is not None:
-            return source.withColumn(ORDINAL, F.col(self._called(self.ordinal_column)).cast("long"))
+            number = F.col(self._called(self.ordinal_column)).cast("long")
+            if needs_ordinal:
+                wrong = F.raise_error(F.concat(F.lit(f"{CONSTRAINT_MARK} ordinal "), F.coalesce(number.cast("string"), F.lit("null"))))
+                number = F.when(number >= 0, number).otherwise(wrong.cast("long"))
+            return source.withColumn(ORDINAL, number)
         if not needs_ordinal:
             return source
         if self.number_in_place:
@@ -232,7 +240,10 @@ class Operation:
     def _one_per_key(self, subject: Subject, staged: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         sequence = SEQUENCE if SEQUENCE in staged.columns else None
         known_distinct = self.sequence_is_distinct or self.sequence_column is None
-        return keep_last(staged, subject.sent_keys(keys), sequence, known_distinct)
+        return keep_last(staged, subject.sent_keys(keys), sequence, known_distinct, self.null_keys == "ignore")
+
+    def _single(self, subject: Subject, staged: DataFrame) -> DataFrame:
+        return keep_single(staged, subject.sent_keys(subject.roles.match), self.null_keys == "ignore")
 
     def _result(
         self,
@@ -328,7 +339,10 @@ class Insert(_Returning):
         return replace(self, null_defaults=True)
 
     def on_duplicates(self, policy: str) -> Self:
-        """With ``last``, add one row per missing key. By default all are added."""
+        """With ``last``, add one row per missing key; with ``reject``, a repeated key stops the job. By default
+        all rows are added. Both need ``if_missing``."""
+        if policy not in (KEEP_LAST, REJECT):
+            raise ConfigurationError(f"unknown duplicate policy '{policy}'")
         return replace(self, duplicates=policy)
 
     def append_to(self, path: str) -> Counts:
@@ -345,8 +359,10 @@ class Insert(_Returning):
         source = self._numbered(source, generates or self._wants_output())
         staged = sent_rows = self._staged(subject, source)
         unique = False
-        if roles.source_must_be_unique:
-            staged, unique = keep_single(staged, subject.sent_keys(roles.match)), True
+        if self.duplicates is not None and not roles.match:
+            raise ConfigurationError("a duplicate policy needs match columns: use if_missing")
+        if roles.source_must_be_unique or self.duplicates == REJECT:
+            staged, unique = self._single(subject, staged), True
         elif roles.match and self.duplicates == KEEP_LAST:
             staged, unique = self._one_per_key(subject, staged, roles.match), True
         new = classify.absent(subject, staged, unique, asked=sent_rows) if roles.match else staged
@@ -383,7 +399,7 @@ class Update(_Keyed, _Returning):
         source = self._numbered(source, self._wants_output())
         sent_rows = self._staged(subject, source)
         if roles.source_must_be_unique:
-            sent_rows = keep_single(sent_rows, subject.sent_keys(roles.match))
+            sent_rows = self._single(subject, sent_rows)
             staged = sent_rows
         else:
             staged = self._one_per_key(subject, sent_rows, roles.match + roles.check)
@@ -406,7 +422,7 @@ class Delete(_Keyed):
         sent_rows = self._staged(subject, source)
         compared = subject.sent_keys(roles.match + roles.check)
         if roles.source_must_be_unique:
-            keys = sent_rows = keep_single(sent_rows, subject.sent_keys(roles.match))
+            keys = sent_rows = self._single(subject, sent_rows)
         else:
             keys = sent_rows.select(*compared).distinct()
         rows = classify.deleted(subject, keys)
@@ -455,7 +471,7 @@ class Merge(_Keyed, _Returning):
         source = self._numbered(source, generates or self._wants_output() or unordered)
         all_rows = self._staged(subject, source)
         if reject:
-            staged = keep_single(all_rows, subject.sent_keys(roles.match))
+            staged = self._single(subject, all_rows)
         else:
             staged = self._one_per_key(subject, all_rows, roles.match)
         rest = _has_rows(source) if self.mirror else None

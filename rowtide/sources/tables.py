@@ -46,6 +46,18 @@ def read_table(spark: SparkSession, spec: TableSpec, table: str | None = None, s
         raise ExecutionError(f"cannot read {name}: {error}") from error
 
 
+def require_movable(spark: SparkSession, table: str) -> None:
+    """Refuse a table that a new location alone would not change.
+
+    Partitions keep locations of their own, and buckets need files that are written in buckets.
+    """
+    fixed = [c.name for c in spark.catalog.listColumns(table) if c.isPartition or c.isBucket]
+    if fixed:
+        raise ConfigurationError(
+            f"{table} is partitioned or bucketed by {', '.join(fixed)}: save the snapshot and write the table anew"
+        )
+
+
 def point_to(spark: SparkSession, table: str, path: str) -> None:
     """Let a catalog table read from ``path`` from now on."""
     location = path.replace("'", "\\'")

@@ -1,0 +1,97 @@
+"""Rules that hold for every operation: computed columns, incomplete and collated keys, tables that stay put."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowtide import ConfigurationError, ConstraintError, TableSpec, delete, insert, merge, update
+
+PRICES = TableSpec("prices", keys=("id",), computed={"half": "p * 0.5D", "twice": "p * 2D"})
+
+
+@pytest.fixture
+def priced(spark):
+    """Two rows; ``half`` is stored out of date and ``twice`` is not stored."""
+    return spark.createDataFrame([(1, 10.0, 0.0), (2, 20.0, 0.0)], "id int, p double, half double")
+
+
+def halves(frame):
+    return {r["id"]: (r["half"], r["twice"]) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("strategy", ["full", "split", "auto"])
+@pytest.mark.parametrize("names", [None, (), ("p",)])
+@pytest.mark.parametrize("mirror", [False, True])
+def test_computed_on_every_row_of_a_merge(spark, priced, strategy, names, mirror):
+    source = spark.createDataFrame([(2, 22.0), (3, 30.0)], "id int, p double")
+    operation = merge(priced, source, PRICES).strategy(strategy)
+    operation = operation if names is None else operation.update_columns(*names)
+    operation = operation.delete_unmatched() if mirror else operation
+    second = 20.0 if names == () else 22.0
+    want = {1: 10.0, 2: second, 3: 30.0} if not mirror else {2: second, 3: 30.0}
+    assert halves(operation.plan().snapshot) == {i: (p * 0.5, p * 2) for i, p in want.items()}
+
+
+def test_computed_on_every_row_of_the_others(spark, priced):
+    source = spark.createDataFrame([(2, 22.0)], "id int, p double")
+    new = spark.createDataFrame([(3, 30.0)], "id int, p double")
+    assert halves(insert(priced, new, PRICES).plan().snapshot) == {1: (5.0, 20.0), 2: (10.0, 40.0), 3: (15.0, 60.0)}
+    assert halves(update(priced, source, PRICES).plan().snapshot) == {1: (5.0, 20.0), 2: (11.0, 44.0)}
+    assert halves(delete(priced, source, PRICES).plan().snapshot) == {1: (5.0, 20.0)}
+
+
+@pytest.mark.parametrize("strategy", ["full", "split"])
+@pytest.mark.parametrize("policy", [None, "reject"])
+def test_incomplete_keys_are_never_repeats(spark, strategy, policy):
+    spec = TableSpec("t", unique=(("k",),))
+    target = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    source = spark.createDataFrame([(None, 3), (None, 3), ("a", 4), ("b", 5)], "k string, v int")
+    operation = merge(target, source, spec).match_on("k").sequence("v").strategy(strategy).ignore_null_keys()
+    operation = operation.on_duplicates(policy) if policy else operation
+    got = sorted(map(tuple, operation.plan().snapshot.collect()), key=str)
+    assert got == sorted([("a", 4), (None, 2), (None, 3), (None, 3), ("b", 5)], key=str)
+
+
+def test_collated_write_back_returns_each_row_once(spark):
+    spec = TableSpec("t", unique=(("name",),))
+    target = spark.createDataFrame([("A", 1), ("a", 2)], "name string, v int")
+    source = spark.createDataFrame([("A", 9, 0)], "name string, v int, n int")
+    changed = update(target, source, spec).match_on("name").update_columns("v").ordinal("n").output("v")
+    assert changed.collate_keys("UTF8_LCASE").plan().write_back().count() == 1
+
+
+@pytest.mark.parametrize("layout", ["partition", "bucket"])
+def test_commit_refuses_what_a_location_cannot_change(spark, tmp_path, layout):
+    spec = TableSpec(f"kept_{layout}", schema="default", keys=("id",))
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
+    writer = rows.write.format("parquet").mode("overwrite")
+    writer = writer.partitionBy("v") if layout == "partition" else writer.bucketBy(2, "id")
+    writer.saveAsTable(f"default.{spec.name}")
+    with pytest.raises(ConfigurationError, match="partitioned or bucketed"):
+        merge(None, rows.withColumn("v", F.lit("z")), spec).commit(str(tmp_path / "next"))
+    assert not (tmp_path / "next").exists()
+    spark.sql(f"DROP TABLE default.{spec.name}")
+
+
+def test_duplicate_policy_of_insert(books, sent):
+    from tests.conftest import BOOKS
+
+    source = sent(("X", "a", 1), ("X", "b", 2))
+    with pytest.raises(ConfigurationError, match="unknown duplicate policy"):
+        insert(books(), source, BOOKS).if_missing("isbn").on_duplicates("lst")
+    with pytest.raises(ConfigurationError, match="needs match columns"):
+        insert(books(), source, BOOKS).on_duplicates("last").plan()
+    with pytest.raises(ConfigurationError):
+        insert(books(), source, BOOKS).if_missing("isbn").on_duplicates("reject").check()
+
+
+@pytest.mark.parametrize("number", [-1, None])
+def test_ids_need_ordinals(spark, books, number, tmp_path):
+    from tests.conftest import BOOKS
+
+    source = spark.createDataFrame([("X", "a", Decimal(1), 1, number)], "isbn string, title string, price decimal(18,2), edition int, n int")
+    with pytest.raises(ConstraintError, match="ordinal"):
+        insert(books(), source, BOOKS).ordinal("n").save(str(tmp_path / "next"))
