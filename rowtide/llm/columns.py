@@ -15,21 +15,34 @@ import numpy as np
 
 
 class Files:
-    """The transform and the common prefixes, a byte each per suffix, in two sets of files by turns."""
+    """The transform and the common prefixes, a byte each per suffix, in two sets of files by turns.
+
+    A file is written over from its start, so that its pages are used again.
+    """
 
     def __init__(self, folder: str):
-        self.folder, self.turn = folder, 0
+        self.files = [[open(os.path.join(folder, f"{name}-{turn}"), "w+b", buffering=0) for name in ("transform", "prefixes")]
+                      for turn in (0, 1)]
+        self.turn = self.size = 0
 
-    def path(self, name: str) -> str:
-        return os.path.join(self.folder, f"{name}-{self.turn}")
+    def read(self) -> list[np.ndarray]:
+        columns = []
+        for file in self.files[self.turn]:
+            file.seek(0)
+            columns.append(np.frombuffer(file.read(self.size), np.uint8))
+        return columns
 
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromfile(self.path("transform"), np.uint8), np.fromfile(self.path("prefixes"), np.uint8)
+    def write(self, *columns: np.ndarray) -> None:
+        self.turn, self.size = 1 - self.turn, len(columns[0])
+        for file, column in zip(self.files[self.turn], columns, strict=True):
+            file.seek(0)
+            left = memoryview(column).cast("B")
+            while len(left):
+                left = left[file.write(left):]
 
-    def write(self, transform: np.ndarray, prefixes: np.ndarray) -> None:
-        self.turn = 1 - self.turn
-        transform.tofile(self.path("transform"))
-        prefixes.tofile(self.path("prefixes"))
+    def close(self) -> None:
+        for file in (*self.files[0], *self.files[1]):
+            file.close()
 
 
 def least_between(prefixes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -56,41 +69,61 @@ def ordered_suffixes(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.n
     lengths = np.array([len(s) for s in strings], np.int64)
     ends = np.cumsum(lengths)
     symbols = np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1)
-    owner, length = np.arange(count, dtype=np.int32), np.zeros(count, np.uint8)
-    last = np.where(lengths > 0, symbols[ends - 1], 0).astype(np.uint8) if len(symbols) else np.zeros(count, np.uint8)
+    last = np.zeros(count, np.uint8)
+    last[lengths > 0] = symbols[ends[lengths > 0] - 1]
     with tempfile.TemporaryDirectory() as folder:
         files = Files(folder)
         files.write(last, np.zeros(count, np.uint8))
-        rank, going = np.arange(count), np.flatnonzero(lengths > 0)
-        rank = rank[going]
+        going = np.flatnonzero(lengths > 0)
+        rank = going
         for done in range(1, int(lengths.max(initial=0)) + 1):
             transform, prefixes = files.read()
-            order = np.argsort(transform, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            closed = int(np.count_nonzero(transform == 0))
+            order, place = by_symbol(transform)
             k = place[rank]
             symbol = transform[rank]
-            new = count + k - closed  # rank among all suffixes of the next round
-            # Common prefix with the suffix before, where that begins with the same symbol.
-            before = np.where(k > 0, order[k - 1], 0)
+            new = count + k - np.count_nonzero(transform == 0)  # rank among all suffixes of the next round
+            # Common prefix with the suffix before, and with the one behind, where they begin with the same symbol.
+            before = order[np.maximum(k - 1, 0)]
             tied = (k > 0) & (transform[before] == symbol)
             ahead = np.zeros(len(k), np.uint8)
             ahead[tied] = least_between(prefixes, before[tied], rank[tied]) + 1
             after = order[np.minimum(k + 1, len(order) - 1)]
             tied = (k + 1 < len(order)) & (transform[after] == symbol)
             behind = least_between(prefixes, rank[tied], after[tied]) + 1
-            sort = np.argsort(new)
-            gaps = new[sort] - np.arange(len(sort))
-            more = (lengths[going] > done)
+            more = lengths[going] > done
             following = np.zeros(len(going), np.uint8)
             following[more] = symbols[ends[going[more]] - 1 - done]
-            transform = np.insert(transform, gaps, following[sort])
-            prefixes = np.insert(prefixes, gaps, ahead[sort])
+            old = np.ones(len(transform) + len(new), bool)
+            old[new] = False
+            transform = inserted(transform, old, new, following)
+            prefixes = inserted(prefixes, old, new, ahead)
             prefixes[new[tied] + 1] = behind
-            owner = np.insert(owner, gaps, going[sort].astype(np.int32))
-            length = np.insert(length, gaps, np.uint8(done))
             files.write(transform, prefixes)
             rank, going = new[more], going[more]
-        prefixes = files.read()[1]
+        transform, prefixes = files.read()
+        files.close()
+    # The ranks of a string's suffixes, from the empty one on, by the same step through the whole transform.
+    _, place = by_symbol(transform)
+    shift = count - np.count_nonzero(transform == 0)
+    owner, length = np.zeros(len(transform), np.int32), np.zeros(len(transform), np.uint8)
+    going = rank = np.arange(count)
+    for done in range(int(lengths.max(initial=0)) + 1):
+        owner[rank], length[rank] = going, done
+        more = lengths[going] > done
+        going, rank = going[more], shift + place[rank[more]]
     return owner, length, prefixes
+
+
+def by_symbol(transform: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks in the order of their symbols, and where each rank comes in it."""
+    order = np.argsort(transform, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return order, place
+
+
+def inserted(column: np.ndarray, old: np.ndarray, new: np.ndarray, values: np.ndarray) -> np.ndarray:
+    wide = np.empty(len(old), column.dtype)
+    wide[old] = column
+    wide[new] = values
+    return wide

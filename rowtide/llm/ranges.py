@@ -12,6 +12,29 @@ from pyspark.sql import DataFrame
 CHUNK, RANGE = 2_000_000, 4_000_000
 
 
+#: Bits of a hash that are dealt, in 6 bytes.
+BITS = 48
+
+
+def packed(tokens: np.ndarray) -> bytes:
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :BITS // 8].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) * 8 // BITS, 8), np.uint8)
+    wide[:, :BITS // 8] = np.frombuffer(data, np.uint8).reshape(-1, BITS // 8)
+    return wide.view("<u8").ravel()
+
+
+def firsts(*columns: np.ndarray) -> np.ndarray:
+    """Which rows of sorted columns differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def range_bits(total: int) -> int:
     """The bits that number the ranges for so many hashes."""
     return (total // RANGE).bit_length()
@@ -22,7 +45,7 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
 
     ``keys``: the chunk's distinct sets. ``counts`` and ``tokens``: how many hashes of the range each of them alone
     has, and which. ``joint``: the hashes that several of them have; ``common_counts`` and ``common``: whose
-    these are. So a chunk names a hash to other chunks once, however many sets have it.
+    these are. Of a hash of 64 bits the first 48 are dealt. So a chunk names a hash to other chunks once, however many sets have it.
     """
     ranges = 1 << bits
 
@@ -31,13 +54,13 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(tokens, kind="stable")
         ordered = tokens[order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]]
+        new = firsts(ordered)
         times = np.diff(np.append(np.flatnonzero(new), len(ordered)))
         several = np.zeros(len(tokens), bool)
         several[order] = np.repeat(times > 1, times)
-        place = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64)
+        place = (tokens >> np.uint64(BITS - bits)).astype(np.int64)
         joint = ordered[new][times > 1]
-        joint_place = (joint >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(joint), np.int64)
+        joint_place = (joint >> np.uint64(BITS - bits)).astype(np.int64)
 
         def parts(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Hashes by range and set, where ranges begin, and counts."""
@@ -49,12 +72,12 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
         single, s_at, s_counts = parts(~several)
         common, c_at, c_counts = parts(several)
         j_at = np.searchsorted(joint_place, np.arange(ranges + 1))
-        packed = np.array(keys, np.int64).tobytes()
+        named = np.array(keys, np.int64).tobytes()
         for r in range(ranges):
             yield {
-                "range": r, "keys": packed, "counts": s_counts[r].astype(np.uint32).tobytes(),
-                "tokens": single[s_at[r]:s_at[r + 1]].tobytes(), "joint": joint[j_at[r]:j_at[r + 1]].tobytes(),
-                "common_counts": c_counts[r].astype(np.uint32).tobytes(), "common": common[c_at[r]:c_at[r + 1]].tobytes(),
+                "range": r, "keys": named, "counts": s_counts[r].astype(np.uint32).tobytes(),
+                "tokens": packed(single[s_at[r]:s_at[r + 1]]), "joint": packed(joint[j_at[r]:j_at[r + 1]]),
+                "common_counts": c_counts[r].astype(np.uint32).tobytes(), "common": packed(common[c_at[r]:c_at[r + 1]]),
             }
 
     schema = pa.schema([("range", pa.int32()), *((n, pa.binary()) for n in ("keys", "counts", "tokens", "joint", "common_counts", "common"))])
@@ -68,7 +91,7 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
                 for key, tokens in sets_of(batch):
                     if not len(tokens) or key in chunk:
                         continue
-                    chunk[key] = tokens
+                    chunk[key] = np.unique(tokens >> np.uint64(64 - BITS))
                     size += len(tokens)
                     if size >= CHUNK:
                         for row in rows(list(chunk), list(chunk.values())):
@@ -81,43 +104,48 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
     return docs.mapInArrow(run, "range int, keys binary, counts binary, tokens binary, joint binary, common_counts binary, common binary")
 
 
-def shared(chunks: DataFrame, frequent: int | None = None) -> DataFrame:
+def shared(chunks: DataFrame, frequent: int | None = None, ranked: bool = False) -> DataFrame:
     """``key, tokens binary, frequent binary``: of each range and set, the hashes that other sets have too.
 
-    Hashes that more than ``frequent`` sets have, if given, are in ``frequent``, the others in ``tokens``.
+    Hashes that more than ``frequent`` sets have, if given, are in ``frequent``, the others in ``tokens``. With
+    ``ranked`` each hash has in front the power of two of the number of sets that have it, so that the
+    numbers' order has the rare ones first.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        def column(name: str, kind: type) -> list[np.ndarray]:
-            return [np.frombuffer(x, kind) for x in table[name].to_pylist()]
+        def column(name: str, read: Callable[[bytes], np.ndarray]) -> list[np.ndarray]:
+            return [read(x) for x in table[name].to_pylist()]
 
-        keys = column("keys", np.int64)
+        keys = column("keys", lambda x: np.frombuffer(x, np.int64))
 
         def pairs(tokens: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
-            owner = [np.repeat(k, c) for k, c in zip(keys, column(counts, np.uint32), strict=True)]
-            return np.concatenate(column(tokens, np.uint64)), np.concatenate(owner)
+            owner = [np.repeat(k, c) for k, c in zip(keys, column(counts, lambda x: np.frombuffer(x, np.uint32)), strict=True)]
+            return np.concatenate(column(tokens, unpacked)), np.concatenate(owner)
 
         token, key = pairs("tokens", "counts")
         order = np.lexsort((key, token))
         token, key = token[order], key[order]
-        other = np.r_[True, (token[1:] != token[:-1]) | (key[1:] != key[:-1])]
+        other = firsts(token, key)
         token, key = token[other], key[other]
         same = token[1:] == token[:-1]
-        known = np.isin(token, np.unique(np.concatenate(column("joint", np.uint64))), kind="sort")
+        known = np.isin(token, np.unique(np.concatenate(column("joint", unpacked))), kind="sort")
         known[1:] |= same
         known[:-1] |= same
         more, owners = pairs("common", "common_counts")
         token, key = np.concatenate([token[known], more]), np.concatenate([key[known], owners])
         order = np.lexsort((token, key))
         token, key = token[order], key[order]
-        new = np.r_[True, (token[1:] != token[:-1]) | (key[1:] != key[:-1])] if len(token) else np.empty(0, bool)
+        new = firsts(token, key)
         token, key = token[new], key[new]
         many = np.zeros(len(token), bool)
-        if frequent is not None and len(token):
+        if len(token):
             _, place, count = np.unique(token, return_inverse=True, return_counts=True)
-            many = count[place] > frequent
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-        bounds = list(zip(first, np.append(first[1:], len(key)), strict=True))
+            if frequent is not None:
+                many = count[place] > frequent
+            if ranked:
+                token = token | (np.log2(count[place]).astype(np.uint64) << np.uint64(BITS))
+        first = np.flatnonzero(firsts(key))
+        bounds = list(zip(first, np.append(first, len(key))[1:], strict=True))
         return pa.table({
             "key": pa.array(key[first], pa.int64()),
             "tokens": pa.array([token[a:b][~many[a:b]].tobytes() for a, b in bounds], pa.binary()),

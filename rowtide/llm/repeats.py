@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.components import salt, salts
-from rowtide.llm.ranges import dealt, range_bits, shared
+from rowtide.llm.ranges import BITS, dealt, range_bits, shared
 from rowtide.llm.shingles import FACTOR, mixed
 from rowtide.session import frozen
 
@@ -75,7 +75,7 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
     A stretch has at most WINDOW runs, so WINDOW + RUN - 1 bytes.
     """
     with np.errstate(over="ignore"):
-        least = minimisers(np.frombuffer(data, np.uint8))
+        least = minimisers(np.frombuffer(data, np.uint8)) >> np.uint64(64 - BITS)
     at = np.minimum(np.searchsorted(chosen, least), len(chosen) - 1)
     wanted = chosen[at] == least
     new = np.r_[True, (least[1:] != least[:-1]) | (wanted[1:] != wanted[:-1])]
