@@ -51,13 +51,11 @@ def components(links: DataFrame) -> DataFrame:
     each partition replaces its links by links to the smallest ids they reach. Rounds stop when every id
     has one link and that leads to an id that has none. Nothing is collected.
     """
-    links = links.select("a", "b").where("a <> b").distinct()
+    links = links.select("a", "b").where("a <> b")
     while True:
         both = links.union(links.select("b", "a")).repartition("a", salt("b"))
-        links = frozen(both.mapInArrow(contracted, "a long, b long").distinct())
-        ends = links.select(F.col("a").alias("id"), F.lit(1).alias("leaves"), F.lit(0).alias("enters")).union(
-            links.select("b", F.lit(0), F.lit(1))
-        )
-        seen = ends.groupBy("id").agg(F.sum("leaves").alias("leaves"), F.max("enters").alias("enters"))
-        if seen.where("leaves > 1 or (leaves > 0 and enters > 0)").isEmpty():
-            return links.union(links.select("b", "b").distinct()).toDF("id", "component")
+        links = frozen(both.mapInArrow(contracted, "a long, b long"))
+        ends = links.union(links.select("b", F.lit(None)))
+        seen = ends.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"), F.count("*").alias("rows"), F.count("b").alias("leaves"))
+        if seen.where("low < high or (leaves > 0 and leaves < rows)").isEmpty():
+            return links.union(links.select("b", "b")).distinct().toDF("id", "component")
