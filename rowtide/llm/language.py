@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import first_by_hash
+
 UNDETERMINED = "und"
 #: A text is encoded in blocks, all of them, so that the dictionary counts as much at its end as at its start.
 BLOCK = 2048
@@ -31,9 +33,8 @@ def learned(docs: DataFrame, samples: int = 400, dictionary_bytes: int = 65536,
     without reading texts. Languages come with the most frequent first. Null languages, ids and texts are
     not learned from.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
     named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    chosen = named.select("lang", "doc_id").withColumn("n", F.row_number().over(order)).where(F.col("n") <= samples)
+    chosen = first_by_hash(named.select("lang", "doc_id"), "lang", F.lit(samples), seed)
     share = dictionary_bytes // samples * 4
     pieces = (
         named.join(F.broadcast(chosen.select("lang", "doc_id")), ["lang", "doc_id"], "left_semi")

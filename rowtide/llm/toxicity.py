@@ -12,9 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.llm.common import first_by_hash
+
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 12
@@ -316,13 +318,10 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int
     their id, ``sample`` toxic and twice as many clean ones, of at most ``longest`` characters each.
     Rows without id, text or label are not learned from; a repeated id is drawn once per row.
     """
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     short = docs.where(F.length("text").between(1, longest)).select("doc_id")
-    drawn = (
-        marked.join(short, "doc_id").withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= F.when(F.col("toxic") == 1, sample).otherwise(2 * sample)).drop("n")
-    )
+    limits = F.when(F.col("toxic") == 1, sample).otherwise(2 * sample)
+    drawn = first_by_hash(marked.join(short, "doc_id"), "toxic", limits, seed)
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").where(F.length("text").between(1, longest)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return trained([r["text"] for r in rows], [r["toxic"] for r in rows], seed=seed)
