@@ -118,7 +118,7 @@ def by_symbol(transform: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranks in the order of their symbols, and where each rank comes in it."""
     order = np.argsort(transform, kind="stable")
     place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    place[order] = np.arange(len(order), dtype=np.int64)
     return order, place
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Hashes that a task gathers before it deals them, and about how many a range holds.
+#: Hashes that a task gathers before it deals them, and about how many a range holds, unless others are asked for.
 CHUNK, RANGE = 2_000_000, 4_000_000
 
 
@@ -35,12 +35,12 @@ def firsts(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def range_bits(total: int) -> int:
+def range_bits(total: int, each: int = RANGE) -> int:
     """The bits that number the ranges for so many hashes."""
-    return (total // RANGE).bit_length()
+    return (total // each).bit_length()
 
 
-def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]]) -> DataFrame:
+def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], chunk_size: int = CHUNK) -> DataFrame:
     """The hashes of all sets by ranges: a row for each of the ``2**bits`` ranges and chunk of documents.
 
     ``keys``: the chunk's distinct sets. ``counts`` and ``tokens``: how many hashes of the range each of them alone
@@ -93,13 +93,14 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
                         continue
                     chunk[key] = np.unique(tokens >> np.uint64(64 - BITS))
                     size += len(tokens)
-                    if size >= CHUNK:
+                    if size >= chunk_size:
                         for row in rows(list(chunk), list(chunk.values())):
                             yield pa.RecordBatch.from_pylist([row], schema=schema)
                         chunk, size = {}, 0
         if chunk:
             for row in rows(list(chunk), list(chunk.values())):
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "range int, keys binary, counts binary, tokens binary, joint binary, common_counts binary, common binary")
 

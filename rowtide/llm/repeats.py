@@ -14,13 +14,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.components import salt, salts
@@ -32,6 +35,8 @@ RUN, GRAM = 50, 24
 WINDOW = RUN - GRAM + 1
 #: Texts that may share a minimiser before its runs are grouped one by one, and about how many stretches make a shard.
 FREQUENT, SHARD = 500, 3000
+#: Minimisers of a chunk and of a range, and stretches that a task gathers before it sends them on.
+HASHES, STRETCHES = 1_000_000, 100_000
 PIECES = "doc_id long, key long, spans binary"
 
 
@@ -94,24 +99,52 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
 
 
 def stretch_rows(held: DataFrame, shards: int) -> DataFrame:
-    """``shard, doc_id, key, starts, piece``: the stretches of ``held (doc_id, key, text, tokens)`` by shard."""
-    schema = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("starts", pa.binary()), ("piece", pa.binary())])
+    """``shard, packed``: the stretches of ``held (doc_id, key, packed, tokens)``, those of a task and shard together.
+
+    A value holds lists of document ids, keys, starts and pieces, compressed.
+    """
+
+    def flushed(gathered: dict[int, list[tuple]]) -> pa.RecordBatch:
+        encoder = zstandard.ZstdCompressor(level=3)
+        values = [encoder.compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True))))) for rows in gathered.values()]
+        return pa.record_batch({"shard": pa.array(list(gathered), pa.int64()), "packed": pa.array(values, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[dict] = []
-        for batch in batches:
-            for doc_id, key, text, tokens in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "text", "tokens")), strict=True):
+        gathered: dict[int, list[tuple]] = {}
+        size = 0
+        for batch in (big.slice(at, 256) for big in batches for at in range(0, big.num_rows, 256)):
+            for doc_id, key, row, tokens in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "packed", "tokens")), strict=True):
                 chosen = np.sort(np.frombuffer(tokens, np.uint64))
                 if not len(chosen):
                     continue
-                for minimiser, piece, starts in stretches(bytes_of(text), chosen):
-                    rows.append({"shard": minimiser % shards, "doc_id": doc_id, "key": key, "starts": np.array(starts, np.int64).tobytes(), "piece": piece})
-                if len(rows) >= 5000:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows = []
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                for minimiser, piece, starts in stretches(bytes_of(unpacked_row(row)[0]), chosen):
+                    gathered.setdefault(minimiser % shards, []).append((doc_id, key, starts, piece))
+                    size += 1
+                if size >= STRETCHES:
+                    yield flushed(gathered)
+                    gathered, size = {}, 0
+        yield flushed(gathered)
+
+    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(run, "shard long, packed binary")
 
-    return held.select("doc_id", "key", "text", "tokens").mapInArrow(run, "shard long, doc_id long, key long, starts binary, piece binary")
+
+def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], bytes]]:
+    """``(document id, key, starts, piece)`` of packed values."""
+    for value in values:
+        yield from zip(*pickle.loads(zstandard.decompress(value)), strict=True)
+
+
+def least_hashes(pieces: list[bytes]) -> np.ndarray:
+    """The minimiser that all runs of a stretch have: the least hash of its grams."""
+    ends = np.cumsum([len(p) for p in pieces])
+    hashes = np.full(int(ends[-1]), np.iinfo(np.uint64).max)
+    with np.errstate(over="ignore"):
+        found = gram_hashes(np.frombuffer(b"".join(pieces), np.uint8))
+    hashes[:len(found)] = found
+    # Grams that reach into the next piece do not count.
+    for back in range(1, GRAM):
+        hashes[ends - back] = np.iinfo(np.uint64).max
+    return np.minimum.reduceat(hashes, np.append(0, ends[:-1]))
 
 
 def merged(starts: np.ndarray) -> np.ndarray:
@@ -128,20 +161,19 @@ def by_columns(rows: DataFrame) -> DataFrame:
     """``doc_id, key, spans``: what the stretches of each shard repeat of earlier documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        docs = table["doc_id"].to_numpy()
-        keys = table["key"].to_numpy()
-        pieces = table["piece"].to_pylist()
-        order = np.argsort(docs, kind="stable")
+        held = sorted(stretches_of(table["packed"].to_pylist()), key=lambda h: h[0])
         # Equal stretches are one string, and belong to the first document that has it.
         strings: dict[bytes, int] = {}
-        string_of = np.empty(len(docs), np.int64)
         earliest: list[int] = []
-        for i in order.tolist():
-            number = strings.setdefault(pieces[i], len(strings))
-            string_of[i] = number
-            if number == len(earliest):
-                earliest.append(int(docs[i]))
-        owner, length, prefix = ordered_suffixes(list(strings))
+        for doc_id, _, _, piece in held:
+            if strings.setdefault(piece, len(strings)) == len(earliest):
+                earliest.append(doc_id)
+        # A string that alone has its minimiser shares no run with another one: later documents lose it whole.
+        pieces = list(strings)
+        _, group, members = np.unique(least_hashes(pieces), return_inverse=True, return_counts=True)
+        mixed_up = np.flatnonzero(members[group] > 1)
+        owner, length, prefix = ordered_suffixes([pieces[i] for i in mixed_up])
+        owner = mixed_up[owner]
         group = np.cumsum(prefix < RUN)
         full = length >= RUN
         owner, length, group = owner[full], length[full].astype(np.int64), group[full]
@@ -155,13 +187,15 @@ def by_columns(rows: DataFrame) -> DataFrame:
         owner, offset, least = owner[by_string], offset[by_string], least[by_string]
         at = np.searchsorted(owner, np.arange(len(strings) + 1))
         out: list[tuple[int, int, bytes]] = []
-        starts = table["starts"].to_pylist()
-        for i in order.tolist():
-            a, b = at[string_of[i]], at[string_of[i] + 1]
-            lost = offset[a:b][least[a:b] < docs[i]]
+        for doc_id, key, starts, piece in held:
+            number = strings[piece]
+            a, b = at[number], at[number + 1]
+            if earliest[number] < doc_id:
+                lost = np.arange(len(piece) - RUN + 1)
+            else:
+                lost = offset[a:b][least[a:b] < doc_id]
             if len(lost):
-                places = (np.frombuffer(starts[i], np.int64)[:, None] + lost).ravel()
-                out.append((int(docs[i]), int(keys[i]), merged(places).tobytes()))
+                out.append((doc_id, key, merged((np.array(starts, np.int64)[:, None] + lost).ravel()).tobytes()))
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
         return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary())})
 
@@ -172,16 +206,21 @@ def by_runs(rows: DataFrame) -> DataFrame:
     """The same, with each run grouped by its bytes: for minimisers that very many texts have."""
     schema = pa.schema([("run", pa.binary()), ("doc_id", pa.int64()), ("key", pa.int64()), ("starts", pa.binary())])
 
+    def rows_of(runs: dict[tuple, list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(
+            [{"run": r, "doc_id": d, "key": k, "starts": np.array(s, np.int64).tobytes()} for (r, d, k), s in runs.items()], schema=schema
+        )
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs: dict[tuple, list[int]] = {}
-            for doc_id, key, starts, piece in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "starts", "piece")), strict=True):
-                for start in np.frombuffer(starts, np.int64).tolist():
-                    for offset in range(len(piece) - RUN + 1):
-                        runs.setdefault((piece[offset:offset + RUN], doc_id, key), []).append(start + offset)
-            yield pa.RecordBatch.from_pylist(
-                [{"run": r, "doc_id": d, "key": k, "starts": np.array(s, np.int64).tobytes()} for (r, d, k), s in runs.items()], schema=schema
-            )
+            for doc_id, key, starts, piece in stretches_of(batch["packed"].to_pylist()):
+                for offset in range(len(piece) - RUN + 1):
+                    runs.setdefault((piece[offset:offset + RUN], doc_id, key), []).extend(s + offset for s in starts)
+                if len(runs) >= STRETCHES // 2:
+                    yield rows_of(runs)
+                    runs = {}
+            yield rows_of(runs)
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,24 +240,44 @@ def text_key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.coalesce(F.col("text"), F.lit("")))
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
+def packed_rows(rows: DataFrame) -> DataFrame:
+    """``doc_id, key, packed``: text and carried columns as one compressed value, which joins move around."""
+    carried = [c for c in rows.columns if c not in ("doc_id", "key", "text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = zstandard.ZstdCompressor(level=3)
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                values = zip(*(batch[c].to_pylist() for c in ("text", *carried)), strict=True)
+                packed = [encoder.compress(pickle.dumps(v)) for v in values]
+                yield pa.record_batch({"doc_id": batch["doc_id"], "key": batch["key"], "packed": pa.array(packed, pa.binary())})
+
+    return rows.select("doc_id", "key", "text", *carried).mapInArrow(run, "doc_id long, key long, packed binary")
+
+
+def unpacked_row(packed: bytes) -> tuple:
+    return pickle.loads(zstandard.decompress(packed))
+
+
+def removed_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
     """``doc_id, key, whole boolean, parts array<binary>`` of the documents of ``docs (doc_id, key, text)`` that lose bytes."""
     facts = frozen(docs.select("doc_id", "key", text_key(2).alias("check"), F.octet_length("text").alias("n")).where(F.col("n") >= RUN))
     same = ["key", "check", "n"]
     classes = facts.groupBy(*same).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = classes.where("first < last").select(*same, "first", salts())
     copies = facts.withColumn("salt", salt("doc_id")).join(repeated, [*same, "salt"]).where("first < doc_id").select("doc_id", "key").distinct()
-    bits = range_bits(int(facts.agg(F.sum("n")).first()[0] or 0) // (WINDOW // 2))
-    tokens = shared(dealt(docs, bits, minimiser_sets), FREQUENT)
+    bits = range_bits(int(facts.agg(F.sum("n")).first()[0] or 0) // (WINDOW // 2), HASHES)
+    tokens = shared(dealt(docs, bits, minimiser_sets, HASHES), FREQUENT)
     known = frozen(
         tokens.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("frequent").alias("frequent"))
         .join(classes.select("key", F.col("first").alias("doc_id")), "key")
     )
-    held = docs.join(known.withColumnRenamed("key", "_key"), "doc_id").where("key = _key")
+    held = packed.join(known.withColumnRenamed("key", "_key"), "doc_id").where("key = _key")
     amount = known.agg(F.sum(F.aggregate("tokens", F.lit(0), lambda n, t: n + F.length(t)))).first()[0] or 0
 
     def of(column: str) -> DataFrame:
-        return stretch_rows(held.select("doc_id", "key", "text", F.unhex(F.array_join(F.transform(column, F.hex), "")).alias("tokens")), shards)
+        return stretch_rows(held.select("doc_id", "key", "packed", F.unhex(F.array_join(F.transform(column, F.hex), "")).alias("tokens")), shards)
 
     shards = max(1, int(amount) // 8 // SHARD)
     found = by_columns(of("tokens")).union(by_runs(of("frequent")))
@@ -246,37 +305,42 @@ def remove_repeats(
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *columns)
     rows = rows.withColumn("key", text_key(1))
     named = rows.where(F.col("doc_id").isNotNull())
-    cuts = removed_spans(named.select("doc_id", "key", "text")).withColumnRenamed("key", "_key").withColumnRenamed("doc_id", "_id")
-    joined = named.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left").drop("_id", "_key", "key")
-    nameless = rows.where(F.col("doc_id").isNull()).drop("key").withColumns(
+    packed = packed_rows(named)
+    cuts = removed_spans(named.select("doc_id", "key", "text"), packed).withColumnRenamed("key", "_key").withColumnRenamed("doc_id", "_id")
+    joined = packed.join(cuts, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left").drop("_id", "_key", "key")
+    nameless = packed_rows(rows.where(F.col("doc_id").isNull())).drop("key").withColumns(
         {"whole": F.lit(None).cast("boolean"), "parts": F.lit(None).cast("array<binary>")}
     )
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     carried = [f"carried_{n}" for n in range(len(carry))]
+    kinds = [T.StructField(c, rows.schema[c].dataType) for c in carried]
+    arrow = to_arrow_schema(T.StructType(kinds))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for at in range(0, big.num_rows, 1024):
-                batch = big.slice(at, 1024)
-                kept, sizes, spans = [], [], []
-                for text, whole, parts in zip(*(batch[c].to_pylist() for c in ("text", "whole", "parts")), strict=True):
+            for at in range(0, big.num_rows, 256):
+                batch = big.slice(at, 256)
+                kept, sizes, spans, others = [], [], [], []
+                for row, whole, parts in zip(*(batch[c].to_pylist() for c in ("packed", "whole", "parts")), strict=True):
+                    text, *more = unpacked_row(row)
                     data = bytes_of(text)
                     ranges = [(0, len(data))] if whole else united(parts or ())
                     left = b"".join(data[a:b] for a, b in zip([0, *(e for _, e in ranges)], [*(s for s, _ in ranges), len(data)], strict=True))
                     kept.append(left if not as_text else left.decode("utf-8", "ignore") if text is not None else None)
                     sizes.append(len(data))
                     spans.append([{"start": a, "end": b} for a, b in ranges])
+                    others.append(more)
                 yield pa.record_batch({
                     "doc_id": batch["doc_id"], "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
                     "n_bytes": pa.array(sizes, pa.int64()), "spans": pa.array(spans, pa.list_(span)),
-                    **{c: batch[c] for c in carried},
+                    **{c: pa.array([o[n] for o in others], arrow.field(c).type) for n, c in enumerate(carried)},
                 })
 
     out = joined.unionByName(nameless).mapInArrow(cut, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
         T.StructField("n_bytes", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        *(T.StructField(c, rows.schema[c].dataType) for c in carried),
+        *kinds,
     ]))
     return out.select("doc_id", "kept", "n_bytes", "spans", *(F.col(c).alias(name) for c, name in zip(carried, carry, strict=True)))
 
