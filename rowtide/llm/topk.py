@@ -43,7 +43,8 @@ def exact_top_k(
 
     Components count as ``floor(scale * x)``. Queries are the rows for which ``is_query`` (over
     ``vec_id``) holds; candidates are all rows but the query's own, of the query's length. Returns
-    ``query_id long, rank int, vec_id long, score long``, ties to the smaller id; all candidates, if fewer.
+    ``query_id long, rank int, vec_id long, score long``, ties to the smaller id; all candidates, if fewer. A
+    score that a long cannot hold stops the job.
 
     Null ids and vectors that are null, empty, or hold a null or non-finite component take no part.
     Rows that repeat an id are one vector (the smallest). Repeated vectors are ties. An empty table

@@ -37,8 +37,8 @@ def test_top_k_is_exact(spark, shard_rows):
 
 
 def test_top_k_of_large_integers(spark):
-    df = spark.createDataFrame([(0, [3e7, 1.0], ""), (1, [3e7, 2.0], ""), (2, [3e7, 1.0], "")], SCHEMA)
-    whole = [[int(256 * 3e7), 256], [int(256 * 3e7), 512], [int(256 * 3e7), 256]]
+    df = spark.createDataFrame([(0, [1e7, 1.0], ""), (1, [1e7, 2.0], ""), (2, [1e7, 1.0], "")], SCHEMA)
+    whole = [[int(256 * 1e7), 256], [int(256 * 1e7), 512], [int(256 * 1e7), 256]]
     got = answers(topk.exact_top_k(df, F.col("vec_id") == 0, 5))
     assert got[0] == [(i, sum(a * b for a, b in zip(whole[0], whole[i]))) for i in (1, 2)]
 
