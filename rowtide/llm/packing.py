@@ -12,17 +12,42 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import held
 from rowtide.llm.tokens import Encoder
+from rowtide.session import frozen
 
 K1, B = 1.2, 0.75
-#: The rarest terms of a seed that its query holds, and how many neighbours it asks for.
-QUERY_TERMS, NEIGHBOURS = 8, 16
+#: How many neighbours a seed asks for.
+NEIGHBOURS = 16
+#: The terms that bring a document to its shard.
+KEY_TERMS = 3
+#: A term that one in so many documents of a shard holds has its weights in a row for all of them.
+DENSE = 16
 END_ID = 1
 
 
+class Statistics:
+    """Documents, mean length and documents by term of a collection."""
+
+    def __init__(self, documents: int, mean: float, df: np.ndarray):
+        self.documents, self.mean, self.df = documents, mean, df
+
+    @classmethod
+    def of(cls, documents: list[np.ndarray]) -> Statistics:
+        df = np.bincount(np.concatenate([np.unique(ids) for ids in documents]))
+        return cls(len(documents), sum(map(len, documents)) / len(documents), df)
+
+    def keys(self, ids: np.ndarray) -> list[int]:
+        """The rarest terms that enough documents share to fill a query, then the rarer ones; -1 for none."""
+        terms = np.unique(ids)
+        df = self.df[terms]
+        terms, df = terms[df > 1], df[df > 1]
+        best = terms[np.lexsort((terms, df, df <= NEIGHBOURS))[:KEY_TERMS]].tolist()
+        return best + [-1] * (KEY_TERMS - len(best))
+
+
 class Index:
-    """BM25 postings of the documents of one shard; terms are token ids."""
+    """BM25 postings of the documents of one shard, by the statistics of all; terms are token ids."""
 
-    def __init__(self, documents: list[np.ndarray]):
+    def __init__(self, documents: list[np.ndarray], statistics: Statistics):
         lengths = np.array([len(d) for d in documents], np.float64)
         terms, counts, owners = [], [], []
         for n, ids in enumerate(documents):
@@ -34,41 +59,42 @@ class Index:
         term, count, owner = (np.concatenate(x) for x in (terms, counts, owners))
         order = np.argsort(term, kind="stable")
         self.owner = owner[order]
-        self.first = np.searchsorted(term[order], np.arange(int(term.max()) + 2))
-        df = np.diff(self.first)
-        self.idf = np.log1p((len(documents) - df + 0.5) / (df + 0.5))
-        # A term of one document leads to no neighbour.
-        self.idf[df < 2] = 0.0
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0))
+        sizes = np.bincount(term)
+        self.first = np.r_[0, np.cumsum(sizes)]
+        df = statistics.df[:len(sizes)]
+        idf = np.log1p((statistics.documents - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(statistics.mean, 1.0))
         tf = count[order].astype(np.float64)
-        self.weight = tf * (K1 + 1) / (tf + norm[self.owner])
+        self.weight = idf[term[order]] * tf * (K1 + 1) / (tf + norm[self.owner])
         self.size = len(documents)
+        dense = np.flatnonzero(sizes * DENSE > self.size)
+        self.row = np.full(len(sizes), -1)
+        self.row[dense] = np.arange(len(dense))
+        self.rows = np.zeros((len(dense), self.size), np.float32)
+        for row, t in enumerate(dense.tolist()):
+            part = slice(self.first[t], self.first[t + 1])
+            self.rows[row, self.owner[part]] = self.weight[part]
+        # A term of one document of the shard leads to no neighbour here.
+        self.sparse = (self.row < 0) & (sizes > 1)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share the seed's rarest terms, best first, ties in order."""
+        """Unused documents that share a term with the seed, scored by all its terms, best first, ties in order."""
         terms = self.by_doc[seed]
-        idf = self.idf[terms]
-        if len(terms) > QUERY_TERMS:
-            best = np.argpartition(-idf, QUERY_TERMS)[:QUERY_TERMS]
-            terms, idf = terms[best], idf[best]
-        lists = [(slice(self.first[t], self.first[t + 1]), i) for t, i in zip(terms, idf, strict=True) if i > 0]
-        if not lists:
-            return np.empty(0, np.int64)
-        found = np.concatenate([self.owner[s] for s, _ in lists])
-        score = np.concatenate([self.weight[s] * i for s, i in lists])
-        free = unused[found]
-        if not free.any():
-            return np.empty(0, np.int64)
-        docs, place = np.unique(found[free], return_inverse=True)
-        total = np.bincount(place, weights=score[free])
-        return docs[np.argsort(-total, kind="stable")[:NEIGHBOURS]].astype(np.int64)
+        rows = self.row[terms]
+        total = self.rows[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
+        parts = [slice(self.first[t], self.first[t + 1]) for t in terms[self.sparse[terms]].tolist()]
+        if parts:
+            found = np.concatenate([self.owner[p] for p in parts])
+            total += np.bincount(found, weights=np.concatenate([self.weight[p] for p in parts]), minlength=self.size)
+        docs = np.flatnonzero(unused & (total > 0))
+        return docs[np.argsort(-total[docs], kind="stable")[:NEIGHBOURS]]
 
 
 class Packer:
     """Fills windows across the shards of a partition; a window stays open from one shard to the next."""
 
-    def __init__(self, window: int, first_sequence: int):
-        self.window, self.sequence, self.filled = window, first_sequence, 0
+    def __init__(self, window: int, first_sequence: int, statistics: Statistics | None = None):
+        self.window, self.sequence, self.filled, self.statistics = window, first_sequence, 0, statistics
         self.open: list[tuple] = []
 
     def place(self, doc: tuple, start: int) -> Iterator[tuple]:
@@ -89,7 +115,8 @@ class Packer:
         self.open, self.filled = [], 0
 
     def shard(self, documents: list[tuple]) -> Iterator[tuple]:
-        index = Index([ids for _, ids in documents])
+        texts = [ids for _, ids in documents]
+        index = Index(texts, self.statistics or Statistics.of(texts))
         unused = np.ones(len(documents), bool)
         for seed in range(len(documents)):
             if not unused[seed]:
@@ -125,17 +152,77 @@ class Packer:
                     yield from self.close()
 
 
+def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFrame:
+    """``doc_id long, ids binary, at long`` of each row of ``docs``; ``at`` numbers the rows, with gaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = held(f"encoder {vocabulary}", lambda: Encoder(vocabulary, ranks, pattern))
+        end, at = np.array([END_ID], "<u4").tobytes(), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            ids = [encode(text.as_py() or "") + end for text in batch["text"]]
+            numbers = np.arange(at, at + len(ids))
+            at += len(ids)
+            yield pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.binary()), "at": pa.array(numbers, pa.int64())})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, at long")
+
+
+def counted(rows: DataFrame) -> Statistics:
+    """Statistics of all ``rows (ids)``. The driver gets one row per term of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            texts = [np.frombuffer(ids.as_py(), "<u4") for ids in batch["ids"]]
+            if not texts:
+                continue
+            every, once = np.bincount(np.concatenate(texts)), np.bincount(np.concatenate([np.unique(t) for t in texts]))
+            if len(every) > len(docs):
+                docs, times = (np.pad(x, (0, len(every) - len(x))) for x in (docs, times))
+            docs[:len(once)] += once
+            times[:len(every)] += every
+        term = np.flatnonzero(docs)
+        yield pa.record_batch({"term": pa.array(term, pa.int64()), "docs": pa.array(docs[term]), "times": pa.array(times[term])})
+
+    found = rows.select("ids").mapInArrow(run, "term long, docs long, times long").groupBy("term").agg(
+        F.sum("docs").alias("docs"), F.sum("times").alias("times")
+    ).collect()
+    df = np.zeros(1 + max((r["term"] for r in found), default=END_ID), np.int64)
+    for r in found:
+        df[r["term"]] = r["docs"]
+    # Every document holds the end.
+    return Statistics(int(df[END_ID]), sum(r["times"] for r in found) / max(1, int(df[END_ID])), df)
+
+
+def gathered(rows: DataFrame, statistics: Statistics) -> DataFrame:
+    """``rows (doc_id, ids, at)`` in ranges of their key terms, sorted, so that documents that share these are together."""
+    names = [f"key{n}" for n in range(KEY_TERMS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), "<u4")) for ids in batch["ids"]], np.int32)
+            columns = {name: pa.array(column) for name, column in zip(names, keys.reshape(-1, KEY_TERMS).T, strict=True)}
+            yield pa.record_batch({"doc_id": batch["doc_id"], "ids": batch["ids"], "at": batch["at"], **columns})
+
+    keyed = rows.mapInArrow(run, "doc_id long, ids binary, at long, " + ", ".join(f"{name} int" for name in names))
+    # The row number splits terms that many documents have.
+    return keyed.repartitionByRange(*names, "at").sortWithinPartitions(*names, "at").select("doc_id", "ids")
+
+
 def pack(
     docs: DataFrame, vocabulary: str, ranks: str, pattern: str, window: int = 2048, shard_docs: int = 4096,
     shard_tokens: int = 8_000_000,
 ) -> DataFrame:
     """Token ids of all ``docs (doc_id, text)``, packed into sequences of ``window`` ids.
 
-    A document is its ids and then id 1. Each input partition is read once, in shards of at most
-    ``shard_docs`` documents or ``shard_tokens`` ids (and one document): a shard gets a BM25 inverted index,
-    the first unused document seeds a window, and the index's unused neighbours fill it, best first.
-    What does not fit continues in the next window. Only the last sequences of a partition are shorter,
-    and their lengths are powers of two. Nothing is shuffled.
+    A document is its ids and then id 1. Texts are encoded once and kept on shared storage; documents by term
+    and the mean length are counted over all of them. Then documents are shuffled into the order of their
+    rarest shared terms (``Statistics.keys``), and each partition is read in shards of at most ``shard_docs``
+    documents or ``shard_tokens`` ids (and one document): a shard gets a BM25 inverted index, the first unused
+    document seeds a window, and the index's unused neighbours, by all terms of the seed, fill it, best
+    first. A seed finds the documents of its shard, not those with other rarest terms. What does not fit
+    continues in the next window. Only the last sequences of a partition are shorter, and their lengths are
+    powers of two.
 
     Returns a row per piece: ``doc_id, start long, length long, ids binary`` (little-endian unsigned 32 bit),
     ``doc_tokens long, sequence_id long, offset long``; sequence ids begin with the partition's number.
@@ -145,16 +232,17 @@ def pack(
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
+    rows = frozen(encoded(docs, vocabulary, ranks, pattern))
+    statistics = counted(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = held(f"encoder {vocabulary}", lambda: Encoder(vocabulary, ranks, pattern))
-        packer = Packer(window, TaskContext.get().partitionId() << 40)
-        end = np.array([END_ID], "<u4")
+        packer = Packer(window, TaskContext.get().partitionId() << 40, statistics)
 
         def shards() -> Iterator[list[tuple]]:
             shard, size = [], 0
             for batch in batches:
-                for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                    ids = np.concatenate([np.frombuffer(encode(text.as_py() or ""), "<u4"), end])
+                for doc_id, held_ids in zip(batch["doc_id"], batch["ids"], strict=True):
+                    ids = np.frombuffer(held_ids.as_py(), "<u4")
                     if shard and (len(shard) == shard_docs or size + len(ids) > shard_tokens):
                         yield shard
                         shard, size = [], 0
@@ -168,18 +256,18 @@ def pack(
                 yield from packer.shard(shard)
             yield from packer.finish()
 
-        rows = []
+        ready = []
         for piece in pieces():
-            rows.append(piece)
-            if len(rows) == 2000:
-                yield batch_of(rows)
-                rows = []
-        yield batch_of(rows)
+            ready.append(piece)
+            if len(ready) == 2000:
+                yield batch_of(ready)
+                ready = []
+        yield batch_of(ready)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True) if rows else [[]] * len(names)
         return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return gathered(rows, statistics).mapInArrow(
         run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )

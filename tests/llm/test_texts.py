@@ -165,6 +165,33 @@ def test_neighbours_fill_the_seed_window(spark):
     assert list(together.values()) == [{0, 3}, {1, 4}, {2, 5}]
 
 
+def test_neighbours_come_from_all_partitions(spark):
+    rng = np.random.default_rng(0)
+    topics = [rng.integers(0, 10**6, 40) for _ in range(48)]
+    # Copy n of each topic, far from the other one: in other input partitions and shards.
+    rows = [(100 * copy + n, " ".join(f"w{w}" for w in rng.permutation(t))) for copy in range(2) for n, t in enumerate(topics)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    together = collections.defaultdict(set)
+    for r in packing.pack(docs, *FILES, window=400, shard_docs=12).collect():
+        together[r["sequence_id"]].add(r["doc_id"])
+    met = sum(any({n, 100 + n} <= docs for docs in together.values()) for n in range(48))
+    assert met >= 36
+
+
+def test_neighbours_by_all_terms_and_the_collections_idf():
+    # Terms 10 to 19 are rarer than 20 to 39, which document 2 shares with the seed.
+    documents = [np.arange(10, 40), np.r_[10:19, 50:71], np.r_[20:40, 80:90]]
+    df = np.full(100, 9)
+    df[10:20] = 8
+    index = packing.Index(documents, packing.Statistics(1000, 30.0, df))
+    assert index.neighbours(0, np.array([False, True, True])).tolist() == [2, 1]
+    df[10:20] = 1000
+    df[20:40] = 1000
+    df[12] = 2
+    index = packing.Index(documents, packing.Statistics(1000, 30.0, df))
+    assert index.neighbours(0, np.array([False, True, True])).tolist() == [1, 2]
+
+
 def test_packing_no_rows(spark):
     assert packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
