@@ -36,20 +36,21 @@ class Words(dict):
 
 
 class Encoder:
-    """Ids of whole texts, equal to those of the ``tokenizers`` file without special tokens.
+    """Ids of whole texts, equal to those of the ``tokenizers`` file with ``add_special_tokens=False``.
 
     Words repeat, so texts of Latin-1 letters and plain ASCII are split here and looked up word by word in
-    the same vocabulary's ranks; every other text goes through the ``tokenizers`` file itself. The string
-    of a special token inside a text is ordinary text.
+    the same vocabulary's ranks; every other text goes through the ``tokenizers`` file itself, and so does a
+    text that holds the string of an added token, which gets that token's id.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
         self.words = Words(pattern, ranks)
         self.whole = Tokenizer.from_file(vocabulary)
-        self.whole.encode_special_tokens = True
+        added = [re.escape(token.content) for token in self.whole.get_added_tokens_decoder().values()]
+        self.unsafe = re.compile("|".join([UNSAFE.pattern, *added]))
 
     def __call__(self, text: str) -> bytes:
-        if UNSAFE.search(text):
+        if self.unsafe.search(text):
             ids = self.whole.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.words.__getitem__, FAST.findall(text)))

@@ -127,6 +127,16 @@ def test_ids_equal_the_tokenizer(spark):
         assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_inside_texts_get_their_ids():
+    whole = Tokenizer.from_file(FILES[0])
+    encode = tokens.Encoder(*FILES)
+    end = "<|endoftext|>"
+    for text in (end, f"{end} a", f"a{end}b", f"日本 {end}{end} x", "<|endoftext", f"plain text\n{end}\n", "no such token"):
+        ids = np.frombuffer(encode(text), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
+        assert ids.count(whole.token_to_id(end)) == text.count(end)
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_packing_round_trip(spark, parts):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
