@@ -26,14 +26,22 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each component of near copies.
+    """One row of each component of near copies: the smallest id, and of its rows the smallest text hash.
 
-    Documents without id or words stay.
+    Rows, not ids, are near copies, stay or go: of rows that repeat id and text one stays, and a row stays
+    whatever becomes of other texts under its id. Rows without id or words stay.
     """
-    found = jaccard.jaccard_components(docs).where("component_id < doc_id").select("doc_id")
-    dropped = frozen(found.distinct())
+    folder = fresh_folder(spark, "numbered")
+    docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    named = rows.where(F.col("doc_id").isNotNull())
+    found = jaccard.jaccard_components(named.select("_row", "text"), "_row").where("n_shingles > 0")
+    member = found.select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct("doc_id", F.xxhash64("text").alias("hash"), "_row")
+    first = named.select("_row", order.alias("_order")).join(member, "_row").groupBy("component_id").agg(F.min("_order").alias("_first"))
+    dropped = frozen(member.select("_row").join(first.select("_first._row"), "_row", "left_anti"))
     few = dropped.count() <= BROADCAST_IDS
-    return docs.select(*COLUMNS).join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti")
+    return rows.join(F.broadcast(dropped) if few else dropped, "_row", "left_anti").select(*COLUMNS)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,12 @@ def test_toxic_stage_takes_what_scores(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
     network.prior = 0.1
     assert [r["doc_id"] for r in toxicity.kept(df.where("doc_id > 1"), network, 0.5).collect()] == [2, 3]
+
+
+def test_copies_are_rows(spark):
+    x, y = ("one two three four five six seven " + w for w in ("ate", "eight nine ten eleven twelve"))
+    z = "quite another text of more than five words"
+    rows = [(3, x), (7, x), (7, y), (8, z), (8, z), (9, z), (None, z), (None, z), (5, ""), (5, ""), (6, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each(spark, df, SF_DIR).collect())
+    assert got == {(3, x): 1, (7, y): 1, (8, z): 1, (None, z): 2, (5, ""): 2, (6, None): 1}
