@@ -269,6 +269,24 @@ def test_licences(spark):
     assert licenses.trained(df.where("false")).bar >= 0.5
 
 
+def test_licences_without_signal_words_and_wrapped(spark):
+    texts = {
+        1: 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND', 2: "SPDX: Apache-2.0", 3: "GPL-3.0-or-later",
+        4: "Released under GPLv3", 5: "CC BY 4.0", 6: "CC0 / public domain",
+        7: "This program is free software: you can\nredistribute it and/or modify it under the\nterms of the GNU General Public\n"
+           "License as published by the Free Software\nFoundation, either version 3",
+        8: "a quiet mill by the river\nand nothing of that kind", 9: "\n \n--\n",
+    }
+    plain = [(100 + n, f"the quiet river {n} runs past a green hill\nand a mill {n} stands there\n\nuntil the road ends") for n in range(60)]
+    df = spark.createDataFrame([(n, f"intro words {n}\n\n{t}\r\n\r\nan end") for n, t in texts.items()] + plain, "doc_id long, text string")
+    found = licenses.scan(df, licenses.trained(df)).collect()
+    named = {(r["doc_id"], r["paragraph"], r["lines"]): r["family"] for r in found if r["confirmed"]}
+    want = {1: "mit", 2: "apache", 3: "gpl", 4: "gpl", 5: "cc-by", 6: "cc0"}
+    assert {n: named.get((n, 2, 1)) for n in want} == want
+    assert named[7, 2, 5] == "gpl"
+    assert {n for n, _, _ in named} == set(range(1, 8))
+
+
 def test_every_template_is_looked_at(spark):
     texts = [t for family in licenses.TEMPLATES.values() for t in family]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
