@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import chat, forest, jaccard, language, licenses, mixing, packing, repeats, topk, toxicity
+from rowtide.llm import (
+    chat, forest, jaccard, language, licenses, merkle, mixing, packing, quantizer, repeats, sharding, topk, toxicity,
+)
 from rowtide.llm.common import id_hash
 
 
@@ -101,6 +103,31 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in 24 contiguous shards of equal size."""
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors as codes of eight four-bit entries."""
+    codes, books = quantizer.compressed(table(spark, sf_dir, "embeddings"))
+    return quantizer.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256")
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its proof, checked after line ends went from half of the texts."""
+    docs = table(spark, sf_dir, "documents")
+    proofs = merkle.manifest(
+        docs, ("doc_id", "source", "lang", "n_chars", "text"), "source", "doc_id",
+        tampered={"text": F.replace("text", F.lit("\n"), F.lit(""))}, when=id_hash("doc_id", 2) == 0,
+    )
+    return proofs.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -112,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
+    "op11_sharding": op11_sharding,
+    "op12_codes": op12_codes,
+    "op13_manifest": op13_manifest,
 }
 
 #: Components by shared shingles; ``{docs}`` has doc_id and text.
@@ -140,6 +170,118 @@ WITH RECURSIVE split AS (
 )
 """
 
+#: crc32 of a list of bytes, a byte at a time, by a table made from the polynomial; ``{bytes}`` is the list.
+CRC32_TABLE_SQL = """crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)
+    ORDER BY b) AS steps
+  FROM range(0, 256) AS all_bytes(b)
+)"""
+CRC32_SQL = """xor(4294967295, list_reduce({bytes}, lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]), 4294967295))"""
+BYTES_SQL = """list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"""
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Product quantisation of the embeddings, every round spelt out."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""assigned_{n} AS MATERIALIZED (
+  SELECT r, part, arg_min(entry, (error, entry)) AS entry, min(error) AS error FROM (
+    SELECT r, c.part, entry, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS error
+    FROM pieces c JOIN books_{n} b ON c.part = b.part AND c.position = b.position GROUP BY r, c.part, entry
+  ) GROUP BY r, part
+)""")
+        if n < rounds:
+            steps.append(f"""books_{n + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.position, coalesce(moved.x, b.x) AS x FROM books_{n} b LEFT JOIN (
+    SELECT part, entry, position, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+    FROM pieces JOIN assigned_{n} USING (r, part) GROUP BY part, entry, position
+  ) moved ON b.part = moved.part AND b.entry = moved.entry AND b.position = moved.position
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r, * FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  )
+), pieces AS MATERIALIZED (
+  SELECT r, (nth // (n // {parts}))::INT AS part, (nth % (n // {parts}))::INT AS position, x
+  FROM (SELECT r, len(v) AS n, unnest(v) AS x, unnest(range(0, len(v))) AS nth FROM kept)
+), books_0 AS MATERIALIZED (
+  SELECT part, r::INT AS entry, position, x FROM pieces WHERE r < {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error
+  FROM assigned_{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, position)) FROM books_{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+
+def _climb_sql(name: str, leaves: str, levels: int) -> str:
+    """Relations ``{name}_0 .. {name}_levels``: the nodes (tree, idx, digest) of ternary trees; a lone node stays."""
+    steps = [f"{name}_0 AS MATERIALIZED ({leaves})"]
+    for n in range(levels):
+        steps.append(f"""{name}_{n + 1} AS MATERIALIZED (
+  SELECT tree, idx // 3 AS idx, CASE WHEN any_value(width) > 1 THEN sha256(string_agg(digest, '' ORDER BY idx))
+    ELSE any_value(digest) END AS digest, (any_value(width) + 2) // 3 AS width
+  FROM {name}_{n} GROUP BY tree, idx // 3
+)""")
+    return ",\n".join(steps)
+
+
+def _path_sql(name: str, trees: str, before: str, levels: int) -> str:
+    """Relations ``{name}_1 ..``: leaves of ``before`` (doc, tree, idx, proof, fold) carried up the nodes of ``trees``."""
+    steps = []
+    for n in range(levels):
+        steps.append(f"""{name}_{n + 1} AS MATERIALIZED (
+  SELECT doc, p.tree, p.idx // 3 AS idx, proof || ahead || behind AS proof,
+    CASE WHEN width > 1 THEN sha256(ahead || fold || behind) ELSE fold END AS fold
+  FROM {before if n == 0 else f"{name}_{n}"} p JOIN (
+    SELECT tree, idx, width,
+      coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS ahead,
+      coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind
+    FROM {trees}_{n} WINDOW run AS (PARTITION BY tree, idx // 3 ORDER BY idx)
+  ) n ON p.tree = n.tree AND p.idx = n.idx
+)""")
+    return ",\n".join(steps)
+
+
+#: Levels spelt out: enough for 3 ** 14 documents a source and 3 ** 10 sources.
+LEVELS, TOP_LEVELS = 14, 10
+
+MANIFEST_SQL = f"""
+WITH {CRC32_TABLE_SQL}, hashed AS MATERIALIZED (
+  SELECT *, concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'),
+      coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+      coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')) AS head,
+    replace(text, chr(10), '') AS now,
+    coalesce({CRC32_SQL.format(bytes=BYTES_SQL.format(text="doc_id::VARCHAR"))} % 2 = 0, false) AS hit
+  FROM documents, crc_table
+), leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('g' || source, '') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(head || coalesce(strlen(now) || ':' || now, '-')) END AS other
+  FROM hashed
+), numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS width, row_number() OVER () AS doc
+  FROM leaves
+), {_climb_sql("node", "SELECT tree, idx, leaf AS digest, width FROM numbered", LEVELS)},
+roots AS MATERIALIZED (
+  SELECT tree AS member, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS groups
+  FROM node_{LEVELS}
+), {_climb_sql("top", "SELECT 't' AS tree, place AS idx, digest, groups AS width FROM roots", TOP_LEVELS)},
+path_0 AS (
+  SELECT doc, tree, idx, '' AS proof, coalesce(other, leaf) AS fold FROM numbered
+), {_path_sql("path", "node", "path_0", LEVELS)},
+over_0 AS (
+  SELECT doc, 't' AS tree, place AS idx, proof, fold FROM path_{LEVELS} JOIN roots ON tree = member
+), {_path_sql("over", "top", "over_0", TOP_LEVELS)}
+SELECT doc_id, leaf, roots.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+  fold = root.digest AS verified
+FROM numbered JOIN roots ON numbered.tree = member JOIN over_{TOP_LEVELS} USING (doc), top_{TOP_LEVELS} AS root
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_jaccard": JACCARD_SQL.format(docs="documents") + """
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN components ON doc_id = id
@@ -175,4 +317,21 @@ WITH scaled AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
+    "op11_sharding": f"""
+WITH {CRC32_TABLE_SQL}, sized AS MATERIALIZED (
+  SELECT doc_id, (8 + strlen(coalesce(text, '')))::BIGINT AS size,
+    {CRC32_SQL.format(bytes=BYTES_SQL.format(text="coalesce(text, '')"))}::BIGINT AS text_crc32
+  FROM documents, crc_table
+), summed AS (
+  SELECT *, row_number() OVER o AS place, sum(size) OVER o - size AS before, sum(size) OVER () AS whole
+  FROM sized WINDOW o AS (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING)
+), placed AS (
+  SELECT *, ((2 * before + size) * 24 // (2 * whole))::INTEGER AS shard FROM summed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
+  NULL::INTEGER AS grown_shard
+FROM placed
+""",
+    "op12_codes": _codes_sql(),
+    "op13_manifest": MANIFEST_SQL,
 }

@@ -120,7 +120,6 @@ def test_language_defined_cases(spark):
 
 def test_ids_equal_the_tokenizer(spark):
     whole = Tokenizer.from_file(FILES[0])
-    whole.encode_special_tokens = True
     encode = tokens.Encoder(*FILES)
     texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
     for text in texts + [t or "" for _, t, _ in ODD]:
