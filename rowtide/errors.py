@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.errors import PySparkException
 
 
@@ -57,15 +61,27 @@ CONSTRAINT_MARK = "[constraint]"
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
 
-def translated(error: Exception) -> ChangeError:
-    """The package error that stands for a failed Spark job."""
-    text = str(error)
-    if DUPLICATE_MARK in text:
-        return DuplicateKeysError(_message_from(text, DUPLICATE_MARK))
-    if CONSTRAINT_MARK in text:
-        return ConstraintError(_message_from(text, CONSTRAINT_MARK))
-    return ExecutionError(text)
+# Fixed value: the condition of an error that a plan raises itself.
+RAISED = "USER_RAISED_EXCEPTION"
 
 
-def _message_from(text: str, mark: str) -> str:
-    return text[text.index(mark):].split("\n", 1)[0]
+def translated(error: Exception) -> ChangeError:
+    """The package error that stands for a failed Spark job.
+
+    Only what a plan raised counts: a mark may also stand in the plan that another error prints.
+    """
+    for message in _raised(error):
+        for mark, kind in ((DUPLICATE_MARK, DuplicateKeysError), (CONSTRAINT_MARK, ConstraintError)):
+            if message.startswith(mark):
+                return kind(message)
+    return ExecutionError(str(error))
+
+
+def _raised(error: Exception) -> Iterator[str]:
+    """The messages of ``raise_error`` among an error and its causes."""
+    thrown = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
+    context = SparkContext._active_spark_context
+    while thrown is not None and context is not None:
+        if is_instance_of(context._gateway, thrown, "org.apache.spark.SparkThrowable") and thrown.getCondition() == RAISED:
+            yield thrown.getMessageParameters().get("errorMessage")
+        thrown = thrown.getCause()

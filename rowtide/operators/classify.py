@@ -8,7 +8,7 @@ selections from that frame.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,14 +16,26 @@ from pyspark.sql import types as T
 
 from rowtide.operators.identity import generated_id, next_value
 from rowtide.operators.staging import FOLDED, HIT, default_value, sent
-from rowtide.plans.joins import equal, fits_broadcast, is_large, join_on_keys, missing_from
-from rowtide.plans.roles import ACTION, ORDINAL, Roles
+from rowtide.plans.joins import equal, fits_broadcast, hot_keys, is_large, join_on_keys, missing_from
+from rowtide.plans.roles import ACTION, ORDINAL, PAST, Roles
 from rowtide.spec import TableSpec
 
 # The actions a row can undergo.
 INSERTED, UPDATED, DELETED = "INSERT", "UPDATE", "DELETE"
 
 _LIVE = "__live"
+# What stands in ``PAST`` for an action.
+CODES = {INSERTED: "I", UPDATED: "U", DELETED: "D"}
+
+
+def lives(rows: DataFrame) -> Column:
+    """Whether no earlier operation of a chain deleted a row. Deleted ones travel along to be counted at the end."""
+    return F.coalesce(~rows[PAST].contains(CODES[DELETED]), F.lit(True)) if PAST in rows.columns else F.lit(True)
+
+
+def living(rows: DataFrame) -> DataFrame:
+    """``rows`` without those that an earlier operation of a chain deleted."""
+    return rows.where(lives(rows)) if PAST in rows.columns else rows
 
 
 @dataclass(frozen=True)
@@ -40,6 +52,20 @@ class Subject:
     roles: Roles
     folded: frozenset[str] = frozenset()
     elsewhere: DataFrame | None = None
+    collation: str | None = None
+    searched: dict[tuple[str, ...], DataFrame | None] = field(default_factory=dict, compare=False)
+
+    def over(self, table: DataFrame) -> Subject:
+        """The same with another table."""
+        compared = {FOLDED + name: F.collate(F.col(name), self.collation) for name in sorted(self.folded)}
+        return replace(self, target=table.withColumns(compared) if compared else table, searched={})
+
+    def hot_keys(self, keys: Sequence[str]) -> DataFrame | None:
+        """Keys that fill much of the table, looked for once an operation."""
+        known = tuple(keys)
+        if known not in self.searched:
+            self.searched[known] = hot_keys(self.target, keys)
+        return self.searched[known]
 
     @property
     def schema(self) -> T.StructType:
@@ -47,11 +73,21 @@ class Subject:
 
     @property
     def columns(self) -> list[str]:
-        return [name for name in self.target.columns if not name.startswith(FOLDED)]
+        return [name for name in self.target.columns if not name.startswith(FOLDED) and name != PAST]
+
+    @property
+    def past(self) -> list[str]:
+        return [PAST] if PAST in self.target.columns else []
+
+    @property
+    def table_columns(self) -> tuple[str, ...]:
+        """The columns of a snapshot: those of the table, and computed ones that it does not store."""
+        own = self.columns
+        return (*own, *(name for name in self.spec.computed if name not in own))
 
     def values_of(self, name: str) -> DataFrame:
         """One column of the whole table."""
-        values = self.target.select(name)
+        values = living(self.target).select(name)
         return values if self.elsewhere is None else values.union(self.elsewhere.select(name))
 
     def keys(self, names: Iterable[str]) -> list[str]:
@@ -68,7 +104,7 @@ class Subject:
 
 def untouched(subject: Subject) -> DataFrame:
     """The target as it is."""
-    return _with_computed(subject, subject.target.select(*subject.columns, *_no_change()))
+    return _with_computed(subject, subject.target.select(*subject.columns, *_no_change(), *subject.past))
 
 
 def appended(subject: Subject, staged: DataFrame) -> DataFrame:
@@ -84,7 +120,7 @@ def absent(
     duplicates were dropped."""
     pairs = [(theirs, mine) for mine, theirs in subject.pairs(subject.roles.match)]
     return missing_from(
-        staged, subject.target, pairs, staged_is_unique, subject.roles.target_is_unique, asked
+        staged, living(subject.target), pairs, staged_is_unique, subject.roles.target_is_unique, asked
     )
 
 
@@ -93,7 +129,7 @@ def stale(subject: Subject, staged: DataFrame, staged_is_unique: bool) -> DataFr
     roles = subject.roles
 
     def narrowed(rows: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-        held = subject.target.select(*subject.keys(names))
+        held = living(subject.target).select(*subject.keys(names))
         pairs = [(theirs, mine) for mine, theirs in subject.pairs(names)]
         return join_on_keys(rows, held if roles.target_is_unique else held.distinct(), pairs, how, staged_is_unique)
 
@@ -113,7 +149,8 @@ def deleted(subject: Subject, staged: DataFrame) -> DataFrame:
     """The target with the action ``DELETE`` on every row that meets a staged row."""
     joined = _left_joined(subject, staged, subject.roles.match + subject.roles.check)
     action = F.when(F.col(HIT), F.lit(DELETED)).alias(ACTION)
-    return _with_computed(subject, joined.select(*subject.columns, action, F.lit(None).cast("long").alias(ORDINAL)))
+    no_source = F.lit(None).cast("long").alias(ORDINAL)
+    return _with_computed(subject, joined.select(*subject.columns, action, no_source, *subject.past))
 
 
 def removed(subject: Subject, staged: DataFrame) -> DataFrame:
@@ -133,9 +170,10 @@ def merged_in_one_join(subject: Subject, staged: DataFrame, delete_rest: Column
     """
     target = subject.target.withColumn(_LIVE, F.lit(True))
     source = staged.withColumn(HIT, F.lit(True))
-    joined = target.join(source, equal(target, source, subject.pairs(subject.roles.match)), "full_outer")
+    met = equal(target, source, subject.pairs(subject.roles.match)) & lives(target)
+    joined = target.join(source, met, "full_outer")
     is_new = F.col(HIT) & F.col(_LIVE).isNull()
-    action = _first_of([(is_new, INSERTED), *_branches_of_existing(subject, F.col(_LIVE), delete_rest)])
+    action = _first_of([(is_new, INSERTED), *_branches_of_existing(subject, F.col(_LIVE) & lives(joined), delete_rest)])
     return _after_change(subject, joined.withColumn(ACTION, action), may_insert=True)
 
 
@@ -144,10 +182,15 @@ def merged_existing(subject: Subject, staged: DataFrame, delete_rest: Column | N
     if not subject.roles.update and delete_rest is None:
         return untouched(subject)
     joined = _left_joined(subject, staged, subject.roles.match)
-    action = _first_of(_branches_of_existing(subject, F.lit(True), delete_rest))
+    action = _first_of(_branches_of_existing(subject, lives(joined), delete_rest))
     return _after_change(subject, joined.withColumn(ACTION, action), may_insert=False)
 
 
+def may_search(subject: Subject, staged: DataFrame) -> bool:
+    """Whether joining the table to ``staged`` starts with a search for hot keys."""
+    return not subject.roles.target_is_unique and not fits_broadcast(staged)
+
+
 def one_join_suffices(subject: Subject, staged: DataFrame) -> bool:
     """Whether a merge should use the full outer join.
 
@@ -162,13 +205,15 @@ def one_join_suffices(subject: Subject, staged: DataFrame) -> bool:
 def _by_key_and_token(subject: Subject, staged: DataFrame, how: str) -> DataFrame:
     roles = subject.roles
     pairs = subject.pairs(roles.match + roles.check)
-    met = join_on_keys(subject.target, staged, pairs, how, roles.target_is_unique)
+    met = join_on_keys(living(subject.target), staged, pairs, how, roles.target_is_unique, subject.hot_keys)
     return _with_computed(subject, met.select(*subject.columns))
 
 
 def _left_joined(subject: Subject, staged: DataFrame, names) -> DataFrame:
     marked = staged.withColumn(HIT, F.lit(True))
-    return join_on_keys(subject.target, marked, subject.pairs(names), "left", subject.roles.target_is_unique)
+    pairs = subject.pairs(names)
+    unique = subject.roles.target_is_unique
+    return join_on_keys(subject.target, marked, pairs, "left", unique, subject.hot_keys, only=lives)
 
 
 def _branches_of_existing(subject: Subject, live: Column, delete_rest: Column | None):
@@ -180,7 +225,7 @@ def _branches_of_existing(subject: Subject, live: Column, delete_rest: Column |
             applies = applies & (F.col(token) == F.col(sent(token)))
         branches.append((applies, UPDATED))
     if delete_rest is not None:
-        branches.append((F.col(HIT).isNull() & delete_rest, DELETED))
+        branches.append((F.col(HIT).isNull() & live & delete_rest, DELETED))
     return branches
 
 
@@ -207,7 +252,7 @@ def _after_change(subject: Subject, joined: DataFrame, may_insert: bool) -> Data
         if may_insert:
             branches = branches.when(is_insert, _new_value(subject, name, joined))
         values.append(before if branches is F else branches.otherwise(before).alias(name))
-    return _with_computed(subject, joined.select(*values, ACTION, _ordinal(joined)))
+    return _with_computed(subject, joined.select(*values, ACTION, _ordinal(joined), *subject.past))
 
 
 def _new_value(subject: Subject, name: str, staged: DataFrame) -> Column:

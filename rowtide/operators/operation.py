@@ -21,10 +21,11 @@ from rowtide.operators import classify
 from rowtide.operators.classify import DELETED, Subject
 from rowtide.operators.duplicates import KEEP_LAST, REJECT, keep_last, keep_single
 from rowtide.operators.identity import with_ordinal
-from rowtide.operators.outcome import ChangeResult, Counts, Guards, enriched_source
+from rowtide.operators.outcome import ChangeResult, Counts, Guards, enriched_source, once
 from rowtide.operators.staging import FOLDED, SEQUENCE, renamed, sent, stage
+from rowtide.plans.joins import join_on_keys
 from rowtide.plans.roles import ACTION, DELETE, INSERT, MERGE, ORDINAL, UPDATE, Choices, Roles, distinct, resolve_roles
-from rowtide.sources.tables import Layout, point_to, qualified, read_table, require_movable
+from rowtide.sources.tables import Layout, laid_out_as, point_to, qualified, read_table
 from rowtide.spec import TableSpec
 
 
@@ -110,24 +111,48 @@ class Operation:
         return replace(self, sort_columns=columns)
 
     def progress(self, callback: Callable[[int], None]) -> Self:
-        """Call back with the number of rows written."""
+        """Call back with the running number of rows written, while they are, and with the whole at the end."""
         return replace(self, on_progress=callback)
 
     def plan(self) -> ChangeResult:
         """Check the description against both schemas and derive the outcome.
 
-        Starts a job in two cases only: to number source rows that have no number of their own, and
-        to look for hot keys where a large source meets a target whose match key may repeat.
+        Starts a job in one case only: to number source rows that have no number of their own. Where a large
+        source meets a target whose match key may repeat, the first read of the outcome looks for hot keys, once.
         """
-        target = self._target()
-        self.spec.check_against(target.schema)
-        source = renamed(self.source, self.mapping)
-        roles = self._roles(target, source)
+        operation = self._informed()
+        target, source, roles = operation._resolved()
         try:
-            return self._outcome(self._subject(target, roles), source)
+            return operation._outcome(operation._subject(target, roles), source)
         except SPARK_ERRORS as error:
             raise translated(error) from error
 
+    def validate(self) -> None:
+        """Check the description against both schemas; reads nothing."""
+        self._informed()._resolved()
+
+    def located(self, table: DataFrame) -> DataFrame:
+        """The rows of ``table`` whose match key the source names, tokens aside."""
+        operation = self.on(table)._informed()
+        _, source, roles = operation._resolved()
+        subject = operation._subject(table, roles)
+        keys = stage(
+            source, operation.spec, subject.schema, columns=roles.match, match=roles.match, checked=(), ordinal=None,
+            sequence=None, null_keys=self.null_keys, folded=subject.folded, collation=self.collation,
+        ).select(*subject.sent_keys(roles.match)).distinct()
+        pairs = subject.pairs(roles.match)
+        return join_on_keys(subject.target, keys, pairs, "left_semi", roles.target_is_unique, subject.hot_keys)
+
+    def _informed(self) -> Self:
+        """The operation with its target read, and the defaults that the table itself declares."""
+        target = self._target()
+        return replace(self, target=target, spec=self.spec.with_defaults_of(target.schema))
+
+    def _resolved(self) -> tuple[DataFrame, DataFrame, Roles]:
+        self.spec.check_against(self.target.schema)
+        source = renamed(self.source, self.mapping)
+        return self.target, source, self._roles(self.target, source)
+
     def check(self) -> Counts:
         """Count the changes and raise on a violated guard; writes nothing."""
         return self.plan().check()
@@ -135,10 +160,16 @@ class Operation:
     def save(self, path: str) -> Counts:
         """Write the next snapshot to a new folder and return the counters."""
         result = self.plan()
-        layout = self.layout
+        return result.save(path, self.laid_out(result.match), self.on_progress)
+
+    def laid_out(self, match: tuple[str, ...], layout: Layout | None = None) -> Layout:
+        """The layout that the options ask for, on top of ``layout``."""
+        layout = layout or Layout()
+        if self.layout.rows_per_file is not None:
+            layout = replace(layout, rows_per_file=self.layout.rows_per_file)
         if self.sort_columns is not None:
-            layout = replace(layout, sort_by=self.sort_columns or result.match or self.spec.keys)
-        return result.save(path, layout, self.on_progress)
+            layout = replace(layout, sort_by=self.sort_columns or match or self.spec.keys)
+        return layout
 
     def save_table(self, name: str, buckets: int) -> Counts:
         """Write the next snapshot as a new catalog table in hash buckets of the match columns, which
@@ -146,16 +177,20 @@ class Operation:
         result = self.plan()
         if not self.spec.identifies(result.match):
             raise ConfigurationError("a table is bucketed by a unique key, so that no bucket outgrows the others")
-        return result.save_table(name, buckets, self.layout)
+        if self.sort_columns is not None:
+            raise ConfigurationError("buckets are sorted by their key: leave out ordered")
+        return result.save_table(name, buckets, self.layout, self.on_progress)
 
     def commit(self, path: str) -> Counts:
         """Write the next snapshot of a catalog table to a new folder and let the table point there.
 
-        Readers see the old snapshot until the last step, which touches the catalog only.
+        Readers see the old snapshot until the last step, which touches the catalog only. The new files have the
+        partitions and buckets of the table.
         """
-        require_movable(self.source.sparkSession, self._table())
-        counts = self.save(path)
-        point_to(self.source.sparkSession, self._table(), path)
+        spark, result = self.source.sparkSession, self.plan()
+        layout = laid_out_as(spark, self._table(), self.laid_out(result.match))
+        counts = result.save(path, layout, self.on_progress)
+        point_to(spark, self._table(), path)
         return counts
 
     def _table(self) -> str:
@@ -190,12 +225,10 @@ class Operation:
         if self.collation is None:
             return Subject(target, self.spec, roles, elsewhere=self.elsewhere)
         folded = frozenset(n for n in roles.match if isinstance(target.schema[n].dataType, T.StringType))
-        comparable = {FOLDED + n: F.collate(F.col(n), self.collation) for n in folded}
-        compared = target.withColumns(comparable) if comparable else target
         if folded:
             # Values that differ in the table may be equal under the collation.
             roles = replace(roles, target_is_unique=False)
-        return Subject(compared, self.spec, roles, folded, self.elsewhere)
+        return Subject(target, self.spec, roles, folded, self.elsewhere, self.collation).over(target)
 
     def _choose(self, **changes) -> Self:
         return replace(self, choices=replace(self.choices, **changes))
@@ -203,8 +236,11 @@ class Operation:
     def _wants_output(self) -> bool:
         return bool(self.choices.output) or self.choices.output_generated
 
-    def _numbered(self, source: DataFrame, needs_ordinal: bool) -> DataFrame:
-        """``source`` with its ordinal in place, numbering the rows if nothing else does."""
+    def _numbered(self, source: DataFrame, needs_ordinal: bool, makes_ids: bool = False) -> DataFrame:
+        """``source`` with its ordinal in place, numbering the rows if nothing else does.
+
+        Numbers that ids are made from may not repeat; a repeated one stops the job.
+        """
         if ORDINAL in source.columns:
             return source
         if self.ordinal_column is not None:
@@ -212,7 +248,8 @@ class Operation:
             if needs_ordinal:
                 wrong = F.raise_error(F.concat(F.lit(f"{CONSTRAINT_MARK} ordinal "), F.coalesce(number.cast("string"), F.lit("null"))))
                 number = F.when(number >= 0, number).otherwise(wrong.cast("long"))
-            return source.withColumn(ORDINAL, number)
+            numbered = source.withColumn(ORDINAL, number)
+            return keep_single(numbered, [ORDINAL]) if makes_ids else numbered
         if not needs_ordinal:
             return source
         if self.number_in_place:
@@ -250,12 +287,15 @@ class Operation:
         subject: Subject,
         source: DataFrame,
         staged: DataFrame,
-        rows: DataFrame,
-        changed: DataFrame,
+        find_rows: Callable[[], DataFrame],
         at_risk: tuple[tuple[str, ...], ...] = (),
+        searches: bool = False,
         **more,
     ) -> ChangeResult:
         roles = subject.roles
+        for name in ("find_new", "find_kept", "find_removed"):
+            if name in more:
+                more[name] = once(more[name])
 
         def to_changes(frame: DataFrame) -> DataFrame:
             after = F.when(F.col(ACTION) != DELETED, F.lit(True))
@@ -271,16 +311,23 @@ class Operation:
             more["enriched"] = lambda made: enriched_source(
                 own, made, roles.output, self.mapping, self.spec.enums, sole
             )
-        return ChangeResult(
-            kind=self.kind, rows=rows, changed=changed, changes_of=to_changes, staged=staged,
-            table_columns=tuple(n for n in rows.columns if n not in (ACTION, ORDINAL)),
+        result = ChangeResult(
+            kind=self.kind, find_rows=once(find_rows), changes_of=to_changes, staged=staged,
+            table_columns=subject.table_columns,
             match=roles.match, guards=self.guards, elsewhere=self.elsewhere,
             at_risk={group: _new_values(staged, group) for group in at_risk}, **more,
         )
+        if not searches:
+            # Starts no job, and shows at once what cannot be planned.
+            result.rows
+        return result
 
-    def _unapplied(self, subject: Subject, staged: DataFrame, unique: bool) -> dict[str, Callable[[], DataFrame]]:
+    def _unapplied(self, subject: Subject, staged: DataFrame, unique: bool) -> dict[str, Callable]:
         """How to find the staged rows that met no target row, or one with another token."""
-        found = {"find_unmatched": lambda: _target_names(classify.absent(subject, staged, unique))}
+        def absent_from(table: DataFrame | None) -> DataFrame:
+            return _target_names(classify.absent(subject if table is None else subject.over(table), staged, unique))
+
+        found = {"find_unmatched": absent_from}
         if subject.roles.check:
             found["find_stale"] = lambda: _target_names(classify.stale(subject, staged, unique))
         return found
@@ -347,16 +394,19 @@ class Insert(_Returning):
 
     def append_to(self, path: str) -> Counts:
         """Add the new rows to an existing folder instead of writing a snapshot."""
-        return self.plan().append_to(path, replace(self.layout, sort_by=()))
+        result = self.plan()
+        return result.append_to(path, self.laid_out(result.match), self.on_progress)
 
     def append(self) -> Counts:
         """Add the new rows to the catalog table instead of writing a snapshot."""
-        return self.plan().append_to_table(self._table())
+        if self.layout.rows_per_file is not None or self.sort_columns is not None:
+            raise ConfigurationError("a catalog table decides on its own files: leave out batch_size and ordered")
+        return self.plan().append_to_table(self._table(), self.on_progress)
 
     def _outcome(self, subject: Subject, source: DataFrame) -> ChangeResult:
         roles = subject.roles
         generates = roles.identity is not None and roles.identity not in roles.insert
-        source = self._numbered(source, generates or self._wants_output())
+        source = self._numbered(source, generates or self._wants_output(), generates)
         staged = sent_rows = self._staged(subject, source)
         unique = False
         if self.duplicates is not None and not roles.match:
@@ -365,11 +415,19 @@ class Insert(_Returning):
             staged, unique = self._single(subject, staged), True
         elif roles.match and self.duplicates == KEEP_LAST:
             staged, unique = self._one_per_key(subject, staged, roles.match), True
-        new = classify.absent(subject, staged, unique, asked=sent_rows) if roles.match else staged
-        added = classify.appended(subject, new)
-        rows = classify.untouched(subject).unionByName(added, allowMissingColumns=True)
+        asked = staged
+
+        @once
+        def added() -> DataFrame:
+            new = classify.absent(subject, asked, unique, asked=sent_rows) if roles.match else asked
+            return classify.appended(subject, new)
+
+        def rows() -> DataFrame:
+            return classify.untouched(subject).unionByName(added(), allowMissingColumns=True)
+
         return self._result(
-            subject, source, staged, rows, added, new_rows=added, at_risk=_groups_at_risk(subject, unique)
+            subject, source, staged, rows, find_new=added, at_risk=_groups_at_risk(subject, unique),
+            searches=bool(roles.match) and not unique,
         )
 
 
@@ -403,10 +461,9 @@ class Update(_Keyed, _Returning):
             staged = sent_rows
         else:
             staged = self._one_per_key(subject, sent_rows, roles.match + roles.check)
-        rows = classify.updated(subject, staged)
         return self._result(
-            subject, source, sent_rows, rows, rows,
-            at_risk=_groups_at_risk(subject, True),
+            subject, source, sent_rows, lambda: classify.updated(subject, staged),
+            at_risk=_groups_at_risk(subject, True), searches=classify.may_search(subject, staged),
             **self._unapplied(subject, sent_rows, roles.source_must_be_unique),
         )
 
@@ -425,10 +482,10 @@ class Delete(_Keyed):
             keys = sent_rows = self._single(subject, sent_rows)
         else:
             keys = sent_rows.select(*compared).distinct()
-        rows = classify.deleted(subject, keys)
         return self._result(
-            subject, source, sent_rows, rows, rows, may_delete=True,
-            kept_rows=classify.remaining(subject, keys), removed_rows=classify.removed(subject, keys),
+            subject, source, sent_rows, lambda: classify.deleted(subject, keys), may_delete=True,
+            find_kept=lambda: classify.remaining(subject, keys), find_removed=lambda: classify.removed(subject, keys),
+            searches=classify.may_search(subject, keys),
             **self._unapplied(subject, sent_rows, roles.source_must_be_unique),
         )
 
@@ -468,7 +525,7 @@ class Merge(_Keyed, _Returning):
         reject = self.duplicates == REJECT
         unordered = not reject and self._sequence() is None
         generates = roles.identity is not None and roles.identity not in roles.insert
-        source = self._numbered(source, generates or self._wants_output() or unordered)
+        source = self._numbered(source, generates or self._wants_output() or unordered, generates)
         all_rows = self._staged(subject, source)
         if reject:
             staged = self._single(subject, all_rows)
@@ -476,15 +533,18 @@ class Merge(_Keyed, _Returning):
             staged = self._one_per_key(subject, all_rows, roles.match)
         rest = _has_rows(source) if self.mirror else None
         full = self.joins == "full" or (self.joins == "auto" and classify.one_join_suffices(subject, staged))
-        if full:
-            rows = classify.merged_in_one_join(subject, staged, rest)
-        else:
+
+        def rows() -> DataFrame:
+            if full:
+                return classify.merged_in_one_join(subject, staged, rest)
             added = classify.appended(subject, classify.absent(subject, staged, True, asked=all_rows))
             existing = classify.merged_existing(subject, staged, rest)
-            rows = existing.unionByName(added, allowMissingColumns=True)
+            return existing.unionByName(added, allowMissingColumns=True)
+
         return self._result(
-            subject, source, staged, rows, rows,
+            subject, source, staged, rows,
             may_delete=self.mirror, at_risk=_groups_at_risk(subject, True),
+            searches=not full and classify.may_search(subject, staged),
             **self._unapplied(subject, staged, True),
         )
 

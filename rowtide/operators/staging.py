@@ -91,9 +91,9 @@ def default_value(spec: TableSpec, name: str, target_schema: T.StructType) -> Co
 
 
 def violation(value: Column, name: str, spec: TableSpec) -> Column | None:
-    """A condition that holds for values the column does not take; ``None`` without a rule."""
+    """A condition that holds for values the column does not take; ``None`` without a rule. Keys are required."""
     conditions = []
-    if name in spec.required:
+    if name in spec.required or name in spec.keys:
         conditions.append(value.isNull())
     if name in spec.max_length:
         conditions.append(F.coalesce(F.length(value) > spec.max_length[name], F.lit(False)))

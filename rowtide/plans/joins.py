@@ -7,7 +7,7 @@ Spark decides as it does for any join, or it is bounded by construction (``hot_k
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -63,7 +63,7 @@ def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -
     return reduce(and_, (left[mine] == right[theirs] for mine, theirs in pairs))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], floor: int | None = None) -> DataFrame | None:
     """Keys that hold more than one shuffle partition's share of ``df``, and into how many pieces
     to split each; ``None`` if there are none.
 
@@ -72,6 +72,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = SMALLEST_HOT_KEY)
     gives such a key about a thousand rows is enough to find them. The list is frozen, so that both
     sides of a join see the same one.
     """
+    floor = SMALLEST_HOT_KEY if floor is None else floor
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key_columns = df.select(*keys)
     fraction = _sample_fraction(key_columns, partitions)
@@ -100,21 +101,26 @@ def join_on_keys(
     pairs: Sequence[tuple[str, str]],
     how: str,
     left_is_unique: bool,
-    floor: int = SMALLEST_HOT_KEY,
+    find: Callable[[Sequence[str]], DataFrame | None] | None = None,
+    floor: int | None = None,
+    only: Callable[[DataFrame], Column] | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right``, which holds each key once.
 
     A small right side is broadcast by Spark, and unique keys cannot be skewed. Otherwise the hot
     keys of the left side are looked for, which starts a job; if there are any, they are spread over
-    several partitions and their few right-hand rows are repeated to meet them.
+    several partitions and their few right-hand rows are repeated to meet them. ``find`` may know them already. ``only`` says which left rows may
+    meet any.
     """
+    only = only or (lambda rows: F.lit(True))
     left_keys = [mine for mine, _ in pairs]
-    hot = None if left_is_unique or fits_broadcast(right) else hot_keys(left, left_keys, floor)
+    find = find or (lambda keys: hot_keys(left, keys, floor))
+    hot = None if left_is_unique or fits_broadcast(right) else find(left_keys)
     if hot is None:
-        return left.join(right, equal(left, right, pairs), how)
+        return left.join(right, equal(left, right, pairs) & only(left), how)
     spread = _spread_left(left, left_keys, hot)
     repeated = _repeat_right(right, pairs, hot)
-    met = equal(spread, repeated, pairs) & (spread[PIECE] == repeated[SALT])
+    met = equal(spread, repeated, pairs) & (spread[PIECE] == repeated[SALT]) & only(spread)
     return spread.join(repeated, met, how).drop(PIECE, SALT)
 
 

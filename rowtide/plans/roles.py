@@ -12,8 +12,11 @@ from rowtide.spec import TableSpec, reject_nested_keys
 
 INSERT, UPDATE, DELETE, MERGE = "insert", "update", "delete", "merge"
 
+# The columns that an operation adds to a row, its source row's number and what became of it.
 ORDINAL = "__bulk_index"
 ACTION = "action"
+# What earlier operations of a chain did to a row, a letter each.
+PAST = "__past"
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from rowtide.errors import ConfigurationError
 
+# Fixed value: what Spark throws for an observation that no plan carried out.
+NEVER_DELIVERED = "java.lang.AssertionError"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
@@ -46,8 +49,10 @@ def frozen(df: DataFrame) -> DataFrame:
 
 
 def observed(seen: Observation) -> dict[str, int]:
-    """The values an observation took; none if the optimizer knew that no row would pass it."""
+    """The values an observation took; none if the optimizer knew that no row would get past it and left it out."""
     try:
         return seen.get
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != NEVER_DELIVERED:
+            raise
         return {}

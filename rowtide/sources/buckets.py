@@ -4,25 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.errors import SPARK_ERRORS, ConfigurationError, translated
-from rowtide.operators.operation import Delete, Insert, Merge, Operation, Update
-from rowtide.operators.outcome import Counts
-
-BUCKET = "bucket"
+from rowtide.errors import ConfigurationError
+from rowtide.operators.operation import Insert, Merge, Operation, Update
+from rowtide.sources.partitions import FolderTable
+from rowtide.sources.tables import BUCKET, Layout, bucket_of
 
 
 @dataclass(frozen=True)
-class BucketedTable:
+class BucketedTable(FolderTable):
     """A Parquet folder partitioned by ``bucket``, a hash of the key columns.
 
-    An operation that matches on those columns reads and rewrites only the buckets its source
-    falls into. It goes to a staging folder first; once that is complete, the buckets are replaced
-    from it, a step that can be repeated after any failure with the same result.
+    An operation that matches on those columns finds the buckets it may change from its source alone.
     """
 
     path: str
@@ -30,9 +26,9 @@ class BucketedTable:
     keys: tuple[str, ...]
     buckets: int
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The whole table."""
-        return self._stored(spark).drop(BUCKET)
+    @property
+    def layout(self) -> Layout:
+        return Layout(bucket_by=self.keys, buckets=self.buckets)
 
     def bucket_of(self, columns: dict[str, str] | None = None) -> Column:
         """The bucket of a row; ``columns`` says where the row holds the key columns.
@@ -41,59 +37,20 @@ class BucketedTable:
         source gives them.
         """
         named = columns or {}
-        typed = [F.col(named.get(key, key)).cast(self.schema[key].dataType) for key in self.keys]
-        return F.pmod(F.xxhash64(*typed), F.lit(self.buckets)).cast("int")
-
-    def create(self, rows: DataFrame) -> None:
-        """Write the first snapshot."""
-        self._in_buckets(rows.select(*self.schema.names)).write.partitionBy(BUCKET).parquet(self.path)
-
-    def apply(self, operation: Operation, staging: str) -> Counts:
-        """Carry out ``operation`` on the touched buckets and put them in place.
-
-        ``staging`` names the attempt: if it already holds a complete result, as after a failure in
-        the second step, that result is put in place and nothing is computed.
-        """
-        self._require_bucket_match(operation)
-        spark = operation.source.sparkSession
-        touched = self._touched(operation)
-        if not touched:
-            return Counts()
-        counts = None
-        if not _complete(spark, staging):
-            stored, reached = self._stored(spark), F.col(BUCKET).isin(touched)
-            target, elsewhere = (stored.where(which).drop(BUCKET) for which in (reached, ~reached))
-            result = operation.on(target, elsewhere).plan()
-            try:
-                counts = result.check()
-                self._in_buckets(result.snapshot).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-            except SPARK_ERRORS as error:
-                raise translated(error) from error
-        self._replace(spark, staging, touched)
-        return counts or Counts()
-
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        typed = T.StructType(list(self.schema) + [T.StructField(BUCKET, T.IntegerType())])
-        try:
-            return spark.read.schema(typed).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], typed)
-
-    def _in_buckets(self, rows: DataFrame) -> DataFrame:
-        # Rows of one bucket may be spread over several files, so a full bucket is no bottleneck.
-        return rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        return bucket_of(self.buckets, [F.col(named.get(key, key)).cast(self.schema[key].dataType) for key in self.keys])
 
-    def _touched(self, operation: Operation) -> list[int]:
-        """The buckets of the source's keys: at most ``buckets`` numbers."""
+    def _reached(self, operation: Operation, spark: SparkSession) -> tuple[set[str], Column] | None:
         mapping = {theirs: mine for mine, theirs in operation.mapping.items()}
         if isinstance(operation, Merge) and operation.mirror:
-            return [] if operation.source.isEmpty() else list(range(self.buckets))
-        found = operation.source.select(self.bucket_of(mapping).alias(BUCKET)).distinct()
-        return sorted(row[BUCKET] for row in found.where(F.col(BUCKET).isNotNull()).collect())
-
-    def _require_bucket_match(self, operation: Operation) -> None:
+            found = [] if operation.source.isEmpty() else list(range(self.buckets))
+        else:
+            # At most as many numbers as there are buckets.
+            sent = operation.source.select(self.bucket_of(mapping).alias(BUCKET)).distinct()
+            found = [row[BUCKET] for row in sent.where(F.col(BUCKET).isNotNull()).collect()]
+        return ({f"{BUCKET}={n}" for n in found}, F.col(BUCKET).isin(found)) if found else None
+
+    def _require(self, operation: Operation, spark: SparkSession) -> None:
+        super()._require(operation, spark)
         match = operation.choices.match or operation.spec.keys
         plain_insert = isinstance(operation, Insert) and not operation.choices.insert_if_missing
         if plain_insert or not set(self.keys) <= {operation.mapping.get(n, n) for n in match}:
@@ -103,22 +60,3 @@ class BucketedTable:
             raise ConfigurationError("an update must not move rows between buckets")
         if operation.collation is not None:
             raise ConfigurationError("buckets hash keys as they are, so keys cannot be collated")
-
-    def _replace(self, spark: SparkSession, staging: str, touched: list[int]) -> None:
-        rows = spark.read.schema(self._stored(spark).schema).parquet(staging)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(BUCKET).parquet(self.path)
-        filled = {row[BUCKET] for row in rows.select(BUCKET).distinct().collect()}
-        for emptied in sorted(set(touched) - filled):
-            remove_folder(spark, f"{self.path.rstrip('/')}/{BUCKET}={emptied}")
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it exists."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

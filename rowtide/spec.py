@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -14,6 +14,9 @@ ROLE_NAMES = (
     "key", "identity", "computed", "token", "rowversion", "default", "max_length", "enum",
 )
 
+# Fixed value: where Spark keeps the DEFAULT expression of a table's column.
+TABLE_DEFAULT = "CURRENT_DEFAULT"
+
 _IDENTITY_TYPES = (T.ShortType, T.IntegerType, T.LongType)
 _NESTED_TYPES = (T.ArrayType, T.MapType, T.StructType)
 
@@ -86,6 +89,11 @@ class TableSpec:
             enums={f.name: f.metadata["enum"] for f in marked["enum"]},
         )
 
+    def with_defaults_of(self, fields: T.StructType) -> TableSpec:
+        """The spec with the ``DEFAULT`` expressions of the table's own columns, where it gives none itself."""
+        declared = {f.name: f.metadata[TABLE_DEFAULT] for f in fields if TABLE_DEFAULT in f.metadata}
+        return replace(self, defaults={**declared, **self.defaults}) if set(declared) - set(self.defaults) else self
+
     @property
     def check_column(self) -> str | None:
         """The column compared for optimistic concurrency: a plain token, or the row version."""

@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.operation import Operation
-from rowtide.sources.buckets import BucketedTable, remove_folder
+from rowtide.sources.files import joined, remove
+from rowtide.sources.partitions import FolderTable
 
 
 def apply_stream(
     stream: DataFrame,
-    table: BucketedTable,
+    table: FolderTable,
     operation: Callable[[DataFrame], Operation],
     checkpoint: str,
     staging: str,
     progress: Callable[[int], None] | None = None,
+    changes: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start a query that carries out ``operation(batch)`` on ``table`` for every micro-batch.
@@ -25,7 +27,8 @@ def apply_stream(
     Spark may deliver a batch again after a failure. Each batch is staged under its own number, so
     the second delivery finds a finished result or computes it from an unchanged table; that makes
     updates, deletes and merges by key take effect once. ``progress`` receives the running number
-    of source rows.
+    of source rows. Under ``changes`` every batch leaves its change set, in a folder ``batch=<number>`` that a second
+    delivery does not write again.
     """
     seen = 0
 
@@ -34,9 +37,10 @@ def apply_stream(
         # Several jobs read the batch; the source files are then scanned once.
         batch.persist()
         try:
-            table.apply(operation(batch), f"{staging.rstrip('/')}/batch={batch_id}")
+            told = None if changes is None else joined(changes, f"batch={batch_id}")
+            table.apply(operation(batch), joined(staging, f"batch={batch_id}"), changes=told)
             # The batch before this one is committed and will not be delivered again.
-            remove_folder(batch.sparkSession, f"{staging.rstrip('/')}/batch={batch_id - 1}")
+            remove(batch.sparkSession, joined(staging, f"batch={batch_id - 1}"))
             if progress is not None:
                 seen += batch.count()
                 progress(seen)
