@@ -17,6 +17,7 @@ from rowtide.operators.chain import Chain
 from rowtide.operators.identity import with_ordinal
 from rowtide.session import fresh_folder
 from rowtide.sources.buckets import BucketedTable
+from rowtide.sources.partitions import PartitionedTable
 from rowtide.sources.tables import sorted_by_keys
 from rowtide.streaming.upsert import apply_stream
 
@@ -302,8 +303,80 @@ def bucketed_merge(spark: SparkSession, sf: str) -> DataFrame:
     return stored.read(spark)
 
 
+def partitioned_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The upsert on a table stored by priority, which the feed changes: its rows move to other partitions."""
+    on_file = fx.on_file(spark, sf)
+    folder = fresh_folder(spark, "partitioned-merge")
+    stored = PartitionedTable(f"{folder}/table", on_file.schema, ("o_orderpriority",))
+    stored.create(on_file)
+    stored.apply(_merge(spark, sf).check_token(False), f"{folder}/staging")
+    return stored.read(spark)
+
+
+def _catalog_commit(spark: SparkSession, sf: str, define) -> DataFrame:
+    """The upsert committed to a catalog table, and then again, which changes nothing more."""
+    folder = fresh_folder(spark, "catalog-commit")
+    spec = replace(fx.ORDERS, name=f"orders_{folder.rpartition('-')[2]}")
+    define(fx.on_file(spark, sf).write.format("parquet").option("path", f"{folder}/first")).saveAsTable(spec.name)
+    for attempt in ("second", "third"):
+        merged = merge(None, fx.feed(spark, sf), spec).sequence("seq", distinct_per_key=True)
+        merged.check_token(False).commit(f"{folder}/{attempt}")
+    return spark.table(spec.name)
+
+
+def catalog_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """A commit to a table with partitions."""
+    return _catalog_commit(spark, sf, lambda writer: writer.partitionBy("o_orderstatus", "o_orderpriority"))
+
+
+def catalog_commit_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A commit to a table with buckets inside of its partitions."""
+    return _catalog_commit(
+        spark, sf, lambda writer: writer.partitionBy("o_orderstatus").bucketBy(4, "o_orderkey").sortBy("o_orderkey")
+    )
+
+
+def catalog_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """A partial insert into a catalog table that declares a default of its own."""
+    folder = fresh_folder(spark, "catalog-defaults")
+    name = f"orders_{folder.rpartition('-')[2]}"
+    columns = ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" + (" DEFAULT 'NONE'" if f.name == "o_orderpriority" else "")
+        for f in fx.on_file(spark, sf).schema
+    )
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{folder}/table'")
+    fx.on_file(spark, sf).write.insertInto(name)
+    listed = insert(None, fx.first_time(spark, sf), replace(fx.ORDERS, name=name))
+    listed.columns("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "ver").append()
+    return spark.table(name)
+
+
+def chain_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters of three steps that are written in one job."""
+    folder = fresh_folder(spark, "chain-counts")
+    finished = fx.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey")
+    steps = Chain(fx.on_file(spark, sf))
+    steps.then(delete(None, finished, fx.ORDERS))
+    steps.then(_merge(spark, sf).check_token(False))
+    steps.then(delete(None, finished, fx.ORDERS))
+    counts = steps.save(f"{folder}/table")
+    rows = [(n, *c) for n, c in enumerate(counts)]
+    return spark.createDataFrame(rows, "step int, inserted long, updated long, deleted long, total_affected long")
+
+
+def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """What the change sets of a stream of events tell: each user, added once."""
+    folder, _ = _latest_events(spark, sf, told=True)
+    return spark.read.parquet(f"{folder}/changes").select("user_id", "action", "event_id")
+
+
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     """The events upserted by user through a stream; the last event of a user stays."""
+    _, latest = _latest_events(spark, sf)
+    return latest.read(spark)
+
+
+def _latest_events(spark: SparkSession, sf: str, told: bool = False) -> tuple[str, BucketedTable]:
     fields = fx.table(spark, sf, "events").select("user_id", "event_id", "event_type", "value").schema
     spec = TableSpec("latest_event", keys=("user_id",))
     folder = fresh_folder(spark, "stream-merge")
@@ -313,12 +386,17 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
         .parquet(f"{sf}/events.parquet*")  # as a pattern it may name a file or a folder
         .select("user_id", "event_id", "event_type", "value")
     )
+
+    def upsert(batch: DataFrame):
+        merged = merge(None, batch, spec).sequence("event_id", distinct_per_key=True)
+        return merged.ordinal("event_id").output("event_id") if told else merged
+
     started = apply_stream(
-        stream, latest, lambda batch: merge(None, batch, spec).sequence("event_id", distinct_per_key=True),
-        checkpoint=f"{folder}/progress", staging=f"{folder}/staging",
+        stream, latest, upsert, checkpoint=f"{folder}/progress", staging=f"{folder}/staging",
+        changes=f"{folder}/changes" if told else None,
     )
     started.awaitTermination()
-    return latest.read(spark)
+    return folder, latest
 
 
 QUERIES = {
@@ -334,6 +412,7 @@ QUERIES = {
         merge_insert_only, merge_dedup_last, merge_insert_identity, merge_empty_source,
         merge_output, write_back, row_version_bump,
         dedup_last, duplicate_keys, unique_violations, constraint_rejects, stale_rows, unmatched_source,
-        op_chain, ordered_key_layout, bucketed_merge, stream_merge,
+        op_chain, chain_counts, ordered_key_layout, bucketed_merge, partitioned_merge, catalog_commit, catalog_commit_buckets,
+        catalog_defaults, stream_merge, stream_changes,
     )
 }

@@ -160,6 +160,21 @@ WHERE t.ver <> s.ver""",
 WHERE NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_orderstatus = 'F' AND f.o_orderkey = t.o_orderkey)""",
     "ordered_key_layout": _UPSERTED,
     "bucketed_merge": _UPSERTED,
+    "partitioned_merge": _UPSERTED,
+    "catalog_commit": _UPSERTED,
+    "catalog_commit_buckets": _UPSERTED,
+    "catalog_defaults": f"""SELECT {_ALL} FROM ord_t UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'NONE', ver FROM ord_new""",
+    "chain_counts": """, ended AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'),
+left_over AS (SELECT o_orderkey FROM ord_t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ended)),
+known AS (SELECT count(*) AS n FROM ord_s WHERE o_orderkey IN (SELECT o_orderkey FROM left_over)),
+fresh AS (SELECT count(*) AS n FROM ord_s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM left_over)),
+again AS (SELECT count(*) AS n FROM ord_s WHERE o_orderkey IN (SELECT o_orderkey FROM ended)),
+gone AS (SELECT count(*) AS n FROM ord_t WHERE o_orderkey IN (SELECT o_orderkey FROM ended))
+SELECT 0::INTEGER AS step, 0::BIGINT AS inserted, 0::BIGINT AS updated, n AS deleted, n AS total_affected FROM gone
+UNION ALL SELECT 1, fresh.n, known.n, 0, fresh.n + known.n FROM fresh, known
+UNION ALL SELECT 2, 0, 0, n, n FROM again""",
+    "stream_changes": "SELECT user_id, 'INSERT' AS action, max(event_id) AS event_id FROM events GROUP BY user_id",
     "stream_merge": """SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) ranked WHERE rn = 1""",
 }

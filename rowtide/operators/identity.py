@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from rowtide.session import frozen
 # monotonically_increasing_id puts the partition number above this many bits of row position.
 _ROW_BITS = (1 << 33) - 1
 
-_PART, _OFFSET = "__part", "__offset"
+_PART = "__part"
 
 
 def with_ordinal(source: DataFrame, order_by: str | None = None, name: str = ORDINAL) -> DataFrame:
@@ -22,7 +23,8 @@ def with_ordinal(source: DataFrame, order_by: str | None = None, name: str = ORD
 
     The rows are range-partitioned (ties are spread by input partition, so that one value may fill
     any share of the rows), frozen on shared storage, and numbered from the row count of each
-    partition. The driver sees one count per partition, and no window spans the whole source.
+    partition. The driver sees one count per partition, and no window spans the whole source. The
+    starts of the partitions reach the rows as a constant, so the optimizer still knows how large the source is.
     """
     if order_by is not None:
         partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -33,19 +35,12 @@ def with_ordinal(source: DataFrame, order_by: str | None = None, name: str = ORD
             .drop(_PART)
         )
     fixed = frozen(source)
-    placed = fixed.withColumn(_PART, F.spark_partition_id())
-    sizes = dict(placed.groupBy(_PART).count().collect())
-    ordered = sorted(sizes)
-    starts = [0, *accumulate(sizes[part] for part in ordered)]
-    offsets = source.sparkSession.createDataFrame(
-        list(zip(ordered, starts)), T.StructType([
-            T.StructField(_PART, T.IntegerType()), T.StructField(_OFFSET, T.LongType()),
-        ]),
-    )
+    part = F.spark_partition_id()
+    sizes = dict(fixed.groupBy(part.alias(_PART)).count().collect())
+    counts = [sizes.get(n, 0) for n in range(max(sizes, default=-1) + 1)]
+    starts = F.from_json(F.lit(json.dumps([0, *accumulate(counts)])), "array<bigint>")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
-    # One offset row per partition.
-    located = placed.withColumn("__row", position).join(F.broadcast(offsets), _PART)
-    return located.select(*fixed.columns, (F.col(_OFFSET) + F.col("__row")).alias(name))
+    return fixed.withColumn(name, F.element_at(starts, part + 1) + position)
 
 
 def next_value(target: DataFrame, name: str) -> Column:

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,12 +118,9 @@ class FolderTable:
 
     def _stored(self, spark: SparkSession) -> DataFrame:
         typed = self.layout.stored_schema(self.schema)
-        try:
-            return spark.read.schema(typed).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(spark, self.path):
             return spark.createDataFrame([], typed)
+        return spark.read.schema(typed).parquet(self.path)
 
     def _require(self, operation: Operation, spark: SparkSession) -> None:
         """Check the description against the table, also where there is nothing to do."""

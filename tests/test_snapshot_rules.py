@@ -63,19 +63,6 @@ def test_collated_write_back_returns_each_row_once(spark):
     assert changed.collate_keys("UTF8_LCASE").plan().write_back().count() == 1
 
 
-@pytest.mark.parametrize("layout", ["partition", "bucket"])
-def test_commit_refuses_what_a_location_cannot_change(spark, tmp_path, layout):
-    spec = TableSpec(f"kept_{layout}", schema="default", keys=("id",))
-    rows = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
-    writer = rows.write.format("parquet").mode("overwrite")
-    writer = writer.partitionBy("v") if layout == "partition" else writer.bucketBy(2, "id")
-    writer.saveAsTable(f"default.{spec.name}")
-    with pytest.raises(ConfigurationError, match="partitioned or bucketed"):
-        merge(None, rows.withColumn("v", F.lit("z")), spec).commit(str(tmp_path / "next"))
-    assert not (tmp_path / "next").exists()
-    spark.sql(f"DROP TABLE default.{spec.name}")
-
-
 def test_duplicate_policy_of_insert(books, sent):
     from tests.conftest import BOOKS
 
