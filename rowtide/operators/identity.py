@@ -5,18 +5,22 @@ from __future__ import annotations
 import json
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.plans.roles import ORDINAL
-from rowtide.session import frozen
+from rowtide.session import frozen, observed
 
 # monotonically_increasing_id puts the partition number above this many bits of row position.
 _ROW_BITS = (1 << 33) - 1
 
 _PART = "__part"
 
+# Partitions whose sizes are taken while the rows are frozen. Merging a histogram takes as long as it has bins, so more
+# are counted by a job of their own.
+COUNTED_ON_THE_WAY = 1000
+
 
 def with_ordinal(source: DataFrame, order_by: str | None = None, name: str = ORDINAL) -> DataFrame:
     """``source`` with a dense number from 0 in ``name``: by ``order_by``, else as the rows are read.
@@ -26,17 +30,26 @@ def with_ordinal(source: DataFrame, order_by: str | None = None, name: str = ORD
     partition. The driver sees one count per partition, and no window spans the whole source. The
     starts of the partitions reach the rows as a constant, so the optimizer still knows how large the source is.
     """
+    seen = None
     if order_by is not None:
         partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         source = (
             source.withColumn(_PART, F.spark_partition_id())
             .repartitionByRange(partitions, order_by, _PART)
             .sortWithinPartitions(order_by)
-            .drop(_PART)
+            .withColumn(_PART, F.spark_partition_id())
         )
+        if partitions <= COUNTED_ON_THE_WAY:
+            # A histogram with a bin per partition is exact.
+            seen = Observation()
+            source = source.observe(seen, F.histogram_numeric(_PART, F.lit(partitions)).alias("sizes"))
+        source = source.drop(_PART)
     fixed = frozen(source)
     part = F.spark_partition_id()
-    sizes = dict(fixed.groupBy(part.alias(_PART)).count().collect())
+    if seen is not None:
+        sizes = {int(bar["x"]): int(bar["y"]) for bar in observed(seen).get("sizes") or ()}
+    else:
+        sizes = dict(fixed.groupBy(part.alias(_PART)).count().collect())
     counts = [sizes.get(n, 0) for n in range(max(sizes, default=-1) + 1)]
     starts = F.from_json(F.lit(json.dumps([0, *accumulate(counts)])), "array<bigint>")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))

@@ -5,12 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rowtide.operators import identity
 from rowtide.operators.duplicates import duplicate_keys, keep_last, keep_single
 from rowtide.operators.identity import next_value, with_ordinal
 from rowtide.sources.tables import sorted_by_keys
 
 
-def test_ordinals_are_dense_and_follow_the_order(spark):
+@pytest.mark.parametrize("most", [0, 1000])
+def test_ordinals_are_dense_and_follow_the_order(spark, monkeypatch, most):
+    monkeypatch.setattr(identity, "COUNTED_ON_THE_WAY", most)
     values = list(range(500))
     random.Random(1).shuffle(values)
     source = spark.createDataFrame([(v,) for v in values], "v int").repartition(7)
@@ -38,6 +41,11 @@ def test_ordinals_do_not_change_between_reads(spark):
     assert sorted(map(tuple, numbered.collect())) == sorted(map(tuple, numbered.collect()))
 
 
+def test_an_empty_source_has_no_numbers(spark):
+    assert with_ordinal(spark.range(0).toDF("v"), "v", "n").collect() == []
+    assert with_ordinal(spark.createDataFrame([], "v int"), "v", "n").collect() == []
+
+
 def test_next_value_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id int")
     assert spark.range(1).select(next_value(empty, "id").alias("n")).first().n == 1
