@@ -15,6 +15,9 @@ CHUNK, RANGE = 2_000_000, 4_000_000
 #: Bits of a hash that are dealt, in 6 bytes.
 BITS = 48
 
+#: The packed columns of a range and chunk.
+COLUMNS = ("keys", "sizes", "counts", "tokens", "joint", "common_counts", "common")
+
 
 def packed(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :BITS // 8].tobytes()
@@ -43,13 +46,14 @@ def range_bits(total: int, each: int = RANGE) -> int:
 def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], chunk_size: int = CHUNK) -> DataFrame:
     """The hashes of all sets by ranges: a row for each of the ``2**bits`` ranges and chunk of documents.
 
-    ``keys``: the chunk's distinct sets. ``counts`` and ``tokens``: how many hashes of the range each of them alone
+    ``keys``: the chunk's distinct sets that have a hash in the range. ``counts`` and ``tokens``: how many hashes of the range each of them alone
     has, and which. ``joint``: the hashes that several of them have; ``common_counts`` and ``common``: whose
-    these are. Of a hash of 64 bits the first 48 are dealt. So a chunk names a hash to other chunks once, however many sets have it.
+    these are. ``sizes``: how many hashes each set has in all. Of a hash of 64 bits the first 48 are dealt. So a chunk names
+    a hash to other chunks once, however many sets have it.
     """
     ranges = 1 << bits
 
-    def rows(keys: list[int], sets: list[np.ndarray]) -> Iterator[dict]:
+    def rows(keys: list[int], sets: list[np.ndarray], whole: list[int]) -> Iterator[dict]:
         tokens = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(tokens, kind="stable")
@@ -72,18 +76,22 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
         single, s_at, s_counts = parts(~several)
         common, c_at, c_counts = parts(several)
         j_at = np.searchsorted(joint_place, np.arange(ranges + 1))
-        named = np.array(keys, np.int64).tobytes()
+        named, sizes = np.array(keys, np.int64), np.array(whole, np.uint32)
         for r in range(ranges):
+            here = (s_counts[r] > 0) | (c_counts[r] > 0)
             yield {
-                "range": r, "keys": named, "counts": s_counts[r].astype(np.uint32).tobytes(),
+                "range": r, "keys": named[here].tobytes(), "sizes": sizes[here].tobytes(),
+                "counts": s_counts[r][here].astype(np.uint32).tobytes(),
                 "tokens": packed(single[s_at[r]:s_at[r + 1]]), "joint": packed(joint[j_at[r]:j_at[r + 1]]),
-                "common_counts": c_counts[r].astype(np.uint32).tobytes(), "common": packed(common[c_at[r]:c_at[r + 1]]),
+                "common_counts": c_counts[r][here].astype(np.uint32).tobytes(),
+                "common": packed(common[c_at[r]:c_at[r + 1]]),
             }
 
-    schema = pa.schema([("range", pa.int32()), *((n, pa.binary()) for n in ("keys", "counts", "tokens", "joint", "common_counts", "common"))])
+    schema = pa.schema([("range", pa.int32()), *((n, pa.binary()) for n in COLUMNS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk: dict[int, np.ndarray] = {}
+        whole: list[int] = []
         size = 0
         for big in batches:
             for at in range(0, big.num_rows, 512):
@@ -92,59 +100,62 @@ def dealt(docs: DataFrame, bits: int, sets_of: Callable[[pa.RecordBatch], Iterat
                     if not len(tokens) or key in chunk:
                         continue
                     chunk[key] = np.unique(tokens >> np.uint64(64 - BITS))
+                    whole.append(len(tokens))
                     size += len(tokens)
                     if size >= chunk_size:
-                        for row in rows(list(chunk), list(chunk.values())):
+                        for row in rows(list(chunk), list(chunk.values()), whole):
                             yield pa.RecordBatch.from_pylist([row], schema=schema)
-                        chunk, size = {}, 0
+                        chunk, whole, size = {}, [], 0
         if chunk:
-            for row in rows(list(chunk), list(chunk.values())):
+            for row in rows(list(chunk), list(chunk.values()), whole):
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
         pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, "range int, keys binary, counts binary, tokens binary, joint binary, common_counts binary, common binary")
+    return docs.mapInArrow(run, "range int, " + ", ".join(f"{n} binary" for n in COLUMNS))
+
+
+def counted(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one range: ``token, key, count`` of the hashes that several sets have, by key and hash."""
+
+    def column(name: str, read: Callable[[bytes], np.ndarray]) -> list[np.ndarray]:
+        return [read(x) for x in table[name].to_pylist()]
+
+    keys = column("keys", lambda x: np.frombuffer(x, np.int64))
 
+    def pairs(tokens: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
+        owner = [np.repeat(k, c) for k, c in zip(keys, column(counts, lambda x: np.frombuffer(x, np.uint32)), strict=True)]
+        return np.concatenate(column(tokens, unpacked)), np.concatenate(owner)
 
-def shared(chunks: DataFrame, frequent: int | None = None, ranked: bool = False) -> DataFrame:
+    token, key = pairs("tokens", "counts")
+    order = np.lexsort((key, token))
+    token, key = token[order], key[order]
+    other = firsts(token, key)
+    token, key = token[other], key[other]
+    same = token[1:] == token[:-1]
+    known = np.isin(token, np.unique(np.concatenate(column("joint", unpacked))), kind="sort")
+    known[1:] |= same
+    known[:-1] |= same
+    more, owners = pairs("common", "common_counts")
+    token, key = np.concatenate([token[known], more]), np.concatenate([key[known], owners])
+    order = np.lexsort((token, key))
+    token, key = token[order], key[order]
+    new = firsts(token, key)
+    token, key = token[new], key[new]
+    if not len(token):
+        return token, key, np.empty(0, np.int64)
+    _, place, count = np.unique(token, return_inverse=True, return_counts=True)
+    return token, key, count[place]
+
+
+def shared(chunks: DataFrame, frequent: int) -> DataFrame:
     """``key, tokens binary, frequent binary``: of each range and set, the hashes that other sets have too.
 
-    Hashes that more than ``frequent`` sets have, if given, are in ``frequent``, the others in ``tokens``. With
-    ``ranked`` each hash has in front the power of two of the number of sets that have it, so that the
-    numbers' order has the rare ones first.
+    Hashes that more than ``frequent`` sets have are in ``frequent``, the others in ``tokens``.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        def column(name: str, read: Callable[[bytes], np.ndarray]) -> list[np.ndarray]:
-            return [read(x) for x in table[name].to_pylist()]
-
-        keys = column("keys", lambda x: np.frombuffer(x, np.int64))
-
-        def pairs(tokens: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
-            owner = [np.repeat(k, c) for k, c in zip(keys, column(counts, lambda x: np.frombuffer(x, np.uint32)), strict=True)]
-            return np.concatenate(column(tokens, unpacked)), np.concatenate(owner)
-
-        token, key = pairs("tokens", "counts")
-        order = np.lexsort((key, token))
-        token, key = token[order], key[order]
-        other = firsts(token, key)
-        token, key = token[other], key[other]
-        same = token[1:] == token[:-1]
-        known = np.isin(token, np.unique(np.concatenate(column("joint", unpacked))), kind="sort")
-        known[1:] |= same
-        known[:-1] |= same
-        more, owners = pairs("common", "common_counts")
-        token, key = np.concatenate([token[known], more]), np.concatenate([key[known], owners])
-        order = np.lexsort((token, key))
-        token, key = token[order], key[order]
-        new = firsts(token, key)
-        token, key = token[new], key[new]
-        many = np.zeros(len(token), bool)
-        if len(token):
-            _, place, count = np.unique(token, return_inverse=True, return_counts=True)
-            if frequent is not None:
-                many = count[place] > frequent
-            if ranked:
-                token = token | (np.log2(count[place]).astype(np.uint64) << np.uint64(BITS))
+        token, key, count = counted(table)
+        many = count > frequent
         first = np.flatnonzero(firsts(key))
         bounds = list(zip(first, np.append(first, len(key))[1:], strict=True))
         return pa.table({
@@ -154,3 +165,62 @@ def shared(chunks: DataFrame, frequent: int | None = None, ranked: bool = False)
         })
 
     return chunks.groupBy("range").applyInArrow(run, "key long, tokens binary, frequent binary")
+
+
+def gathered(chunks: DataFrame, enough: Callable[[int], int]) -> DataFrame:
+    """``key, n, tokens binary``: the sets of which at least ``enough(n)`` of ``n`` hashes are shared with others.
+
+    ``tokens`` are the shared hashes in order, each with the power of two of the number of sets that have it in
+    front, so that the rare ones come first. A range sends one row to each of as many places as there are shuffle
+    partitions, with what it has of all sets that are put together there.
+    """
+    places = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(table: pa.Table) -> pa.Table:
+        token, key, count = counted(table)
+        token = token | (np.log2(np.maximum(count, 1)).astype(np.uint64) << np.uint64(BITS))
+        sizes: dict[int, int] = {}
+        for keys, whole in zip(table["keys"].to_pylist(), table["sizes"].to_pylist(), strict=True):
+            sizes.update(zip(np.frombuffer(keys, np.int64).tolist(), np.frombuffer(whole, np.uint32).tolist(), strict=True))
+        first = np.flatnonzero(firsts(key))
+        named, held = key[first], np.diff(np.append(first, len(key)))
+        # Of near copies much is shared in every range, but a range alone cannot tell.
+        place = (named % places).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        by_token = np.argsort(np.repeat(place, held), kind="stable")
+        token, place, named, held = token[by_token], place[order], named[order], held[order]
+        size = np.array([sizes[k] for k in named.tolist()], np.uint32)
+        begins = np.flatnonzero(firsts(place))
+        ends = np.append(begins, len(place))[1:]
+        offset = np.append(0, np.cumsum(held))
+        return pa.table({
+            "place": pa.array(place[begins], pa.int32()),
+            "keys": pa.array([named[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+            "sizes": pa.array([size[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+            "counts": pa.array([held[a:b].astype(np.uint32).tobytes() for a, b in zip(begins, ends)], pa.binary()),
+            "tokens": pa.array([token[offset[a]:offset[b]].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+        })
+
+    def gather(table: pa.Table) -> pa.Table:
+        def column(name: str, kind: type) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
+
+        key, size, held = column("keys", np.int64), column("sizes", np.uint32), column("counts", np.uint32)
+        token = column("tokens", np.uint64)
+        order = np.lexsort((token, np.repeat(key, held)))
+        token = token[order]
+        named, at = np.unique(key, return_index=True)
+        whole = size[at].astype(np.int64)
+        length = np.zeros(len(named), np.int64)
+        np.add.at(length, np.searchsorted(named, key), held)
+        offset = np.append(0, np.cumsum(length))
+        kept = np.flatnonzero(length >= np.array([enough(n) for n in whole.tolist()], np.int64))
+        return pa.table({
+            "key": pa.array(named[kept], pa.int64()), "n": pa.array(whole[kept], pa.int64()),
+            "tokens": pa.array([token[offset[i]:offset[i + 1]].tobytes() for i in kept.tolist()], pa.binary()),
+        })
+
+    packed_rows = chunks.groupBy("range").applyInArrow(
+        deal, "place int, keys binary, sizes binary, counts binary, tokens binary"
+    )
+    return packed_rows.groupBy("place").applyInArrow(gather, "key long, n long, tokens binary")
