@@ -23,15 +23,16 @@ def held(key: str, make: Callable):
 
 
 def first_by_hash(df: DataFrame, group: str, limits: Column, seed: int, id_col: str = "doc_id") -> DataFrame:
-    """Of each group the rows that come first by a hash of their id, as many as ``limits`` says.
+    """Of each group the ids that come first by a hash, as many as ``limits`` says, one row for each.
 
-    Rows whose hash is beyond three times the share of the group that is wanted cannot be among these, but
+    Ids whose hash is beyond three times the share of the group that is wanted cannot be among these, but
     for chance, and go before anything is sorted; so one task ranks a few times the sample, however large the
     group is.
     """
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
-    near = df.withColumn("_place", place).join(counts, group).where(F.col("_place") * F.col("_rows") <= 3 * limits)
+    counts = df.groupBy(group).agg(F.approx_count_distinct(id_col).alias("_ids"))
+    near = df.withColumn("_place", place).join(counts, group).where(F.col("_place") * F.col("_ids") <= 3 * limits)
+    near = near.dropDuplicates([group, id_col])  # before one task sorts them
     order = Window.partitionBy(group).orderBy("_place", id_col)
     ranked = near.withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= limits).drop("_place", "_rows", "_rank")
+    return ranked.where(F.col("_rank") <= limits).drop("_place", "_ids", "_rank")

@@ -44,6 +44,8 @@ def learned(docs: DataFrame, samples: int = 400, dictionary_bytes: int = 65536,
     )
     ranked = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     found: dict[str, list] = {row["lang"]: [] for row in ranked}
+    # No more rows than the samples, however often an id repeats.
+    pieces = pieces.groupBy("lang", "doc_id").agg(F.min("piece").alias("piece"))
     for row in pieces.orderBy("lang", F.xxhash64("doc_id", F.lit(seed)), "doc_id", "piece").collect():
         found[row["lang"]].append(plain(row["piece"]).encode())
     return {lang: b"\n".join(parts)[:dictionary_bytes] for lang, parts in found.items() if parts}

@@ -56,8 +56,12 @@ def mix(
     each. Other columns stay; input columns named as the three added ones are replaced. An empty table
     gives no rows. Texts are not looked at.
     """
-    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ADDED))
-    source = F.col(f"`{source_col}`")
+    source, doc_id = F.col(f"`{source_col}`"), F.col(f"`{id_col}`")
+    # The row as one value: its columns may have any names.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ADDED)).alias("_row"), source.alias("_of"),
+        F.coalesce(doc_id.cast("string"), F.lit("")).alias("_key"),
+    )
     counts = docs.groupBy(source.alias("_source")).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
     if weights is None:
         wanted = F.pow("_rows", F.lit(temperature))
@@ -75,16 +79,14 @@ def mix(
         .withColumn("_chunk_sums", F.when(F.col("_chunks") > 0, cumulative(F.lit(CHUNK))))
     )
     if counts.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        rated = docs.join(F.broadcast(rates), source.eqNullSafe(F.col("_source")))
+        rated = rows.join(F.broadcast(rates), F.col("_of").eqNullSafe(F.col("_source")))
     else:
         # Many sources: join by source and a salt, so that a large source is spread over tasks.
         salts = 64
         salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        dealt = docs.withColumn("_deal", F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(salts)))
-        rated = dealt.join(
-            salted, source.eqNullSafe(F.col("_source")) & (F.col("_deal") == F.col("_salt"))
-        ).drop("_deal", "_salt")
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+        dealt = rows.withColumn("_deal", F.pmod(F.xxhash64("_key"), F.lit(salts)))
+        rated = dealt.join(salted, F.col("_of").eqNullSafe(F.col("_source")) & (F.col("_deal") == F.col("_salt")))
+    key = F.col("_key")
     chunks = F.aggregate(
         F.sequence(F.lit(1), F.col("_chunks").cast("int")), F.lit(0),
         lambda total, j: total + drawn(F.col("_chunk_sums"), uniform(key, F.lit(str(seed)), j.cast("string"))),
@@ -95,7 +97,7 @@ def mix(
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
         .withColumn("shuffle_key", hex_number(F.concat_ws("#", key, F.lit(f"{seed}"), F.lit("copy"), F.col("copy").cast("string")), 15))
     )
-    kept = copies.select(*(F.col(f"`{c}`") for c in docs.columns), *ADDED)
+    kept = copies.select("_row.*", *ADDED)
     return kept.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

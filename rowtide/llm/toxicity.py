@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained and run in numpy.
 
 A word goes in as a hashed word embedding and the mean of its hashed character n-gram embeddings. The
-network reads overlapping windows of words; a document scores as its most toxic window does.
+network reads windows of 32 words, one at every 16th word, so that each overlaps the next by half and every word lies in
+two; a document scores as its most toxic window does.
 """
 
 from __future__ import annotations
@@ -249,8 +250,7 @@ def trained(texts: list[str], labels: list[int], steps: int = 400, batch: int =
     """A network for labelled texts.
 
     A text's label holds for its most toxic window. So each epoch learns from every text's highest
-    window, and from a random one of clean texts. From the fourth epoch on, toxic texts none of
-    whose windows reaches 0.2 count as wrongly labelled and are left out of the epoch.
+    window, and from a random one of clean texts.
     """
     network = Network.fresh(seed)
     rng = np.random.default_rng(seed)
@@ -316,13 +316,15 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int
 
     Trained on the driver on a bounded sample: of each label the documents that come first by a hash of
     their id, ``sample`` toxic and twice as many clean ones, of at most ``longest`` characters each.
-    Rows without id, text or label are not learned from; a repeated id is drawn once per row.
+    Rows without id, text or label are not learned from; of a repeated id the first text in order counts, once a label.
     """
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     short = docs.where(F.length("text").between(1, longest)).select("doc_id")
     limits = F.when(F.col("toxic") == 1, sample).otherwise(2 * sample)
-    drawn = first_by_hash(marked.join(short, "doc_id"), "toxic", limits, seed)
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").where(F.length("text").between(1, longest)).collect()
+    drawn = first_by_hash(marked.join(short, "doc_id", "left_semi"), "toxic", limits, seed)
+    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").where(F.length("text").between(1, longest))
+    # No more rows than the sample, however often an id repeats.
+    rows = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return trained([r["text"] for r in rows], [r["toxic"] for r in rows], seed=seed)
 
@@ -351,7 +353,7 @@ def judged(network: Network, texts: list[str | None]) -> tuple[np.ndarray, np.nd
 def score(docs: DataFrame, network: Network) -> DataFrame:
     """``doc_id, score double, windows long, worst long`` of each document of ``docs (doc_id, text)``.
 
-    All overlapping windows of the whole text are scored; ``worst`` is the number (from 0) of the first
+    Windows at every STRIDE-th word of the whole text are scored; ``worst`` is the number (from 0) of the first
     word of the highest one, null where there is none. A text without words, or a null one, scores the share of
     toxic texts that was learned from. Repeated rows are scored each; a null id stays null; an empty
     table gives no rows; other columns are ignored.

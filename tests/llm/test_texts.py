@@ -319,6 +319,38 @@ def test_mixing_counts_and_weights(spark):
         assert each[n] == poisson(6.0 if n % 4 == 0 else 2000 / 3000, u)
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["_rate", "_source", "_sums", "_chunks", "_weight", "_deal", "_salt", "_row", "_of", "_key", "copy"]
+    df = spark.createDataFrame([(n, "s", *names) for n in range(50)], ["doc_id", "source", *names])
+    plain = mixing.mix(df.select("doc_id", "source")).collect()
+    got = mixing.mix(df)
+    assert got.columns == ["doc_id", "source", *names[:-1], "copy", "repeats", "shuffle_key"]
+    assert collections.Counter((r["doc_id"], r["copy"]) for r in got.collect()) == collections.Counter(
+        (r["doc_id"], r["copy"]) for r in plain
+    )
+    assert {r["_rate"] for r in got.collect()} == {"_rate"}
+
+
+def test_samples_stay_bounded_where_an_id_repeats(spark):
+    docs = spark.createDataFrame(
+        [(7, f"text number {n}", "xx") for n in range(300)] + [(n, "some other words", "yy") for n in range(100, 140)],
+        "doc_id long, text string, lang string",
+    )
+    labels = spark.createDataFrame([(7, 1)] * 20 + [(n, 0) for n in range(100, 140)], "doc_id long, toxic int")
+    seen = []
+
+    def trained(texts, marks, **options):
+        seen.extend(zip(texts, marks))
+
+    before, toxicity.trained = toxicity.trained, trained
+    try:
+        toxicity.learned(docs, labels, sample=5)
+    finally:
+        toxicity.trained = before
+    assert sorted(seen) == [("some other words", 0)] * 10 + [("text number 0", 1)]
+    assert set(language.learned(docs, samples=4)) == {"xx", "yy"}
+
+
 def test_mixing_defined_cases(spark, monkeypatch):
     rows = [(1, "a", None), (2, None, "s"), (None, "", "s"), (3, "b", "t"), (3, "b", "t")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
