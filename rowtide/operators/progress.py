@@ -51,13 +51,12 @@ def _written(context, tag: str) -> int:
     """Rows in files of the tagged jobs' ended tasks."""
     scala = context._jsc.sc()
     store = scala.statusStore()
-    rows = 0
-    try:
-        for job in scala.statusTracker().getJobIdsForTag(tag):
-            info = scala.statusTracker().getJobInfo(job)
-            if info.isDefined():
-                for stage in info.get().stageIds():
-                    rows += store.lastStageAttempt(stage).outputRecords()
-    except Py4JError:
-        return 0  # a stage that has not started, or a job forgotten meanwhile
+    tracker, rows = scala.statusTracker(), 0
+    for job in tracker.getJobIdsForTag(tag):
+        info = tracker.getJobInfo(job)
+        for stage in info.get().stageIds() if info.isDefined() else ():
+            try:
+                rows += store.lastStageAttempt(stage).outputRecords()
+            except Py4JError:  # it has not started yet, or is forgotten
+                continue
     return rows
