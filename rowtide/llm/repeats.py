@@ -8,18 +8,21 @@
    stretches of a shard are a collection of strings, whose suffixes are put in order column by column
    (``ordered_suffixes``); those with a common prefix of 50 bytes stand together, and of these the
    documents behind the first one lose the run.
-4. A minimiser that very many texts have would make a shard too large. Its runs are grouped one by one
-   instead, by their bytes, with a minimum that Spark combines before the shuffle.
+4. A minimiser that very many texts have would make a shard too large. Its stretches are kept in chunks. Each
+   chunk names its distinct runs once, packed by ranges of 128-bit hashes, and a range answers
+   with the least document of each (``by_runs``).
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.components import salt, salts
-from rowtide.llm.ranges import BITS, dealt, range_bits, shared
+from rowtide.llm.ranges import BITS, dealt, firsts, range_bits, shared
 from rowtide.llm.shingles import FACTOR, mixed
 from rowtide.session import frozen
 
@@ -37,6 +40,8 @@ WINDOW = RUN - GRAM + 1
 FREQUENT, SHARD = 500, 3000
 #: Minimisers of a chunk and of a range, and stretches that a task gathers before it sends them on.
 HASHES, STRETCHES = 1_000_000, 100_000
+#: Stretches of frequent minimisers that are asked for together, and the factor of the second hash of a run (any odd number would do).
+CHUNK, OTHER_FACTOR = 20_000, np.uint64(0xD6E8FEB86659FD93)
 PIECES = "doc_id long, key long, spans binary"
 
 
@@ -98,34 +103,42 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
 # ---------------------------------------------------------------- runs that an earlier document has
 
 
-def stretch_rows(held: DataFrame, shards: int) -> DataFrame:
+def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
     """``shard, packed``: the stretches of ``held (doc_id, key, packed, tokens)``, those of a task and shard together.
 
-    A value holds lists of document ids, keys, starts and pieces, compressed.
+    A value holds lists of document ids, keys, starts and pieces, compressed. Without shards: ``chunk, runs, packed``,
+    the stretches as a task meets them, CHUNK at a time, and how many runs these have.
     """
 
-    def flushed(gathered: dict[int, list[tuple]]) -> pa.RecordBatch:
-        encoder = zstandard.ZstdCompressor(level=3)
-        values = [encoder.compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True))))) for rows in gathered.values()]
-        return pa.record_batch({"shard": pa.array(list(gathered), pa.int64()), "packed": pa.array(values, pa.binary())})
+    def value(rows: list[tuple]) -> bytes:
+        return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True)))))
+
+    def flushed(gathered: dict[int, list[tuple]], nth: int) -> pa.RecordBatch:
+        values = pa.array([value(rows) for rows in gathered.values()], pa.binary())
+        if shards is not None:
+            return pa.record_batch({"shard": pa.array(list(gathered), pa.int64()), "packed": values})
+        runs = [sum(len(piece) - RUN + 1 for *_, piece in rows) for rows in gathered.values()]
+        chunk = (TaskContext.get().partitionId() << 32) + nth
+        return pa.record_batch({"chunk": pa.array([chunk] * len(runs), pa.int64()), "runs": pa.array(runs, pa.int64()), "packed": values})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: dict[int, list[tuple]] = {}
-        size = 0
+        size = nth = 0
         for batch in (big.slice(at, 256) for big in batches for at in range(0, big.num_rows, 256)):
             for doc_id, key, row, tokens in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "packed", "tokens")), strict=True):
                 chosen = np.sort(np.frombuffer(tokens, np.uint64))
                 if not len(chosen):
                     continue
                 for minimiser, piece, starts in stretches(bytes_of(unpacked_row(row)[0]), chosen):
-                    gathered.setdefault(minimiser % shards, []).append((doc_id, key, starts, piece))
+                    gathered.setdefault(0 if shards is None else minimiser % shards, []).append((doc_id, key, starts, piece))
                     size += 1
-                if size >= STRETCHES:
-                    yield flushed(gathered)
-                    gathered, size = {}, 0
-        yield flushed(gathered)
+                    if size >= (STRETCHES if shards is not None else CHUNK):
+                        yield flushed(gathered, nth)
+                        gathered, size, nth = {}, 0, nth + 1
+        yield flushed(gathered, nth)
 
-    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(run, "shard long, packed binary")
+    schema = "shard long, packed binary" if shards is not None else "chunk long, runs long, packed binary"
+    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(run, schema)
 
 
 def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], bytes]]:
@@ -202,35 +215,130 @@ def by_columns(rows: DataFrame) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(run, PIECES)
 
 
+def run_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each run of the pieces, in order, and how many runs each piece has."""
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.uint64) + np.uint64(1)
+    counts = np.maximum(lengths - RUN + 1, 0)
+    begins = np.cumsum(lengths) - lengths
+    at = np.repeat(begins, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = []
+    with np.errstate(over="ignore"):
+        for first in (FACTOR, OTHER_FACTOR):
+            # Strings of 32, then two of these that overlap: together they are the run.
+            h, factor, width = mixed(data ^ first), first, 1
+            while 2 * width <= RUN:
+                h, factor, width = h[:-width] * factor + h[width:], factor * factor, 2 * width
+            hashes.append(mixed(mixed(h[at]) * first + h[at + RUN - width]) if len(at) else np.empty(0, np.uint64))
+    return hashes[0], hashes[1], counts
+
+
+@dataclass
+class Runs:
+    """The distinct runs of the stretches of one chunk, ordered by hash, with the least and highest document of each."""
+
+    held: list[tuple[int, int, list[int], bytes]]
+    first: np.ndarray
+    second: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+    #: The distinct pieces' numbers, where the runs of each begin, and the place of every run among the distinct ones.
+    number: dict[bytes, int]
+    begins: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, packed: bytes) -> Runs:
+        held = list(stretches_of([packed]))
+        ends: dict[bytes, tuple[int, int]] = {}
+        for doc_id, _, _, piece in held:
+            low, high = ends.get(piece, (doc_id, doc_id))
+            ends[piece] = min(low, doc_id), max(high, doc_id)
+        pieces = list(ends)
+        one, two, counts = run_hashes(pieces)
+        low, high = (np.repeat(np.array([e[n] for e in ends.values()], np.int64), counts) for n in (0, 1))
+        order = np.lexsort((two, one))
+        begins = np.flatnonzero(firsts(one[order], two[order]))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(order))))
+        return cls(
+            held, one[order][begins], two[order][begins],
+            np.minimum.reduceat(low[order], begins) if len(begins) else low, np.maximum.reduceat(high[order], begins) if len(begins) else high,
+            {p: n for n, p in enumerate(pieces)}, np.append(0, np.cumsum(counts)), place,
+        )
+
+    def ranges(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges of hashes that have runs, and where those of each begin; the last one ends them."""
+        numbers = (self.first >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+        begins = np.flatnonzero(firsts(numbers))
+        return numbers[begins], np.append(begins, len(numbers))
+
+
 def by_runs(rows: DataFrame) -> DataFrame:
-    """The same, with each run grouped by its bytes: for minimisers that very many texts have."""
-    schema = pa.schema([("run", pa.binary()), ("doc_id", pa.int64()), ("key", pa.int64()), ("starts", pa.binary())])
+    """The same, for minimisers that very many texts have: the least document of each run, asked by ranges of hashes.
 
-    def rows_of(runs: dict[tuple, list[int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist(
-            [{"run": r, "doc_id": d, "key": k, "starts": np.array(s, np.int64).tobytes()} for (r, d, k), s in runs.items()], schema=schema
-        )
+    ``rows`` is ``chunk, runs, packed``, frozen. A chunk names each of its distinct runs once, by 128 bits of
+    hashes and with its least document, packed for each range of hashes; a range answers every chunk the least
+    documents of the runs that one of its documents loses. So there is a row per chunk and range, however often a
+    passage repeats, and a range holds a run at most once a chunk.
+    """
+    total = int(rows.agg(F.sum("runs")).first()[0] or 0)
+    bits = range_bits(total, HASHES)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs: dict[tuple, list[int]] = {}
-            for doc_id, key, starts, piece in stretches_of(batch["packed"].to_pylist()):
-                for offset in range(len(piece) - RUN + 1):
-                    runs.setdefault((piece[offset:offset + RUN], doc_id, key), []).extend(s + offset for s in starts)
-                if len(runs) >= STRETCHES // 2:
-                    yield rows_of(runs)
-                    runs = {}
-            yield rows_of(runs)
+            for chunk, packed in zip(batch["chunk"].to_pylist(), batch["packed"], strict=True):
+                runs = Runs.of(packed.as_py())
+                numbers, begins = runs.ranges(bits)
+                parts = [
+                    np.stack([c[a:b].view(np.int64) for c in (runs.first, runs.second, runs.least, runs.most)]).tobytes()
+                    for a, b in zip(begins[:-1], begins[1:], strict=True)
+                ]
+                yield pa.record_batch({
+                    "range": pa.array(numbers), "chunk": pa.array([chunk] * len(parts), pa.int64()), "asked": pa.array(parts, pa.binary()),
+                })
+
+    def answer(table: pa.Table) -> pa.Table:
+        asked = [np.frombuffer(a.as_py(), np.int64).reshape(4, -1) for a in table["asked"]]
+        one, two, least, most = np.concatenate(asked, axis=1)
+        order = np.lexsort((two, one))
+        begins = np.flatnonzero(firsts(one[order], two[order]))
+        found = np.empty(len(order), np.int64)
+        found[order] = np.repeat(np.minimum.reduceat(least[order], begins), np.diff(np.append(begins, len(order))))
+        out, at = [], 0
+        for part in asked:
+            low, high = found[at:at + part.shape[1]], part[3]
+            lost = np.flatnonzero(low < high)
+            out.append(np.stack([lost, low[lost]]).tobytes() if len(lost) else None)
+            at += part.shape[1]
+        answers = pa.table({"chunk": table["chunk"], "range": table["range"], "lost": pa.array(out, pa.binary())})
+        return answers.filter(answers["lost"].is_valid())
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [merged(np.frombuffer(s, np.int64)).tobytes() for s in batch["starts"].to_pylist()]
-            yield pa.record_batch({"doc_id": batch["doc_id"], "key": batch["key"], "spans": pa.array(found, pa.binary())})
+            for packed, answers in zip(batch["packed"], batch["answers"], strict=True):
+                runs = Runs.of(packed.as_py())
+                numbers, begins = runs.ranges(bits)
+                begin_of = dict(zip(numbers.tolist(), begins.tolist(), strict=False))
+                least = np.full(len(runs.first), np.iinfo(np.int64).max)
+                for one in answers.as_py():
+                    lost, low = np.frombuffer(one["lost"], np.int64).reshape(2, -1)
+                    least[begin_of[one["range"]] + lost] = low
+                out: list[tuple[int, int, bytes]] = []
+                for doc_id, key, starts, piece in runs.held:
+                    n = runs.number[piece]
+                    lost = np.flatnonzero(least[runs.place[runs.begins[n]:runs.begins[n + 1]]] < doc_id)
+                    if len(lost):
+                        out.append((doc_id, key, merged((np.array(starts, np.int64)[:, None] + lost).ravel()).tobytes()))
+                columns = list(zip(*out, strict=True)) if out else [[], [], []]
+                yield pa.record_batch({
+                    "doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary()),
+                })
 
-    runs = rows.mapInArrow(cut, "run binary, doc_id long, key long, starts binary")
-    least = runs.groupBy("run").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    repeated = runs.withColumn("salt", salt("doc_id")).join(least.select("run", "least", salts()), ["run", "salt"]).where("least < doc_id")
-    return repeated.select("doc_id", "key", "starts").mapInArrow(spans, PIECES)
+    asked = rows.select("chunk", "packed").mapInArrow(ask, "range long, chunk long, asked binary")
+    answered = asked.groupBy("range").applyInArrow(answer, "chunk long, range long, lost binary")
+    by_chunk = answered.groupBy("chunk").agg(F.collect_list(F.struct("range", "lost")).alias("answers"))
+    return rows.select("chunk", "packed").join(by_chunk, "chunk").select("packed", "answers").mapInArrow(spans, PIECES)
 
 
 # ---------------------------------------------------------------- the whole
@@ -276,11 +384,11 @@ def removed_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
     held = packed.join(known.withColumnRenamed("key", "_key"), "doc_id").where("key = _key")
     amount = known.agg(F.sum(F.aggregate("tokens", F.lit(0), lambda n, t: n + F.length(t)))).first()[0] or 0
 
-    def of(column: str) -> DataFrame:
+    def of(column: str, shards: int | None) -> DataFrame:
         return stretch_rows(held.select("doc_id", "key", "packed", F.unhex(F.array_join(F.transform(column, F.hex), "")).alias("tokens")), shards)
 
-    shards = max(1, int(amount) // 8 // SHARD)
-    found = by_columns(of("tokens")).union(by_runs(of("frequent")))
+    rare = by_columns(of("tokens", max(1, int(amount) // 8 // SHARD)))
+    found = rare.union(by_runs(frozen(of("frequent", None))))
     parts = found.groupBy("doc_id", "key").agg(F.collect_list("spans").alias("parts"))
     whole = copies.select("doc_id", "key", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("parts"))
     return whole.union(parts.select("doc_id", "key", F.lit(False), "parts"))

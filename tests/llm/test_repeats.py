@@ -51,6 +51,24 @@ def test_equals_table_of_runs(spark, monkeypatch, frequent):
     assert found(spark, docs) == brute(docs)
 
 
+def test_a_passage_that_very_many_texts_have(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK", 300)
+    monkeypatch.setattr(repeats, "HASHES", 2000)
+    rng = random.Random(8)
+    passage = " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(40))
+    docs = [(i, "".join(rng.choice("hijk ") for _ in range(rng.randrange(90))) + passage[i % 7:] + str(i * i)) for i in range(2000)]
+    assert found(spark, docs) == brute(docs)
+
+
+def test_run_hashes_tell_the_runs():
+    rng = random.Random(9)
+    pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(40, 77))) for _ in range(50)] + [b"a" * 76, b"a" * 49, b"a" * 50]
+    one, two, counts = repeats.run_hashes(pieces)
+    runs = [p[k:k + 50] for p in pieces for k in range(len(p) - 49)]
+    assert counts.sum() == len(runs) == len(one) == len(two)
+    assert len(set(runs)) == len(set(one.tolist())) == len(set(two.tolist())) == len(set(zip(one.tolist(), two.tolist())))
+
+
 def test_defined_cases(spark):
     line = "x" * 30 + "y" * 30
     docs = [(1, line), (2, "a" + line + "b"), (3, None), (4, ""), (5, "z" * 200), (6, "z" * 60), (7, line[:49])]
