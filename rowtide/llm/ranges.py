@@ -147,38 +147,23 @@ def counted(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, key, count[place]
 
 
-def shared(chunks: DataFrame, frequent: int) -> DataFrame:
-    """``key, tokens binary, frequent binary``: of each range and set, the hashes that other sets have too.
-
-    Hashes that more than ``frequent`` sets have are in ``frequent``, the others in ``tokens``.
-    """
-
-    def run(table: pa.Table) -> pa.Table:
-        token, key, count = counted(table)
-        many = count > frequent
-        first = np.flatnonzero(firsts(key))
-        bounds = list(zip(first, np.append(first, len(key))[1:], strict=True))
-        return pa.table({
-            "key": pa.array(key[first], pa.int64()),
-            "tokens": pa.array([token[a:b][~many[a:b]].tobytes() for a, b in bounds], pa.binary()),
-            "frequent": pa.array([token[a:b][many[a:b]].tobytes() for a, b in bounds], pa.binary()),
-        })
-
-    return chunks.groupBy("range").applyInArrow(run, "key long, tokens binary, frequent binary")
+def power(count: np.ndarray) -> np.ndarray:
+    """The power of two of a count."""
+    return np.log2(np.maximum(count, 1)).astype(np.uint64)
 
 
-def gathered(chunks: DataFrame, enough: Callable[[int], int]) -> DataFrame:
+def gathered(chunks: DataFrame, enough: Callable[[int], int], front: Callable[[np.ndarray], np.ndarray] = power) -> DataFrame:
     """``key, n, tokens binary``: the sets of which at least ``enough(n)`` of ``n`` hashes are shared with others.
 
-    ``tokens`` are the shared hashes in order, each with the power of two of the number of sets that have it in
-    front, so that the rare ones come first. A range sends one row to each of as many places as there are shuffle
+    ``tokens`` are the shared hashes in order, each with what ``front`` makes of the number of sets that have it in
+    front, by default so that the rare ones come first. A range sends one row to each of as many places as there are shuffle
     partitions, with what it has of all sets that are put together there.
     """
     places = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def deal(table: pa.Table) -> pa.Table:
         token, key, count = counted(table)
-        token = token | (np.log2(np.maximum(count, 1)).astype(np.uint64) << np.uint64(BITS))
+        token = token | (front(count).astype(np.uint64) << np.uint64(BITS))
         sizes: dict[int, int] = {}
         for keys, whole in zip(table["keys"].to_pylist(), table["sizes"].to_pylist(), strict=True):
             sizes.update(zip(np.frombuffer(keys, np.int64).tolist(), np.frombuffer(whole, np.uint32).tolist(), strict=True))

@@ -6,7 +6,7 @@
    ranges of their hashes.
 3. The stretches of text whose runs share a repeated minimiser are dealt by it, at most 76 bytes each. The
    stretches of a shard are a collection of strings, whose suffixes are put in order column by column
-   (``ordered_suffixes``); those with a common prefix of 50 bytes stand together, and of these the
+   (``ordered_suffixes``), but for parts whose runs by their hashes occur once; those with a common prefix of 50 bytes stand together, and of these the
    documents behind the first one lose the run.
 4. A minimiser that very many texts have would make a shard too large. Its stretches are kept in chunks. Each
    chunk names its distinct runs once, packed by ranges of 128-bit hashes, and a range answers
@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.components import salt, salts
-from rowtide.llm.ranges import BITS, dealt, firsts, range_bits, shared
+from rowtide.llm.ranges import BITS, dealt, firsts, gathered, range_bits
 from rowtide.llm.shingles import FACTOR, mixed
 from rowtide.session import frozen
 
@@ -106,7 +106,7 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
 def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
     """``shard, packed``: the stretches of ``held (doc_id, key, packed, tokens)``, those of a task and shard together.
 
-    A value holds lists of document ids, keys, starts and pieces, compressed. Without shards: ``chunk, runs, packed``,
+    With shards, stretches of minimisers that are not marked as frequent, otherwise of those that are. A value holds lists of document ids, keys, starts and pieces, compressed. Without shards: ``chunk, runs, packed``,
     the stretches as a task meets them, CHUNK at a time, and how many runs these have.
     """
 
@@ -126,7 +126,9 @@ def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
         size = nth = 0
         for batch in (big.slice(at, 256) for big in batches for at in range(0, big.num_rows, 256)):
             for doc_id, key, row, tokens in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "packed", "tokens")), strict=True):
-                chosen = np.sort(np.frombuffer(tokens, np.uint64))
+                marked = np.frombuffer(tokens, np.uint64)
+                frequent = marked >> np.uint64(BITS) > 0
+                chosen = np.sort(marked[frequent == (shards is None)] & np.uint64((1 << BITS) - 1))
                 if not len(chosen):
                     continue
                 for minimiser, piece, starts in stretches(bytes_of(unpacked_row(row)[0]), chosen):
@@ -147,19 +149,6 @@ def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], byt
         yield from zip(*pickle.loads(zstandard.decompress(value)), strict=True)
 
 
-def least_hashes(pieces: list[bytes]) -> np.ndarray:
-    """The minimiser that all runs of a stretch have: the least hash of its grams."""
-    ends = np.cumsum([len(p) for p in pieces])
-    hashes = np.full(int(ends[-1]), np.iinfo(np.uint64).max)
-    with np.errstate(over="ignore"):
-        found = gram_hashes(np.frombuffer(b"".join(pieces), np.uint8))
-    hashes[:len(found)] = found
-    # Grams that reach into the next piece do not count.
-    for back in range(1, GRAM):
-        hashes[ends - back] = np.iinfo(np.uint64).max
-    return np.minimum.reduceat(hashes, np.append(0, ends[:-1]))
-
-
 def merged(starts: np.ndarray) -> np.ndarray:
     """Runs at ``starts`` as maximal spans ``(from, to)``."""
     starts = np.unique(starts)
@@ -170,27 +159,55 @@ def merged(starts: np.ndarray) -> np.ndarray:
     return np.stack([starts[new], starts[last] + RUN], axis=1)
 
 
+def pieces_of(lost: dict[tuple[int, int], list[np.ndarray]]) -> pa.RecordBatch:
+    """A row of spans for each document and key of which runs are lost."""
+    rows = [(doc_id, key, merged(np.concatenate(starts)).tobytes()) for (doc_id, key), starts in lost.items() if starts]
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+    return pa.record_batch({
+        "doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary()),
+    })
+
+
+def shared_parts(pieces: list[bytes]) -> Iterator[tuple[bytes, int, int]]:
+    """``(piece, from, to)``: the longest parts of the pieces all of whose runs have a hash that occurs more than once.
+
+    A run in no part occurs once, so nothing can be lost for it.
+    """
+    hashes, _, counts = run_hashes(pieces)
+    _, place, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    often = times[place] > 1
+    owner = np.repeat(np.arange(len(pieces)), counts)
+    begin = often & np.r_[True, ~often[:-1] | (owner[1:] != owner[:-1])] if len(often) else often
+    end = often & np.r_[~often[1:] | (owner[1:] != owner[:-1]), True] if len(often) else often
+    before = np.cumsum(counts) - counts
+    for n, a, b in zip(owner[begin].tolist(), np.flatnonzero(begin).tolist(), np.flatnonzero(end).tolist(), strict=True):
+        yield pieces[n], int(a - before[n]), int(b - before[n]) + RUN
+
+
 def by_columns(rows: DataFrame) -> DataFrame:
     """``doc_id, key, spans``: what the stretches of each shard repeat of earlier documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        held = sorted(stretches_of(table["packed"].to_pylist()), key=lambda h: h[0])
+        held = list(stretches_of(table["packed"].to_pylist()))
         # Equal stretches are one string, and belong to the first document that has it.
-        strings: dict[bytes, int] = {}
-        earliest: list[int] = []
+        earliest: dict[bytes, int] = {}
         for doc_id, _, _, piece in held:
-            if strings.setdefault(piece, len(strings)) == len(earliest):
-                earliest.append(doc_id)
-        # A string that alone has its minimiser shares no run with another one: later documents lose it whole.
-        pieces = list(strings)
-        _, group, members = np.unique(least_hashes(pieces), return_inverse=True, return_counts=True)
-        mixed_up = np.flatnonzero(members[group] > 1)
-        owner, length, prefix = ordered_suffixes([pieces[i] for i in mixed_up])
-        owner = mixed_up[owner]
+            earliest[piece] = min(doc_id, earliest.get(piece, doc_id))
+        # Of a stretch, the parts whose runs another one can have; equal parts are one string again.
+        parts: dict[bytes, list[tuple[int, int]]] = {}
+        strings: dict[bytes, int] = {}
+        first: list[int] = []
+        for piece, begin, end in shared_parts(list(earliest)):
+            number = strings.setdefault(piece[begin:end], len(strings))
+            if number == len(first):
+                first.append(earliest[piece])
+            first[number] = min(first[number], earliest[piece])
+            parts.setdefault(piece, []).append((begin, number))
+        owner, length, prefix = ordered_suffixes(list(strings))
         group = np.cumsum(prefix < RUN)
         full = length >= RUN
         owner, length, group = owner[full], length[full].astype(np.int64), group[full]
-        first_doc = np.array(earliest, np.int64)[owner]
+        first_doc = np.array(first, np.int64)[owner]
         begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
         sizes = np.diff(np.append(begins, len(group)))
         least = np.repeat(np.minimum.reduceat(first_doc, begins), sizes) if len(group) else first_doc
@@ -199,18 +216,14 @@ def by_columns(rows: DataFrame) -> DataFrame:
         by_string = np.lexsort((offset, owner))
         owner, offset, least = owner[by_string], offset[by_string], least[by_string]
         at = np.searchsorted(owner, np.arange(len(strings) + 1))
-        out: list[tuple[int, int, bytes]] = []
+        out: dict[tuple[int, int], list[np.ndarray]] = {}
         for doc_id, key, starts, piece in held:
-            number = strings[piece]
-            a, b = at[number], at[number + 1]
-            if earliest[number] < doc_id:
-                lost = np.arange(len(piece) - RUN + 1)
+            if earliest[piece] < doc_id:
+                lost = [np.arange(len(piece) - RUN + 1)]
             else:
-                lost = offset[a:b][least[a:b] < doc_id]
-            if len(lost):
-                out.append((doc_id, key, merged((np.array(starts, np.int64)[:, None] + lost).ravel()).tobytes()))
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        return pa.table({"doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary())})
+                lost = [begin + offset[at[n]:at[n + 1]][least[at[n]:at[n + 1]] < doc_id] for begin, n in parts.get(piece, ())]
+            out.setdefault((doc_id, key), []).extend((s + x) for s in starts for x in lost if len(x))
+        return pa.Table.from_batches([pieces_of(out)])
 
     return rows.groupBy("shard").applyInArrow(run, PIECES)
 
@@ -324,16 +337,13 @@ def by_runs(rows: DataFrame) -> DataFrame:
                 for one in answers.as_py():
                     lost, low = np.frombuffer(one["lost"], np.int64).reshape(2, -1)
                     least[begin_of[one["range"]] + lost] = low
-                out: list[tuple[int, int, bytes]] = []
+                out: dict[tuple[int, int], list[np.ndarray]] = {}
                 for doc_id, key, starts, piece in runs.held:
                     n = runs.number[piece]
                     lost = np.flatnonzero(least[runs.place[runs.begins[n]:runs.begins[n + 1]]] < doc_id)
                     if len(lost):
-                        out.append((doc_id, key, merged((np.array(starts, np.int64)[:, None] + lost).ravel()).tobytes()))
-                columns = list(zip(*out, strict=True)) if out else [[], [], []]
-                yield pa.record_batch({
-                    "doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary()),
-                })
+                        out.setdefault((doc_id, key), []).extend(s + lost for s in starts)
+                yield pieces_of(out)
 
     asked = rows.select("chunk", "packed").mapInArrow(ask, "range long, chunk long, asked binary")
     answered = asked.groupBy("range").applyInArrow(answer, "chunk long, range long, lost binary")
@@ -371,24 +381,17 @@ def unpacked_row(packed: bytes) -> tuple:
 def removed_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
     """``doc_id, key, whole boolean, parts array<binary>`` of the documents of ``docs (doc_id, key, text)`` that lose bytes."""
     facts = frozen(docs.select("doc_id", "key", text_key(2).alias("check"), F.octet_length("text").alias("n")).where(F.col("n") >= RUN))
-    same = ["key", "check", "n"]
+    same, frequent = ["key", "check", "n"], FREQUENT
     classes = facts.groupBy(*same).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = classes.where("first < last").select(*same, "first", salts())
     copies = facts.withColumn("salt", salt("doc_id")).join(repeated, [*same, "salt"]).where("first < doc_id").select("doc_id", "key").distinct()
     bits = range_bits(int(facts.agg(F.sum("n")).first()[0] or 0) // (WINDOW // 2), HASHES)
-    tokens = shared(dealt(docs, bits, minimiser_sets, HASHES), FREQUENT)
-    known = frozen(
-        tokens.groupBy("key").agg(F.collect_list("tokens").alias("tokens"), F.collect_list("frequent").alias("frequent"))
-        .join(classes.select("key", F.col("first").alias("doc_id")), "key")
-    )
+    marked = gathered(dealt(docs, bits, minimiser_sets, HASHES), lambda n: 1, front=lambda count: count > frequent)
+    known = frozen(marked.select("key", "tokens").join(classes.select("key", F.col("first").alias("doc_id")), "key"))
     held = packed.join(known.withColumnRenamed("key", "_key"), "doc_id").where("key = _key")
-    amount = known.agg(F.sum(F.aggregate("tokens", F.lit(0), lambda n, t: n + F.length(t)))).first()[0] or 0
-
-    def of(column: str, shards: int | None) -> DataFrame:
-        return stretch_rows(held.select("doc_id", "key", "packed", F.unhex(F.array_join(F.transform(column, F.hex), "")).alias("tokens")), shards)
-
-    rare = by_columns(of("tokens", max(1, int(amount) // 8 // SHARD)))
-    found = rare.union(by_runs(frozen(of("frequent", None))))
+    amount = known.agg(F.sum(F.length("tokens"))).first()[0] or 0
+    rare = by_columns(stretch_rows(held, max(1, int(amount) // 8 // SHARD)))
+    found = rare.union(by_runs(frozen(stretch_rows(held, None))))
     parts = found.groupBy("doc_id", "key").agg(F.collect_list("spans").alias("parts"))
     whole = copies.select("doc_id", "key", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("parts"))
     return whole.union(parts.select("doc_id", "key", F.lit(False), "parts"))
