@@ -149,22 +149,22 @@ def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], byt
         yield from zip(*pickle.loads(zstandard.decompress(value)), strict=True)
 
 
-def merged(starts: np.ndarray) -> np.ndarray:
-    """Runs at ``starts`` as maximal spans ``(from, to)``."""
-    starts = np.unique(starts)
-    if not len(starts):
-        return np.empty((0, 2), np.int64)
-    new = np.r_[True, starts[1:] > starts[:-1] + RUN]
-    last = np.append(np.flatnonzero(new)[1:], len(starts)) - 1
-    return np.stack([starts[new], starts[last] + RUN], axis=1)
-
-
 def pieces_of(lost: dict[tuple[int, int], list[np.ndarray]]) -> pa.RecordBatch:
-    """A row of spans for each document and key of which runs are lost."""
-    rows = [(doc_id, key, merged(np.concatenate(starts)).tobytes()) for (doc_id, key), starts in lost.items() if starts]
-    columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+    """A row for each document and key of which runs are lost: its runs as maximal spans ``(from, to)``."""
+    rows = [key for key, starts in lost.items() if starts]
+    parts = [np.concatenate(lost[key]) for key in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
+    starts = np.concatenate(parts) if parts else np.empty(0, np.int64)
+    order = np.lexsort((starts, owner))
+    owner, starts = owner[order], starts[order]
+    new = firsts(owner)
+    new[1:] |= starts[1:] > starts[:-1] + RUN
+    begins = np.flatnonzero(new)
+    spans = np.stack([starts[begins], starts[np.append(begins[1:], len(starts)) - 1] + RUN], axis=1) if len(begins) else np.empty((0, 2), np.int64)
+    at = np.searchsorted(owner[begins], np.arange(len(rows) + 1)).tolist()
     return pa.record_batch({
-        "doc_id": pa.array(columns[0], pa.int64()), "key": pa.array(columns[1], pa.int64()), "spans": pa.array(columns[2], pa.binary()),
+        "doc_id": pa.array([r[0] for r in rows], pa.int64()), "key": pa.array([r[1] for r in rows], pa.int64()),
+        "spans": pa.array([spans[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()),
     })
 
 
@@ -217,9 +217,10 @@ def by_columns(rows: DataFrame) -> DataFrame:
         owner, offset, least = owner[by_string], offset[by_string], least[by_string]
         at = np.searchsorted(owner, np.arange(len(strings) + 1))
         out: dict[tuple[int, int], list[np.ndarray]] = {}
+        every = np.arange(WINDOW)
         for doc_id, key, starts, piece in held:
             if earliest[piece] < doc_id:
-                lost = [np.arange(len(piece) - RUN + 1)]
+                lost = [every[:len(piece) - RUN + 1]]
             else:
                 lost = [begin + offset[at[n]:at[n + 1]][least[at[n]:at[n + 1]] < doc_id] for begin, n in parts.get(piece, ())]
             out.setdefault((doc_id, key), []).extend((s + x) for s in starts for x in lost if len(x))
