@@ -42,6 +42,8 @@ FREQUENT, SHARD = 500, 3000
 HASHES, STRETCHES = 1_000_000, 100_000
 #: Stretches of frequent minimisers that are asked for together, and the factor of the second hash of a run (any odd number would do).
 CHUNK, OTHER_FACTOR = 20_000, np.uint64(0xD6E8FEB86659FD93)
+#: Compression of texts and stretches that joins move around.
+LEVEL = 6
 PIECES = "doc_id long, key long, spans binary"
 
 
@@ -111,7 +113,7 @@ def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
     """
 
     def value(rows: list[tuple]) -> bytes:
-        return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True)))))
+        return zstandard.ZstdCompressor(level=LEVEL).compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True)))))
 
     def flushed(gathered: dict[int, list[tuple]], nth: int) -> pa.RecordBatch:
         values = pa.array([value(rows) for rows in gathered.values()], pa.binary())
@@ -364,7 +366,7 @@ def packed_rows(rows: DataFrame) -> DataFrame:
     carried = [c for c in rows.columns if c not in ("doc_id", "key", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = zstandard.ZstdCompressor(level=3)
+        encoder = zstandard.ZstdCompressor(level=LEVEL)
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 batch = big.slice(at, 256)
