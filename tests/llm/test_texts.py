@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import re
 import zlib
 
 import numpy as np
@@ -292,6 +293,48 @@ def test_every_template_is_looked_at(spark):
     assert licenses.paragraphs(df, "doc_id", "text").count() == len(texts)
 
 
+def test_licence_scores_and_the_pattern_before_them(spark):
+    """Probabilities are those of the weights, and the pattern leaves out no paragraph that reaches the bar."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    classifier = licenses.trained(docs, sample=100)
+    weights, start = classifier.model.coefficientMatrix.toArray(), classifier.model.interceptVector.toArray()
+    place = {run: i for i, run in enumerate(classifier.runs.vocabulary)}
+    every = classifier.probabilities(licenses.paragraphs(docs, "doc_id", "text")).collect()
+    pattern, told = re.compile(classifier.told()), 0
+    assert pattern.pattern != "[a-z0-9]"
+    for row in every:
+        words = row["words"]
+        runs = {" ".join(words[i:i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}
+        z = start + weights[:, [place[r] for r in runs if r in place]].sum(axis=1)
+        chances = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert row["probability"] == pytest.approx(chances.max(), abs=2e-6)
+        if row["likeliest"] != licenses.UNKNOWN and row["probability"] >= classifier.bar:
+            told += 1
+            assert pattern.search(row["line"].lower())
+    assert 0 < told < len(every) / 2
+    found = licenses.scan(docs, classifier)
+    classifier.told = lambda: "[a-z0-9]"
+    whole = licenses.scan(docs, classifier)
+    assert found.exceptAll(whole).count() == 0 and whole.exceptAll(found).count() == 0
+
+
+def test_telling_words_leave_too_little_weight():
+    runs = ["licence", "mit", "mit licence", "of", "of the", "the"]
+    gaps = np.array([[1.0, 3.0, 2.0, 0.2, 0.1, -1.0], [0.5, -2.0, 0.0, 0.1, 0.0, 0.2]])
+    start = np.array([-1.0, -1.0])
+    assert licenses.telling_words(gaps, start, runs, {"licence": 1}, 0.0) == ["mit", "licence"]
+    assert licenses.telling_words(gaps, start, runs, {}, 9.0) == []
+    assert licenses.telling_words(gaps, start + 3, runs, {}, 0.0) is None
+
+
+def test_the_licence_sample_is_bounded(spark):
+    rows = [(1, "same text")] * 500 + [(2, f"other {n}") for n in range(50)] + [(3, "x" * 2000), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    some = licenses.drawn(df, 20, 1000, "doc_id", "text", 5).collect()
+    assert len(some) == 20 and len({r["_text"] for r in some}) == 20
+    assert all(len(r["_text"]) <= 1000 for r in licenses.drawn(df, 500, 1000, "doc_id", "text", 5).collect())
+
+
 # ---------------------------------------------------------------- mixing
 
 
