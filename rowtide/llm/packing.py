@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import held
-from rowtide.llm.tokens import Encoder
+from rowtide.llm.tokens import Encoder, id_kind
 from rowtide.session import frozen
 
 K1, B = 1.2, 0.75
@@ -81,13 +81,21 @@ class Index:
         """Unused documents that share a term with the seed, scored by all its terms, best first, ties in order."""
         terms = self.by_doc[seed]
         rows = self.row[terms]
-        total = self.rows[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
+        dense = np.zeros(self.size, np.float32)
+        for row in rows[rows >= 0].tolist():
+            dense += self.rows[row]
+        total = dense.astype(np.float64)
         parts = [slice(self.first[t], self.first[t + 1]) for t in terms[self.sparse[terms]].tolist()]
         if parts:
             found = np.concatenate([self.owner[p] for p in parts])
             total += np.bincount(found, weights=np.concatenate([self.weight[p] for p in parts]), minlength=self.size)
         docs = np.flatnonzero(unused & (total > 0))
-        return docs[np.argsort(-total[docs], kind="stable")[:NEIGHBOURS]]
+        score = total[docs]
+        if len(docs) > NEIGHBOURS:
+            # All that tie with the last of the best stay, so that ties are decided by their order.
+            best = score >= np.partition(score, len(score) - NEIGHBOURS)[-NEIGHBOURS]
+            docs, score = docs[best], score[best]
+        return docs[np.argsort(-score, kind="stable")[:NEIGHBOURS]]
 
 
 class Packer:
@@ -109,7 +117,7 @@ class Packer:
 
     def close(self) -> Iterator[tuple]:
         for doc_id, start, ids, whole, offset in self.open:
-            yield doc_id, start, len(ids), ids.tobytes(), whole, self.sequence, offset
+            yield doc_id, start, len(ids), ids.astype("<u4").tobytes(), whole, self.sequence, offset
         if self.open:
             self.sequence += 1
         self.open, self.filled = [], 0
@@ -152,41 +160,45 @@ class Packer:
                     yield from self.close()
 
 
-def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str) -> DataFrame:
-    """``doc_id long, ids binary, at long`` of each row of ``docs``; ``at`` numbers the rows, with gaps."""
+def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, kind: str) -> DataFrame:
+    """``doc_id long, ids binary, at long, term array<int>, docs array<int>, times array<long>``: a row for each row of
+    ``docs``, whose ``at`` numbers the rows, with gaps, and one without ``at`` for each partition, which counts its
+    documents and occurrences by term. Ids are numbers of the type ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = held(f"encoder {vocabulary}", lambda: Encoder(vocabulary, ranks, pattern))
-        end, at = np.array([END_ID], "<u4").tobytes(), TaskContext.get().partitionId() << 40
+        encode = held(f"encoder {vocabulary} {kind}", lambda: Encoder(vocabulary, ranks, pattern, kind))
+        end, at = np.array([END_ID], kind).tobytes(), TaskContext.get().partitionId() << 40
+        docs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             ids = [encode(text.as_py() or "") + end for text in batch["text"]]
+            if not ids:
+                continue
             numbers = np.arange(at, at + len(ids))
             at += len(ids)
-            yield pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.binary()), "at": pa.array(numbers, pa.int64())})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, at long")
-
-
-def counted(rows: DataFrame) -> Statistics:
-    """Statistics of all ``rows (ids)``. The driver gets one row per term of the vocabulary."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            texts = [np.frombuffer(ids.as_py(), "<u4") for ids in batch["ids"]]
-            if not texts:
-                continue
+            texts = [np.frombuffer(i, kind) for i in ids]
             every, once = np.bincount(np.concatenate(texts)), np.bincount(np.concatenate([np.unique(t) for t in texts]))
             if len(every) > len(docs):
                 docs, times = (np.pad(x, (0, len(every) - len(x))) for x in (docs, times))
             docs[:len(once)] += once
             times[:len(every)] += every
+            yield rows_of(batch["doc_id"], ids, numbers, *[[None] * len(ids)] * 3)
         term = np.flatnonzero(docs)
-        yield pa.record_batch({"term": pa.array(term, pa.int64()), "docs": pa.array(docs[term]), "times": pa.array(times[term])})
+        yield rows_of([None], [None], [None], [term], [docs[term]], [times[term]])
+
+    def rows_of(*columns) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        names = ["doc_id", "ids", "at", "term", "docs", "times"]
+        return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    found = rows.select("ids").mapInArrow(run, "term long, docs long, times long").groupBy("term").agg(
-        F.sum("docs").alias("docs"), F.sum("times").alias("times")
-    ).collect()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, ids binary, at long, term array<int>, docs array<int>, times array<long>"
+    )
+
+
+def counted(rows: DataFrame) -> Statistics:
+    """Statistics of all ``rows`` of ``encoded``. The driver gets one row per term of the vocabulary."""
+    counts = rows.where("at IS NULL").select(F.explode(F.arrays_zip("term", "docs", "times")).alias("_t"))
+    found = counts.groupBy("_t.term").agg(F.sum("_t.docs").alias("docs"), F.sum("_t.times").alias("times")).collect()
     df = np.zeros(1 + max((r["term"] for r in found), default=END_ID), np.int64)
     for r in found:
         df[r["term"]] = r["docs"]
@@ -194,13 +206,13 @@ def counted(rows: DataFrame) -> Statistics:
     return Statistics(int(df[END_ID]), sum(r["times"] for r in found) / max(1, int(df[END_ID])), df)
 
 
-def gathered(rows: DataFrame, statistics: Statistics) -> DataFrame:
+def gathered(rows: DataFrame, statistics: Statistics, kind: str) -> DataFrame:
     """``rows (doc_id, ids, at)`` in ranges of their key terms, sorted, so that documents that share these are together."""
     names = [f"key{n}" for n in range(KEY_TERMS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), "<u4")) for ids in batch["ids"]], np.int32)
+            keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), kind)) for ids in batch["ids"]], np.int32)
             columns = {name: pa.array(column) for name, column in zip(names, keys.reshape(-1, KEY_TERMS).T, strict=True)}
             yield pa.record_batch({"doc_id": batch["doc_id"], "ids": batch["ids"], "at": batch["at"], **columns})
 
@@ -215,8 +227,8 @@ def pack(
 ) -> DataFrame:
     """Token ids of all ``docs (doc_id, text)``, packed into sequences of ``window`` ids.
 
-    A document is its ids and then id 1. Texts are encoded once and kept on shared storage; documents by term
-    and the mean length are counted over all of them. Then documents are shuffled into the order of their
+    A document is its ids and then id 1. Texts are encoded once and kept on shared storage, two bytes an id
+    where the vocabulary allows; documents by term and the mean length are counted over all of them on the way. Then documents are shuffled into the order of their
     rarest shared terms (``Statistics.keys``), and each partition is read in shards of at most ``shard_docs``
     documents or ``shard_tokens`` ids (and one document): a shard gets a BM25 inverted index, the first unused
     document seeds a window, and the index's unused neighbours, by all terms of the seed, fill it, best
@@ -232,8 +244,10 @@ def pack(
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
-    rows = frozen(encoded(docs, vocabulary, ranks, pattern))
-    statistics = counted(rows)
+    kind = id_kind(vocabulary)
+    every = frozen(encoded(docs, vocabulary, ranks, pattern, kind))
+    statistics = counted(every)
+    rows = every.where("at IS NOT NULL").select("doc_id", "ids", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, TaskContext.get().partitionId() << 40, statistics)
@@ -242,7 +256,7 @@ def pack(
             shard, size = [], 0
             for batch in batches:
                 for doc_id, held_ids in zip(batch["doc_id"], batch["ids"], strict=True):
-                    ids = np.frombuffer(held_ids.as_py(), "<u4")
+                    ids = np.frombuffer(held_ids.as_py(), kind)
                     if shard and (len(shard) == shard_docs or size + len(ids) > shard_tokens):
                         yield shard
                         shard, size = [], 0
@@ -268,6 +282,6 @@ def pack(
         columns = zip(*rows, strict=True) if rows else [[]] * len(names)
         return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return gathered(rows, statistics).mapInArrow(
+    return gathered(rows, statistics, kind).mapInArrow(
         run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )
