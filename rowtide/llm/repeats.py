@@ -88,16 +88,16 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
     """
     with np.errstate(over="ignore"):
         least = minimisers(np.frombuffer(data, np.uint8)) >> np.uint64(64 - BITS)
+    first = np.flatnonzero(firsts(least))
+    last = np.append(first[1:], len(least))
+    least = least[first]
     at = np.minimum(np.searchsorted(chosen, least), len(chosen) - 1)
     wanted = chosen[at] == least
-    new = np.r_[True, (least[1:] != least[:-1]) | (wanted[1:] != wanted[:-1])]
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(least))
     found: dict[tuple[int, bytes], list[int]] = {}
-    for a, b in zip(first[wanted[first]].tolist(), last[wanted[first]].tolist(), strict=True):
+    for minimiser, a, b in zip(least[wanted].tolist(), first[wanted].tolist(), last[wanted].tolist(), strict=True):
         for start in range(a, b, WINDOW):
             stop = min(start + WINDOW, b)
-            found.setdefault((int(least[start]), data[start:stop + RUN - 1]), []).append(start)
+            found.setdefault((minimiser, data[start:stop + RUN - 1]), []).append(start)
     for (minimiser, piece), starts in found.items():
         yield minimiser, piece, starts
 
