@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import held
+from rowtide.llm.common import held, lean_rows
 from rowtide.llm.tokens import Encoder, id_kind
 from rowtide.session import frozen
 
@@ -22,6 +22,8 @@ KEY_TERMS = 3
 #: A term that one in so many documents of a shard holds has its weights in a row for all of them.
 DENSE = 16
 END_ID = 1
+#: Texts that are encoded together.
+SLICE = 512
 
 
 class Statistics:
@@ -169,10 +171,8 @@ def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, kind: st
         encode = held(f"encoder {vocabulary} {kind}", lambda: Encoder(vocabulary, ranks, pattern, kind))
         end, at = np.array([END_ID], kind).tobytes(), TaskContext.get().partitionId() << 40
         docs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            ids = [encode(text.as_py() or "") + end for text in batch["text"]]
-            if not ids:
-                continue
+        for batch in (big.slice(at, SLICE) for big in batches for at in range(0, big.num_rows, SLICE)):
+            ids = [encode(text or "") + end for text in batch["text"].to_pylist()]
             numbers = np.arange(at, at + len(ids))
             at += len(ids)
             texts = [np.frombuffer(i, kind) for i in ids]
@@ -191,7 +191,7 @@ def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, kind: st
         return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, ids binary, at long, term array<int>, docs array<int>, times array<long>"
+        lean_rows(run), "doc_id long, ids binary, at long, term array<int>, docs array<int>, times array<long>"
     )
 
 
@@ -211,12 +211,12 @@ def gathered(rows: DataFrame, statistics: Statistics, kind: str) -> DataFrame:
     names = [f"key{n}" for n in range(KEY_TERMS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (big.slice(at, SLICE) for big in batches for at in range(0, big.num_rows, SLICE)):
             keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), kind)) for ids in batch["ids"]], np.int32)
             columns = {name: pa.array(column) for name, column in zip(names, keys.reshape(-1, KEY_TERMS).T, strict=True)}
             yield pa.record_batch({"doc_id": batch["doc_id"], "ids": batch["ids"], "at": batch["at"], **columns})
 
-    keyed = rows.mapInArrow(run, "doc_id long, ids binary, at long, " + ", ".join(f"{name} int" for name in names))
+    keyed = rows.mapInArrow(lean_rows(run), "doc_id long, ids binary, at long, " + ", ".join(f"{name} int" for name in names))
     # The row number splits terms that many documents have.
     return keyed.repartitionByRange(*names, "at").sortWithinPartitions(*names, "at").select("doc_id", "ids")
 
@@ -283,5 +283,5 @@ def pack(
         return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return gathered(rows, statistics, kind).mapInArrow(
-        run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+        lean_rows(run), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )

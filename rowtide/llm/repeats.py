@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rowtide.llm.columns import ordered_suffixes
+from rowtide.llm.common import lean, lean_rows
 from rowtide.llm.components import salt, salts
 from rowtide.llm.ranges import BITS, dealt, firsts, gathered, range_bits
 from rowtide.llm.shingles import FACTOR, mixed
@@ -142,7 +143,7 @@ def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
         yield flushed(gathered, nth)
 
     schema = "shard long, packed binary" if shards is not None else "chunk long, runs long, packed binary"
-    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(run, schema)
+    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(lean_rows(run), schema)
 
 
 def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], bytes]]:
@@ -228,7 +229,7 @@ def by_columns(rows: DataFrame) -> DataFrame:
             out.setdefault((doc_id, key), []).extend((s + x) for s in starts for x in lost if len(x))
         return pa.Table.from_batches([pieces_of(out)])
 
-    return rows.groupBy("shard").applyInArrow(run, PIECES)
+    return rows.groupBy("shard").applyInArrow(lean(run), PIECES)
 
 
 def run_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -348,10 +349,10 @@ def by_runs(rows: DataFrame) -> DataFrame:
                         out.setdefault((doc_id, key), []).extend(s + lost for s in starts)
                 yield pieces_of(out)
 
-    asked = rows.select("chunk", "packed").mapInArrow(ask, "range long, chunk long, asked binary")
-    answered = asked.groupBy("range").applyInArrow(answer, "chunk long, range long, lost binary")
+    asked = rows.select("chunk", "packed").mapInArrow(lean_rows(ask), "range long, chunk long, asked binary")
+    answered = asked.groupBy("range").applyInArrow(lean(answer), "chunk long, range long, lost binary")
     by_chunk = answered.groupBy("chunk").agg(F.collect_list(F.struct("range", "lost")).alias("answers"))
-    return rows.select("chunk", "packed").join(by_chunk, "chunk").select("packed", "answers").mapInArrow(spans, PIECES)
+    return rows.select("chunk", "packed").join(by_chunk, "chunk").select("packed", "answers").mapInArrow(lean_rows(spans), PIECES)
 
 
 # ---------------------------------------------------------------- the whole
@@ -374,7 +375,7 @@ def packed_rows(rows: DataFrame) -> DataFrame:
                 packed = [encoder.compress(pickle.dumps(v)) for v in values]
                 yield pa.record_batch({"doc_id": batch["doc_id"], "key": batch["key"], "packed": pa.array(packed, pa.binary())})
 
-    return rows.select("doc_id", "key", "text", *carried).mapInArrow(run, "doc_id long, key long, packed binary")
+    return rows.select("doc_id", "key", "text", *carried).mapInArrow(lean_rows(run), "doc_id long, key long, packed binary")
 
 
 def unpacked_row(packed: bytes) -> tuple:
@@ -450,7 +451,7 @@ def remove_repeats(
                     **{c: pa.array([o[n] for o in others], arrow.field(c).type) for n, c in enumerate(carried)},
                 })
 
-    out = joined.unionByName(nameless).mapInArrow(cut, T.StructType([
+    out = joined.unionByName(nameless).mapInArrow(lean_rows(cut), T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
         T.StructField("n_bytes", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),

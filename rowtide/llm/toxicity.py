@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import first_by_hash
+from rowtide.llm.common import first_by_hash, released
 
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STRIDE = 32, 16
@@ -26,6 +26,8 @@ WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 HIDDEN_WORDS, DECAY = 0.15, 3e-4
 #: Windows that one pass of the network holds.
 CHUNK = 2048
+#: Texts that are judged together.
+SLICE = 512
 #: Factors of the byte hashes; any odd numbers would do.
 PRIME, MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
@@ -331,8 +333,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 1500, longest: int
 
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            yield batch.slice(at, 512)
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def judged(network: Network, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -375,8 +377,12 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
 def kept(docs: DataFrame, network: Network, below: float) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores below a bar; cases as in ``score``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            yield batch.filter(pa.array(judged(network, batch["text"].to_pylist())[0] < below))
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Only texts travel to Python, and only scores come back.
+        for every in texts:
+            found = [judged(network, every.slice(at, SLICE).to_pylist())[0] for at in range(0, len(every), SLICE)]
+            yield pa.array(np.concatenate(found) if found else [], pa.float64())
+            released()
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(scored("text") < below)
