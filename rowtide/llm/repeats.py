@@ -8,7 +8,7 @@
    stretches of a shard are a collection of strings, whose suffixes are put in order column by column
    (``ordered_suffixes``), but for parts whose runs by their hashes occur once; those with a common prefix of 50 bytes stand together, and of these the
    documents behind the first one lose the run.
-4. A minimiser that very many texts have would make a shard too large. Its stretches are kept in chunks. Each
+4. A minimiser that very many texts have would make a shard too large. Its stretches, cut in the same pass, are kept in chunks. Each
    chunk names its distinct runs once, packed by ranges of 128-bit hashes, and a range answers
    with the least document of each (``by_runs``).
 """
@@ -46,6 +46,7 @@ CHUNK, OTHER_FACTOR = 20_000, np.uint64(0xD6E8FEB86659FD93)
 #: Compression of texts and stretches that joins move around.
 LEVEL = 6
 PIECES = "doc_id long, key long, spans binary"
+SPANS = [("doc_id", pa.int64()), ("key", pa.int64()), ("spans", pa.binary())]
 
 
 # ---------------------------------------------------------------- minimisers
@@ -106,44 +107,54 @@ def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, lis
 # ---------------------------------------------------------------- runs that an earlier document has
 
 
-def stretch_rows(held: DataFrame, shards: int | None) -> DataFrame:
-    """``shard, packed``: the stretches of ``held (doc_id, key, packed, tokens)``, those of a task and shard together.
+def stretch_rows(held: DataFrame, shards: int) -> DataFrame:
+    """``shard, runs, packed``: the stretches of ``held (doc_id, key, packed, tokens)``, those of a task and shard together.
 
-    With shards, stretches of minimisers that are not marked as frequent, otherwise of those that are. A value holds lists of document ids, keys, starts and pieces, compressed. Without shards: ``chunk, runs, packed``,
-    the stretches as a task meets them, CHUNK at a time, and how many runs these have.
+    A value holds lists of document ids, keys, starts and pieces, compressed. Stretches of minimisers that are marked
+    as frequent are in no shard, but in chunks, numbered below zero: CHUNK at a time as a task meets them, and how many
+    ``runs`` these have.
     """
 
     def value(rows: list[tuple]) -> bytes:
         return zstandard.ZstdCompressor(level=LEVEL).compress(pickle.dumps(tuple(map(list, zip(*rows, strict=True)))))
 
-    def flushed(gathered: dict[int, list[tuple]], nth: int) -> pa.RecordBatch:
-        values = pa.array([value(rows) for rows in gathered.values()], pa.binary())
-        if shards is not None:
-            return pa.record_batch({"shard": pa.array(list(gathered), pa.int64()), "packed": values})
-        runs = [sum(len(piece) - RUN + 1 for *_, piece in rows) for rows in gathered.values()]
-        chunk = (TaskContext.get().partitionId() << 32) + nth
-        return pa.record_batch({"chunk": pa.array([chunk] * len(runs), pa.int64()), "runs": pa.array(runs, pa.int64()), "packed": values})
+    def flushed(numbers: list[int], runs: int | None, values: list[list[tuple]]) -> pa.RecordBatch:
+        return pa.record_batch({
+            "shard": pa.array(numbers, pa.int64()), "runs": pa.array([runs] * len(numbers), pa.int64()),
+            "packed": pa.array([value(rows) for rows in values], pa.binary()),
+        })
+
+    def chunk(rows: list[tuple], nth: int) -> pa.RecordBatch:
+        return flushed([-1 - (TaskContext.get().partitionId() << 32) - nth], sum(len(piece) - RUN + 1 for *_, piece in rows), [rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: dict[int, list[tuple]] = {}
+        rare: dict[int, list[tuple]] = {}
+        often: list[tuple] = []
         size = nth = 0
         for batch in (big.slice(at, 256) for big in batches for at in range(0, big.num_rows, 256)):
             for doc_id, key, row, tokens in zip(*(batch[c].to_pylist() for c in ("doc_id", "key", "packed", "tokens")), strict=True):
                 marked = np.frombuffer(tokens, np.uint64)
-                frequent = marked >> np.uint64(BITS) > 0
-                chosen = np.sort(marked[frequent == (shards is None)] & np.uint64((1 << BITS) - 1))
+                chosen = marked & np.uint64((1 << BITS) - 1)
                 if not len(chosen):
                     continue
-                for minimiser, piece, starts in stretches(bytes_of(unpacked_row(row)[0]), chosen):
-                    gathered.setdefault(0 if shards is None else minimiser % shards, []).append((doc_id, key, starts, piece))
+                frequent = set(chosen[marked >> np.uint64(BITS) > 0].tolist())
+                for minimiser, piece, starts in stretches(bytes_of(unpacked_row(row)[0]), np.sort(chosen)):
+                    if minimiser in frequent:
+                        often.append((doc_id, key, starts, piece))
+                        if len(often) >= CHUNK:
+                            yield chunk(often, nth)
+                            often, nth = [], nth + 1
+                        continue
+                    rare.setdefault(minimiser % shards, []).append((doc_id, key, starts, piece))
                     size += 1
-                    if size >= (STRETCHES if shards is not None else CHUNK):
-                        yield flushed(gathered, nth)
-                        gathered, size, nth = {}, 0, nth + 1
-        yield flushed(gathered, nth)
+                    if size >= STRETCHES:
+                        yield flushed(list(rare), None, list(rare.values()))
+                        rare, size = {}, 0
+        yield flushed(list(rare), None, list(rare.values()))
+        if often:
+            yield chunk(often, nth)
 
-    schema = "shard long, packed binary" if shards is not None else "chunk long, runs long, packed binary"
-    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(lean_rows(run), schema)
+    return held.select("doc_id", "key", "packed", "tokens").mapInArrow(lean_rows(run), "shard long, runs long, packed binary")
 
 
 def stretches_of(values: list[bytes]) -> Iterator[tuple[int, int, list[int], bytes]]:
@@ -188,9 +199,22 @@ def shared_parts(pieces: list[bytes]) -> Iterator[tuple[bytes, int, int]]:
 
 
 def by_columns(rows: DataFrame) -> DataFrame:
-    """``doc_id, key, spans``: what the stretches of each shard repeat of earlier documents."""
+    """``doc_id, key, spans``: what the stretches of each shard repeat of earlier documents.
+
+    Chunks of frequent minimisers pass as they are, as ``chunk, runs, packed``, so that texts are cut into stretches once for both.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        if table["shard"][0].as_py() < 0:
+            return pa.table({
+                **{c: pa.nulls(len(table), kind) for c, kind in SPANS}, "chunk": table["shard"], "runs": table["runs"], "packed": table["packed"],
+            })
+        spans = pieces_of_shard(table)
+        return spans.append_column("chunk", none := pa.nulls(len(spans), pa.int64())).append_column("runs", none).append_column(
+            "packed", pa.nulls(len(spans), pa.binary())
+        )
+
+    def pieces_of_shard(table: pa.Table) -> pa.Table:
         held = list(stretches_of(table["packed"].to_pylist()))
         # Equal stretches are one string, and belong to the first document that has it.
         earliest: dict[bytes, int] = {}
@@ -229,7 +253,7 @@ def by_columns(rows: DataFrame) -> DataFrame:
             out.setdefault((doc_id, key), []).extend((s + x) for s in starts for x in lost if len(x))
         return pa.Table.from_batches([pieces_of(out)])
 
-    return rows.groupBy("shard").applyInArrow(lean(run), PIECES)
+    return rows.groupBy("shard").applyInArrow(lean(run), f"{PIECES}, chunk long, runs long, packed binary")
 
 
 def run_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -394,8 +418,9 @@ def removed_spans(docs: DataFrame, packed: DataFrame) -> DataFrame:
     known = frozen(marked.select("key", "tokens").join(classes.select("key", F.col("first").alias("doc_id")), "key"))
     held = packed.join(known.withColumnRenamed("key", "_key"), "doc_id").where("key = _key")
     amount = known.agg(F.sum(F.length("tokens"))).first()[0] or 0
-    rare = by_columns(stretch_rows(held, max(1, int(amount) // 8 // SHARD)))
-    found = rare.union(by_runs(frozen(stretch_rows(held, None))))
+    done = frozen(by_columns(stretch_rows(held, max(1, int(amount) // 8 // SHARD))))
+    rare = done.where("packed IS NULL").select("doc_id", "key", "spans")
+    found = rare.union(by_runs(done.where("packed IS NOT NULL").select("chunk", "runs", "packed")))
     parts = found.groupBy("doc_id", "key").agg(F.collect_list("spans").alias("parts"))
     whole = copies.select("doc_id", "key", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("parts"))
     return whole.union(parts.select("doc_id", "key", F.lit(False), "parts"))

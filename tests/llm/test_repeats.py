@@ -60,6 +60,16 @@ def test_a_passage_that_very_many_texts_have(spark, monkeypatch):
     assert found(spark, docs) == brute(docs)
 
 
+def test_texts_are_cut_into_stretches_once(spark, monkeypatch):
+    """Those of rare and of frequent minimisers in one pass: texts are shuffled twice, not three times."""
+    calls, cut = [], repeats.stretch_rows
+    monkeypatch.setattr(repeats, "stretch_rows", lambda *a: calls.append(a) or cut(*a))
+    monkeypatch.setattr(repeats, "FREQUENT", 4)
+    docs = corpus(6, 40)
+    assert found(spark, docs) == brute(docs)
+    assert len(calls) == 1
+
+
 def test_run_hashes_tell_the_runs():
     rng = random.Random(9)
     pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(40, 77))) for _ in range(50)] + [b"a" * 76, b"a" * 49, b"a" * 50]
