@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import held, lean_rows
+from rowtide.llm.common import held, lean_rows, let_go
 from rowtide.llm.tokens import Encoder, id_kind
 from rowtide.session import frozen
 
@@ -24,6 +24,8 @@ DENSE = 16
 END_ID = 1
 #: Texts that are encoded together.
 SLICE = 512
+#: Under which a worker keeps its encoder, with the words it has met, until it packs.
+ENCODER = "encoder"
 
 
 class Statistics:
@@ -168,7 +170,10 @@ def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, kind: st
     documents and occurrences by term. Ids are numbers of the type ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = held(f"encoder {vocabulary} {kind}", lambda: Encoder(vocabulary, ranks, pattern, kind))
+        encode = held(ENCODER, lambda: Encoder(vocabulary, ranks, pattern, kind))
+        if (encode.vocabulary, encode.kind) != (vocabulary, kind):
+            let_go(ENCODER)
+            encode = held(ENCODER, lambda: Encoder(vocabulary, ranks, pattern, kind))
         end, at = np.array([END_ID], kind).tobytes(), TaskContext.get().partitionId() << 40
         docs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in (big.slice(at, SLICE) for big in batches for at in range(0, big.num_rows, SLICE)):
@@ -211,6 +216,7 @@ def gathered(rows: DataFrame, statistics: Statistics, kind: str) -> DataFrame:
     names = [f"key{n}" for n in range(KEY_TERMS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(ENCODER)
         for batch in (big.slice(at, SLICE) for big in batches for at in range(0, big.num_rows, SLICE)):
             keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), kind)) for ids in batch["ids"]], np.int32)
             columns = {name: pa.array(column) for name, column in zip(names, keys.reshape(-1, KEY_TERMS).T, strict=True)}
@@ -250,6 +256,7 @@ def pack(
     rows = every.where("at IS NOT NULL").select("doc_id", "ids", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(ENCODER)
         packer = Packer(window, TaskContext.get().partitionId() << 40, statistics)
 
         def shards() -> Iterator[list[tuple]]:

@@ -49,7 +49,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str, kind: str = "<u4"):
-        self.kind = kind
+        self.vocabulary, self.kind = vocabulary, kind
         self.words = Words(pattern, ranks, kind)
         self.whole = Tokenizer.from_file(vocabulary)
         self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import collections
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from rowtide.llm import ranges, toxicity
+from rowtide.llm import common, packing, ranges, toxicity
 
 
 class Rows:
@@ -30,6 +32,50 @@ def test_dealing_a_chunk_holds_few_copies_of_its_hashes():
     assert peak < 45 * found
 
 
+def test_counting_a_range_holds_a_share_of_it_unpacked():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 1 << 63, 100_000, np.uint64)
+    sets = {n: np.unique(np.append(rng.integers(0, 1 << 63, 900, np.uint64), rng.choice(pool, 100))) for n in range(1000)}
+    run = ranges.dealt(Rows(), 0, lambda batch: ((n, sets[n]) for n in batch["key"].to_pylist()), chunk_size=200_000)
+    table = pa.Table.from_batches(run(iter([pa.record_batch({"key": pa.array(range(1000))})])))
+    tracemalloc.start()
+    token, key, count = ranges.counted(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    pairs = [(int(t >> np.uint64(16)), n) for n, tokens in sets.items() for t in tokens]
+    times = collections.Counter(t for t, _ in pairs)
+    wanted = sorted((n, t, times[t]) for t, n in pairs if times[t] > 1)
+    assert list(zip(key.tolist(), token.tolist(), count.tolist(), strict=True)) == wanted
+    assert peak < 30 * sum(map(len, sets.values()))
+
+
+def test_stages_of_the_pipeline_hand_few_rows_to_a_worker_at_once(spark):
+    import corpus_pipeline
+
+    before = spark.conf.get(corpus_pipeline.AT_ONCE)
+    try:
+        spark.conf.unset(corpus_pipeline.AT_ONCE)
+        docs = spark.range(3000, numPartitions=1).select(
+            F.col("id").alias("doc_id"), F.lit("").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+            F.lit(0).cast("long").alias("n_chars"),
+        )
+        corpus_pipeline.one_of_each(spark, docs, "")
+        sizes = docs.mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r["n"] for r in sizes) == 3000 and max(r["n"] for r in sizes) <= corpus_pipeline.ROWS_AT_ONCE
+    finally:
+        spark.conf.set(corpus_pipeline.AT_ONCE, before)
+
+
+def test_packing_lets_the_encoder_go():
+    common.held(packing.ENCODER, lambda: "words")
+    given = []
+    rows = type("Given", (), {"mapInArrow": lambda self, run, schema: given.append(run) or self, "__getattr__": lambda self, name: lambda *a: self})()
+    packing.gathered(rows, packing.Statistics(0, 0.0, np.zeros(2, np.int64)), "<u2")
+    assert list(given[0](iter([]))) == []
+    assert common.held(packing.ENCODER, lambda: None) is None
+    common.let_go(packing.ENCODER)
+
+
 def test_clean_rows_stay_in_the_engine(spark):
     """Only texts go to Python, and only scores come back."""
     docs = spark.createDataFrame([(1, "a word", "x"), (2, None, "y")], "doc_id long, text string, source string")
