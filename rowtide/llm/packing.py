@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import held, lean_rows, let_go
+from rowtide.llm.ranges import firsts
 from rowtide.llm.tokens import Encoder, id_kind
 from rowtide.session import frozen
 
@@ -33,19 +34,28 @@ class Statistics:
 
     def __init__(self, documents: int, mean: float, df: np.ndarray):
         self.documents, self.mean, self.df = documents, mean, df
+        # Terms that documents share: those that enough share to fill a query, rare ones first, then the rarer ones.
+        order = np.lexsort((np.arange(len(df)), df, df <= NEIGHBOURS))
+        self.order = order[df[order] > 1].astype(np.int32)
+        self.rank = np.full(len(df), len(self.order), np.int32)
+        self.rank[self.order] = np.arange(len(self.order), dtype=np.int32)
 
     @classmethod
     def of(cls, documents: list[np.ndarray]) -> Statistics:
         df = np.bincount(np.concatenate([np.unique(ids) for ids in documents]))
         return cls(len(documents), sum(map(len, documents)) / len(documents), df)
 
-    def keys(self, ids: np.ndarray) -> list[int]:
-        """The rarest terms that enough documents share to fill a query, then the rarer ones; -1 for none."""
-        terms = np.unique(ids)
-        df = self.df[terms]
-        terms, df = terms[df > 1], df[df > 1]
-        best = terms[np.lexsort((terms, df, df <= NEIGHBOURS))[:KEY_TERMS]].tolist()
-        return best + [-1] * (KEY_TERMS - len(best))
+    def keys(self, documents: list[np.ndarray]) -> np.ndarray:
+        """Of each document, a row of the rarest terms that enough documents share to fill a query, then the rarer ones; -1 for none."""
+        rank, none = self.rank[np.concatenate(documents)], len(self.order)
+        sizes = np.array([len(d) for d in documents])
+        begins = np.cumsum(sizes) - sizes
+        terms, found = np.append(self.order, np.int32(-1)), np.empty((len(documents), KEY_TERMS), np.int32)
+        for n in range(KEY_TERMS):
+            first = np.minimum.reduceat(rank, begins)
+            found[:, n] = terms[first]
+            rank[rank == np.repeat(first, sizes)] = none
+        return found
 
 
 class Index:
@@ -53,23 +63,22 @@ class Index:
 
     def __init__(self, documents: list[np.ndarray], statistics: Statistics):
         lengths = np.array([len(d) for d in documents], np.float64)
-        terms, counts, owners = [], [], []
-        for n, ids in enumerate(documents):
-            term, count = np.unique(ids, return_counts=True)
-            terms.append(term)
-            counts.append(count)
-            owners.append(np.full(len(term), n, np.int32))
-        self.by_doc = terms
-        term, count, owner = (np.concatenate(x) for x in (terms, counts, owners))
-        order = np.argsort(term, kind="stable")
-        self.owner = owner[order]
+        every = np.concatenate(documents)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], np.repeat(np.arange(len(documents), dtype=np.int32), lengths.astype(np.int64))[order]
+        del order
+        # Postings by term: whose they are, and how often the document has the term.
+        begins = np.flatnonzero(firsts(every, owner))
+        count = np.diff(np.append(begins, len(every)))
+        term, self.owner = every[begins].astype(np.int64), owner[begins]
+        self.documents = documents
         sizes = np.bincount(term)
         self.first = np.r_[0, np.cumsum(sizes)]
         df = statistics.df[:len(sizes)]
         idf = np.log1p((statistics.documents - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(statistics.mean, 1.0))
-        tf = count[order].astype(np.float64)
-        self.weight = idf[term[order]] * tf * (K1 + 1) / (tf + norm[self.owner])
+        tf = count.astype(np.float64)
+        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.owner])
         self.size = len(documents)
         dense = np.flatnonzero(sizes * DENSE > self.size)
         self.row = np.full(len(sizes), -1)
@@ -80,15 +89,25 @@ class Index:
             self.rows[row, self.owner[part]] = self.weight[part]
         # A term of one document of the shard leads to no neighbour here.
         self.sparse = (self.row < 0) & (sizes > 1)
+        # The documents that the rows stand for.
+        self.live = np.arange(self.size)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, scored by all its terms, best first, ties in order."""
-        terms = self.by_doc[seed]
+        """Unused documents that share a term with the seed, scored by all its terms, best first, ties in order.
+
+        What was used once stays used: the rows lose such documents when these are a quarter of them.
+        """
+        terms = np.sort(self.documents[seed], kind="stable")
+        terms = terms[firsts(terms)]
+        left = unused[self.live]
+        if 4 * np.count_nonzero(left) <= 3 * len(left):
+            self.live, self.rows = self.live[left], np.ascontiguousarray(self.rows[:, left])
         rows = self.row[terms]
-        dense = np.zeros(self.size, np.float32)
+        dense = np.zeros(len(self.live), np.float32)
         for row in rows[rows >= 0].tolist():
             dense += self.rows[row]
-        total = dense.astype(np.float64)
+        total = np.zeros(self.size)
+        total[self.live] = dense
         parts = [slice(self.first[t], self.first[t + 1]) for t in terms[self.sparse[terms]].tolist()]
         if parts:
             found = np.concatenate([self.owner[p] for p in parts])
@@ -181,10 +200,11 @@ def encoded(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, kind: st
             numbers = np.arange(at, at + len(ids))
             at += len(ids)
             texts = [np.frombuffer(i, kind) for i in ids]
-            every, once = np.bincount(np.concatenate(texts)), np.bincount(np.concatenate([np.unique(t) for t in texts]))
+            every = np.bincount(np.concatenate(texts))
             if len(every) > len(docs):
                 docs, times = (np.pad(x, (0, len(every) - len(x))) for x in (docs, times))
-            docs[:len(once)] += once
+            for text in texts:
+                docs[text] += 1  # once for each term, however often the text has it
             times[:len(every)] += every
             yield rows_of(batch["doc_id"], ids, numbers, *[[None] * len(ids)] * 3)
         term = np.flatnonzero(docs)
@@ -218,8 +238,8 @@ def gathered(rows: DataFrame, statistics: Statistics, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go(ENCODER)
         for batch in (big.slice(at, SLICE) for big in batches for at in range(0, big.num_rows, SLICE)):
-            keys = np.array([statistics.keys(np.frombuffer(ids.as_py(), kind)) for ids in batch["ids"]], np.int32)
-            columns = {name: pa.array(column) for name, column in zip(names, keys.reshape(-1, KEY_TERMS).T, strict=True)}
+            keys = statistics.keys([np.frombuffer(ids.as_buffer(), kind) for ids in batch["ids"]])
+            columns = {name: pa.array(np.ascontiguousarray(column)) for name, column in zip(names, keys.T, strict=True)}
             yield pa.record_batch({"doc_id": batch["doc_id"], "ids": batch["ids"], "at": batch["at"], **columns})
 
     keyed = rows.mapInArrow(lean_rows(run), "doc_id long, ids binary, at long, " + ", ".join(f"{name} int" for name in names))

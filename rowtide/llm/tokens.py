@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 
 import numpy as np
 import tiktoken
@@ -23,12 +24,15 @@ class Words(dict):
     def __init__(self, pattern: str, ranks_file: str, kind: str):
         super().__init__()
         self.kind = kind
+        # Words have few ids; an array for each costs more than to encode it.
+        self.packer = [struct.Struct(f"<{n}{'H' if kind == '<u2' else 'I'}").pack for n in range(17)]
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, word: str) -> bytes:
-        packed = np.array(self.encoding.encode_ordinary(word), self.kind).tobytes()
+        ids = self.encoding.encode_ordinary(word)
+        packed = self.packer[len(ids)](*ids) if len(ids) < len(self.packer) else np.array(ids, self.kind).tobytes()
         if len(self) >= KEPT_WORDS:
             self.clear()
         self[word] = packed

@@ -202,6 +202,31 @@ def test_neighbours_by_all_terms_and_the_collections_idf():
     assert index.neighbours(0, np.array([False, True, True])).tolist() == [1, 2]
 
 
+def test_key_terms_of_many_documents_at_once():
+    rng = np.random.default_rng(4)
+    documents = [rng.integers(2, 300, rng.integers(0, 40)).astype("<u2") for _ in range(200)]
+    documents = [np.append(d, packing.END_ID).astype("<u2") for d in documents]
+    statistics = packing.Statistics.of(documents)
+
+    def wanted(ids):
+        terms = sorted({int(t) for t in ids if statistics.df[t] > 1}, key=lambda t: (statistics.df[t] <= packing.NEIGHBOURS, statistics.df[t], t))
+        return (terms + [-1] * packing.KEY_TERMS)[:packing.KEY_TERMS]
+
+    assert statistics.keys(documents).tolist() == [wanted(d) for d in documents]
+
+
+def test_neighbours_while_documents_are_used_up():
+    rng = np.random.default_rng(5)
+    documents = [rng.integers(2, 60, 30).astype("<u2") for _ in range(80)]
+    statistics = packing.Statistics.of(documents)
+    index, unused = packing.Index(documents, statistics), np.ones(80, bool)
+    for seed in range(79):
+        unused[seed] = False
+        fresh = packing.Index(documents, statistics)
+        assert index.neighbours(seed, unused).tolist() == fresh.neighbours(seed, unused).tolist()
+    assert len(index.live) < 20
+
+
 def test_packing_no_rows(spark):
     assert packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
