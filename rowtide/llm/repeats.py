@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from rowtide.llm.columns import ordered_suffixes
 from rowtide.llm.common import lean, lean_rows
 from rowtide.llm.components import salt, salts
-from rowtide.llm.ranges import BITS, dealt, firsts, gathered, range_bits
+from rowtide.llm.ranges import BITS, dealt, distinct, firsts, gathered, range_bits
 from rowtide.llm.shingles import FACTOR, mixed
 from rowtide.session import frozen
 
@@ -80,7 +80,7 @@ def minimiser_sets(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarr
     with np.errstate(over="ignore"):
         for key, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist(), strict=True):
             data = np.frombuffer(bytes_of(text), np.uint8)
-            yield key, np.unique(minimisers(data)) if len(data) >= RUN else np.empty(0, np.uint64)
+            yield key, distinct(minimisers(data)) if len(data) >= RUN else np.empty(0, np.uint64)
 
 
 def stretches(data: bytes, chosen: np.ndarray) -> Iterator[tuple[int, bytes, list[int]]]:
