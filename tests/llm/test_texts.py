@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -431,3 +432,35 @@ def test_mixing_defined_cases(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert collections.Counter(map(tuple, mixing.mix(df).collect())) == same
     assert mixing.mix(df.where("false")).count() == 0
+
+
+def test_licences_are_learned_from_all_documents(spark):
+    """Not from a sample: texts of any length count, and what only one of many documents has too."""
+    plain = [(n, f"the quiet river {n} runs past a green hill\nand a mill stands there") for n in range(1500)]
+    long = "a quiet mill by the river\n" * 5000 + "software that was published"
+    df = spark.createDataFrame([*plain, (5000, long), (None, None)], "doc_id long, text string")
+    common = licenses.trained(df).common
+    # Each line, and each run of lines, of every document.
+    assert common["software"] == common["published"] == 2
+    assert common["the"] == 2 * 1500 + 5000 + 1
+    assert common["a"] == 3 * 1500 + 5000 + 1
+
+
+def test_known_runs_are_the_runs_of_the_vocabulary(spark):
+    texts = ["the mit licence of the mit licence", "of", "", "mit x licence of the", "the of the mit", "x y z", "licence of the"]
+    vocabulary = ["licence", "licence of the", "mit", "mit licence", "of", "of the", "the", "the mit licence"]
+    df = spark.createDataFrame([(n, t.split()) for n, t in enumerate(texts)], "n long, words array<string>")
+    found = {r["n"]: r["runs"] for r in licenses.known_runs(df, vocabulary).collect()}
+    for n, text in enumerate(texts):
+        words = text.split()
+        every = {" ".join(words[i:i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)}
+        assert found[n] == sorted(every & set(vocabulary))
+
+
+def test_every_paragraph_with_a_name_or_signal_holds_a_stem():
+    rng = random.Random(3)
+    parts = [*licenses.STEMS, "licen", "ce", "se", "a", "l", "AGPL", "LGPL", "MIT", "cc by", "CC-BY", "cc0", " ", "-", "x", "as is", "s"]
+    pattern = re.compile(f"{licenses.SIGNALS}|{licenses.NAMES}", re.I | re.A)
+    for _ in range(5000):
+        text = "".join(rng.choice(parts) for _ in range(4))
+        assert not pattern.search(text) or any(stem in text.lower() for stem in licenses.STEMS)
